@@ -41,8 +41,6 @@ def date_range(from_date: Column, to_date: Column) -> Column:
 
 def in_previous_day(moment: Column, as_of: dt.date) -> Column:
     """The same for a timestamp column, as two bounds that reach the file scan's statistics."""
-    day_start, day_end = (
-        F.lit(dt.datetime.combine(day, dt.time())).cast("timestamp_ntz")
-        for day in (as_of - dt.timedelta(days=1), as_of)
-    )
-    return (moment >= day_start) & (moment < day_end)
+    # Text literals: a Python datetime would be read in the driver's own time zone.
+    midnight = [F.lit(f"{day} 00:00:00").cast("timestamp_ntz") for day in (as_of - dt.timedelta(days=1), as_of)]
+    return (moment >= midnight[0]) & (moment < midnight[1])

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -14,27 +14,24 @@ def day_counts(df: DataFrame, day: str, keys: Sequence[str] = ()) -> DataFrame:
     return present.groupBy(*keys, day).agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-def date_spine(counts: DataFrame, day: str, keys: Sequence[str] = ()) -> DataFrame:
-    """Every day from the first to the last seen, per key."""
-    span = counts.groupBy(*keys).agg(F.min(day).alias("_first"), F.max(day).alias("_last"))
-    days = F.sequence("_first", "_last", F.expr("interval 1 day"))
-    return span.select(*keys, F.explode(days).alias(day))
-
-
 def rows_per_day(df: DataFrame, day: str, keys: Sequence[str] = (), spine: DataFrame | None = None) -> DataFrame:
-    """Row count of every day of the spine, 0 where a day has none.
+    """Row count of every expected day, 0 where a day has none.
 
-    Both sides come from the same counts, so the data is scanned and shuffled once; what is joined
-    is at most one row per key and calendar day.
+    Expected are the (key, day) rows of ``spine``, or without one every day from a key's first to
+    its last. In that case each day present also stands for the gap up to the next one, so the data
+    is scanned once; the window holds one row per key and day, however many rows a day has.
     """
     counts = day_counts(df, day, keys)
-    spine = date_spine(counts, day, keys) if spine is None else spine
-    joined = spine.join(counts, [*keys, day], "left")
-    return joined.select(*keys, day, F.coalesce("n_rows", F.lit(0).cast("bigint")).alias("n_rows"))
+    if spine is not None:
+        joined = spine.join(counts, [*keys, day], "left")
+        return joined.select(*keys, day, F.coalesce("n_rows", F.lit(0).cast("bigint")).alias("n_rows"))
+    following = F.lead(day).over(Window.partitionBy(*keys).orderBy(day))
+    until = counts.withColumn("_until", F.coalesce(F.date_sub(following, 1), F.col(day)))
+    covered = until.withColumn("_day", F.explode(F.sequence(day, "_until", F.expr("interval 1 day"))))
+    n_rows = F.when(F.col("_day") == F.col(day), F.col("n_rows")).otherwise(0)
+    return covered.select(*keys, F.col("_day").alias(day), n_rows.alias("n_rows"))
 
 
 def missing_days(df: DataFrame, day: str, keys: Sequence[str] = (), spine: DataFrame | None = None) -> DataFrame:
-    """Days of the spine without any row."""
-    counts = day_counts(df, day, keys)
-    spine = date_spine(counts, day, keys) if spine is None else spine
-    return spine.join(counts, [*keys, day], "left_anti").select(*keys, day)
+    """Expected days without any row."""
+    return rows_per_day(df, day, keys, spine).where("n_rows = 0").select(*keys, day)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakewright.functions.masking import mask_columns
-from lakewright.operators.keyed_joins import BROADCAST_BYTES, matching_keys
+from lakewright.operators.keyed_joins import BROADCAST_BYTES, key_profile, matching_keys
 
 
 def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -63,13 +63,14 @@ def upsert(
 
     Several source rows for one key are settled by ``newest_by``; without it they are an error.
     """
+    key_bytes = None
     if newest_by:
         source = newest_per_key(source, on, newest_by)
     else:
-        repeated = source.groupBy(*on).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        if not repeated.isEmpty():
+        key_bytes, most_rows = key_profile(source, on)
+        if most_rows > 1:
             raise ValueError(f"several source rows share a key {list(on)}; pass newest_by to pick one")
-    untouched = matching_keys(target, source, on, keep=False, broadcast_bytes=broadcast_bytes)
+    untouched = matching_keys(target, source, on, False, broadcast_bytes, key_bytes)
     return source.select(*target.columns).unionByName(untouched)
 
 

@@ -1,14 +1,16 @@
 """Equi-joins that hold up when the key side is large or one key holds much of the data.
 
 The key side is broadcast only when its measured size fits. Otherwise both sides shuffle on the
-key, and keys that hold an outsized share of the left rows are salted.
+key, and keys that hold an outsized share of the rows are salted.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import add
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,18 +22,31 @@ SKETCH_ITEMS = 20_000
 _FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Size of a frame from its own values, measured by one aggregate over it."""
-    width = F.lit(ROW_OVERHEAD)
-    for field in df.schema:
+def row_bytes(schema: T.StructType) -> Column:
+    """About how much memory a row takes."""
+
+    def width(field: T.StructField) -> Column:
         value = F.col(f"`{field.name}`")
         if isinstance(field.dataType, _FIXED_WIDTH):
-            width = width + F.lit(8)
-        elif isinstance(field.dataType, (T.StringType, T.BinaryType)):
-            width = width + F.coalesce(F.octet_length(value), F.lit(0))
-        else:
-            width = width + F.coalesce(F.octet_length(F.to_json(F.struct(value))), F.lit(0))
-    return df.agg(F.sum(width.cast("bigint"))).first()[0] or 0
+            return F.lit(8)
+        if not isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            value = F.to_json(F.struct(value))
+        return F.coalesce(F.octet_length(value), F.lit(0))
+
+    return reduce(add, map(width, schema), F.lit(ROW_OVERHEAD)).cast("bigint")
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Size of a frame from its own values, measured by one aggregate over it."""
+    return df.agg(F.sum(row_bytes(df.schema))).first()[0] or 0
+
+
+def key_profile(df: DataFrame, on: Sequence[str]) -> tuple[int, int]:
+    """(bytes of the distinct keys, rows of the most frequent key), in one pass over the key columns."""
+    keys = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    width = row_bytes(keys.drop("_n").schema)
+    size, rows = keys.agg(F.sum(width), F.max("_n")).first()
+    return size or 0, rows or 0
 
 
 def hot_keys(df: DataFrame, on: Sequence[str]) -> DataFrame | None:
@@ -41,45 +56,52 @@ def hot_keys(df: DataFrame, on: Sequence[str]) -> DataFrame | None:
     what to salt; a missed key costs time, never rows. Returns None when no key is hot.
     """
     spark = df.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(2, min(parts, MAX_HOT_KEYS))
-    sketch = df.select(F.xxhash64(*on).alias("_hot")).agg(
+    partitions = max(2, min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_HOT_KEYS))
+    sketch = df.select(F.xxhash64(*on).alias("key")).agg(
         F.count(F.lit(1)).alias("n"),
-        F.expr(f"approx_top_k(_hot, {MAX_HOT_KEYS}, {SKETCH_ITEMS})").alias("top"),
+        F.expr(f"approx_top_k(key, {MAX_HOT_KEYS}, {SKETCH_ITEMS})").alias("top"),
     )
-    share = F.col("item.count") * F.lit(parts) / F.col("n")
-    found = (
-        sketch.select("n", F.explode("top").alias("item"))
-        .where(share > 2)
-        .select(F.col("item.item").alias("_hot"), F.ceil(share).cast("int").alias("_parts"))
+    load = F.col("found.count") * F.lit(partitions) / F.col("n")
+    hot = (
+        sketch.select("n", F.explode("top").alias("found"))
+        .where(load > 2)
+        .select(F.col("found.item").alias("_key_hash"), F.ceil(load).cast("int").alias("_parts"))
         .collect()
     )
-    return spark.createDataFrame(found, "_hot bigint, _parts int") if found else None
+    return spark.createDataFrame(hot, "_key_hash bigint, _parts int") if hot else None
 
 
-def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
-    """A shuffle join in which the left rows of a hot key go to several tasks.
+def _split(df: DataFrame, hot: DataFrame | None, on: Sequence[str], salt: str, repeat: bool) -> DataFrame:
+    """Add a salt below the key's number of parts: one value, or (``repeat``) the row once for each.
 
-    The salt is the number of the task that reads the row, so a task that is run again after a
-    lost executor gives its rows the same salt. Right rows of a hot key are repeated once per salt.
-    Valid for inner, left, left_semi and left_anti joins, where each left row is seen once.
+    The one value is the number of the task that reads the row, so a task that is run again after
+    a lost executor gives its rows the same salt.
     """
-    if how not in ("inner", "left", "left_semi", "left_anti"):
-        raise ValueError(f"salting does not support {how!r} joins")
-    hot = hot_keys(left, on)
     if hot is None:
-        return left.join(right, list(on), how)
+        return df
+    marked = df.withColumn("_key_hash", F.xxhash64(*on)).join(F.broadcast(hot), "_key_hash", "left")
+    parts = F.coalesce("_parts", F.lit(1))
+    value = F.explode(F.sequence(F.lit(0), parts - 1)) if repeat else F.pmod(F.spark_partition_id(), parts)
+    return marked.withColumn(salt, value).drop("_key_hash", "_parts")
 
-    def with_parts(df: DataFrame) -> DataFrame:
-        marked = df.withColumn("_hot", F.xxhash64(*on))
-        return marked.join(F.broadcast(hot), "_hot", "left").withColumn("_parts", F.coalesce("_parts", F.lit(1)))
 
-    salted_left = with_parts(left).withColumn("_salt", F.pmod(F.spark_partition_id(), F.col("_parts")))
-    salted_right = with_parts(right).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
-    joined = salted_left.drop("_hot", "_parts").join(
-        salted_right.drop("_hot", "_parts"), [*on, "_salt"], how
-    )
-    return joined.drop("_salt")
+def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+    """A shuffle join in which the rows of a hot key go to several tasks.
+
+    Left rows of a key that is hot on the left are spread, and its right rows repeated to meet
+    them. An inner join does the same for keys that are hot on the right; the other kinds need
+    every right row of a key next to each left row, and are meant for right sides of distinct keys.
+    """
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"salting does not support {how!r} joins")
+    hot_left = hot_keys(left, on)
+    hot_right = hot_keys(right, on) if how == "inner" else None
+    salts = [name for name, hot in (("_salt_left", hot_left), ("_salt_right", hot_right)) if hot is not None]
+    # Own salts first: a repeated row must not be spread by its copies' position.
+    left = _split(_split(left, hot_left, on, "_salt_left", False), hot_right, on, "_salt_right", True)
+    right = _split(_split(right, hot_right, on, "_salt_right", False), hot_left, on, "_salt_left", True)
+    # Spark's own size estimate must not turn this back into a broadcast: the measured size ruled it out.
+    return left.join(right.hint("merge"), [*on, *salts], how).drop(*salts)
 
 
 def keyed_join(
@@ -88,9 +110,11 @@ def keyed_join(
     on: Sequence[str],
     how: str,
     broadcast_bytes: int = BROADCAST_BYTES,
+    right_bytes: int | None = None,
 ) -> DataFrame:
-    """Join a large left side to a right side of unknown size."""
-    if estimated_bytes(right) <= broadcast_bytes:
+    """Join a large left side to a right side whose size is measured, unless the caller knows it."""
+    size = estimated_bytes(right) if right_bytes is None else right_bytes
+    if size <= broadcast_bytes:
         return left.join(F.broadcast(right), list(on), how)
     return salted_join(left, right, on, how)
 
@@ -101,8 +125,17 @@ def matching_keys(
     on: Sequence[str],
     keep: bool,
     broadcast_bytes: int = BROADCAST_BYTES,
+    key_bytes: int | None = None,
 ) -> DataFrame:
-    """Left rows whose key is (``keep``) or is not among ``keys``; a NULL key matches nothing."""
-    wanted = keys.select(*on).distinct()
-    joined = keyed_join(left, wanted, on, "left_semi" if keep else "left_anti", broadcast_bytes)
+    """Left rows whose key is (``keep``) or is not among ``keys``; a NULL key matches nothing.
+
+    Repeated keys are only reduced to distinct ones when they do not fit as they are. ``keys`` is
+    evaluated to measure it and again to join it; write it out first if that is costly.
+    """
+    how = "left_semi" if keep else "left_anti"
+    listed = keys.select(*on)
+    if key_bytes is None and estimated_bytes(listed) <= broadcast_bytes:
+        joined = left.join(F.broadcast(listed), list(on), how)
+    else:
+        joined = keyed_join(left, listed.distinct(), on, how, broadcast_bytes, key_bytes)
     return joined.select(*left.columns)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakewright.operators.keyed_joins import BROADCAST_BYTES, keyed_join
+from lakewright.operators.keyed_joins import BROADCAST_BYTES, keyed_join, row_bytes
 
 BOUNDS = ("[)", "(]", "()", "[]")
 DEFAULT_BOUNDS = "[)"
@@ -54,6 +54,9 @@ def range_join(
     two or three cells however wide it is. A value is looked up once in each grid that any range
     uses. That makes the containment test an equi-join on (grid, cell) with the exact test on top.
     """
+    shared = set(values.columns) & set(ranges.columns)
+    if shared:
+        raise ValueError(f"values and ranges share column names {sorted(shared)}; rename one side")
     value_type = values.schema[value].dataType
     low, high = (_axis(F.col(end), ranges.schema[end].dataType) for end in (lower, upper))
     width = high - low
@@ -64,18 +67,18 @@ def range_join(
 
     usable = ranges.where(F.col(bounds).isNotNull() & (open_ended | (F.col(lower) <= F.col(upper))))
     leveled = usable.withColumn("_level", level)
-    # At most one level per even exponent of a double, so this list is bounded by construction.
-    levels = sorted(row[0] for row in leveled.select("_level").distinct().collect())
-    if not levels:
-        return values.crossJoin(ranges.limit(0))
-
     first, last = (_cell(end, F.col("_level")) for end in (low, high))
     filed = leveled.withColumn("_cell", F.explode(F.sequence(first, last)))
+    # At most one level per even exponent of a double, so the set is bounded by construction.
+    levels, size = filed.agg(F.collect_set("_level"), F.sum(row_bytes(filed.schema))).first()
+    if not levels:
+        return values.join(ranges, F.lit(False))
+
     looked_up = (
         values.where(F.col(value).isNotNull())
-        .withColumn("_level", F.explode(F.array(*map(F.lit, levels))))
+        .withColumn("_level", F.explode(F.array(*map(F.lit, sorted(levels)))))
         .withColumn("_cell", _cell(_axis(F.col(value), value_type), F.col("_level")))
     )
-    candidates = keyed_join(looked_up, filed, ["_level", "_cell"], "inner", broadcast_bytes)
+    candidates = keyed_join(looked_up, filed, ["_level", "_cell"], "inner", broadcast_bytes, size)
     exact = contains(F.col(value), F.col(lower), F.col(upper), F.col(bounds))
     return candidates.where(exact).drop("_level", "_cell")

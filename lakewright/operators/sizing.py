@@ -36,5 +36,9 @@ def max_text_length(
 
 
 def enriched_columns(columns: DataFrame, lengths: DataFrame, positions: DataFrame) -> DataFrame:
-    """Column metadata with measured length and position, each NULL where there is none."""
-    return columns.join(lengths, "column_name", "left").join(positions, "column_name", "left")
+    """Column metadata with measured length and position, each NULL where there is none.
+
+    Lengths and positions have one row per column of one table, so both are broadcast.
+    """
+    measured = columns.join(F.broadcast(lengths), "column_name", "left")
+    return measured.join(F.broadcast(positions), "column_name", "left")

@@ -32,7 +32,7 @@ CATALOG_COLUMNS = "schemaname string, tablename string, columnname string, exter
 def catalog_columns(spark: SparkSession, database: str) -> DataFrame:
     """The columns of every table of a catalog database."""
     rows = []
-    for table in spark.catalog.listTables(database):
+    for table in (t for t in spark.catalog.listTables(database) if not t.isTemporary):
         schema = spark.table(f"`{database}`.`{table.name}`").schema
         rows += [(database, table.name, f.name, catalog_type(f.dataType), i) for i, f in enumerate(schema)]
     return spark.createDataFrame(rows, CATALOG_COLUMNS)

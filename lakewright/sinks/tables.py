@@ -56,7 +56,7 @@ def publish(df: DataFrame, root: str, table: str | None = None, fmt: str = "parq
 
     With ``table`` the catalog entry is pointed at the new version. Returns the version's path.
     """
-    version = f"{root.rstrip('/')}/version={dt.datetime.now(dt.UTC):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+    version = f"{root.rstrip('/')}/v{dt.datetime.now(dt.UTC):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
     df.write.format(fmt).mode("errorifexists").save(version)
     if table:
         spark = df.sparkSession

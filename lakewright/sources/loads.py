@@ -32,7 +32,7 @@ def load_files(
 
 
 def load_csv(spark: SparkSession, path: str, schema: T.StructType | str, delimiter: str = ",") -> DataFrame:
-    """Delimited text with one header line per file."""
+    """Delimited text with one header line per file. Empty text comes back as NULL: CSV has one form for both."""
     return load_files(spark, path, "csv", {**CSV_OPTIONS, "sep": delimiter}, schema)
 
 
@@ -91,13 +91,9 @@ def checked_csv_load(
     lengths = max_lengths or {}
     corrupt = "_corrupt_record"
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
-    raw = load_files(
-        spark,
-        path,
-        "csv",
-        {**CSV_OPTIONS, "sep": delimiter, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt},
-        as_text.add(corrupt, T.StringType()),
-    )
+    # Every field is parsed whichever are selected later, or the field count could not be checked.
+    checking = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt, "columnPruning": "false"}
+    raw = load_files(spark, path, "csv", {**CSV_OPTIONS, "sep": delimiter, **checking}, as_text.add(corrupt, T.StringType()))
 
     def fault(column: str, column_type: str, value: Column, message: str) -> Column:
         return F.struct(
@@ -123,7 +119,8 @@ def checked_csv_load(
     checked = raw.select("*", F.col("_metadata.file_path").alias("_file"), F.array_compact(F.array(*checks)).alias("_faults"))
 
     sound = F.size("_faults") == 0
-    load_id = (F.lit(query_id).cast("bigint").alias("query_id"), F.lit(start_time).cast("timestamp_ntz").alias("start_time"))
+    started = F.lit(start_time.replace(tzinfo=None).isoformat(" ")).cast("timestamp_ntz")
+    load_id = (F.lit(query_id).cast("bigint").alias("query_id"), started.alias("start_time"))
     errors = checked.where(~sound).select(
         *load_id, F.lit(table).alias("table_name"), F.col("_file").alias("file_name"), F.explode("_faults").alias("fault")
     )

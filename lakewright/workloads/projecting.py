@@ -11,7 +11,7 @@ from lakewright.functions.dates import date_path as path_of_day
 from lakewright.functions.dates import date_range as days_between
 from lakewright.functions.dates import date_text, in_previous_day
 from lakewright.functions.manifest import manifest_delete_query, manifest_envelope, manifest_file
-from lakewright.functions.tagged import TAGGED_VALUE, decode_tagged
+from lakewright.functions.tagged import decode_tagged
 from lakewright.functions.text import snake_case as to_snake_case
 from lakewright.operators.columns import allow, consumer_view, deny
 from lakewright.operators.columns import project_by_type as text_columns
@@ -181,7 +181,8 @@ def tagged_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A null cell, and a cell without any known tag, each keep their place."""
 
     def cell(tag: str, value: str) -> str:
-        return f"from_json(to_json(named_struct('{tag}', {value})), '{TAGGED_VALUE}')"
+        types = {"stringValue": "string", "longValue": "bigint", "doubleValue": "double", "booleanValue": "boolean", "isNull": "boolean"}
+        return "struct(" + ", ".join(f"CAST({value if t == tag else 'NULL'} AS {types[t]}) AS {t}" for t in types) + ")"
 
     cells = ", ".join(
         [

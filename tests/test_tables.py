@@ -1,0 +1,184 @@
+"""Changes, calendars, projections, sizing, DDL and the catalog."""
+
+import datetime as dt
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from lakewright.operators import calendar, changes, columns, sizing
+from lakewright.plans import catalog, ddl
+from lakewright.session import scratch_path, shared_root
+
+
+@pytest.fixture
+def database(spark):
+    name = f"t{uuid.uuid4().hex[:8]}"
+    catalog.create_database(spark, name, scratch_path(spark, "db"))
+    yield name
+    spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def test_latest_snapshot(spark, rows):
+    log = [("a", 1, "put"), ("a", 2, "delete"), ("b", 1, "delete"), ("b", 2, "put"), ("c", 1, None), (None, 1, "put")]
+    df = spark.createDataFrame(log, "k string, t int, op string")
+    got = changes.latest_snapshot(df, ["k"], ["t"], "op")
+    assert rows(got) == sorted([("b", 2, "put"), ("c", 1, None), (None, 1, "put")], key=str)
+
+
+def test_snapshot_limits_before_the_shuffle(events, plan):
+    physical = plan(changes.newest_per_key(events, ["user_id"], ["ts"])).split("Physical Plan")[1]
+    partial, final = physical.index(", Partial"), physical.index(", Final")
+    assert physical[final:partial].count("Exchange") == 1
+
+
+def test_delete_where_keeps_unknown(spark, rows):
+    df = spark.createDataFrame([(1,), (-1,), (None,)], "x int")
+    assert rows(changes.delete_where(df, F.col("x") < 0)) == sorted([(1,), (None,)], key=str)
+
+
+def test_upsert(spark, rows):
+    target = spark.createDataFrame([(1, "a"), (2, "b"), (None, "n")], "k int, v string")
+    source = spark.createDataFrame([("B", 2), ("c", 3)], "v string, k int")
+    expected = sorted([(1, "a"), (2, "B"), (3, "c"), (None, "n")], key=str)
+    for broadcast_bytes in (0, 1 << 20):
+        got = changes.upsert(target, source, ["k"], broadcast_bytes=broadcast_bytes)
+        assert rows(got) == expected
+    repeated = source.union(spark.createDataFrame([("C", 3)], "v string, k int"))
+    with pytest.raises(ValueError, match="share a key"):
+        changes.upsert(target, repeated, ["k"])
+    newest = changes.upsert(target, repeated, ["k"], newest_by=["v"])
+    assert rows(newest) == expected
+
+
+def test_upsert_into_empty_and_from_empty(spark, rows):
+    some = spark.createDataFrame([(1, "a")], "k int, v string")
+    assert rows(changes.upsert(some.limit(0), some, ["k"])) == [(1, "a")]
+    assert rows(changes.upsert(some, some.limit(0), ["k"])) == [(1, "a")]
+
+
+def test_append_by_name(spark, rows):
+    target = spark.createDataFrame([(1, "a", 1.0)], "k bigint, v string, d double")
+    incoming = spark.createDataFrame([("b", 9, 2)], "v string, extra int, k int")
+    got = changes.append_by_name(target, incoming)
+    assert rows(got) == [(1, "a", 1.0), (2, "b", None)]
+    assert got.schema.simpleString() == target.schema.simpleString()
+
+
+def test_calendar(spark, rows):
+    day = dt.date
+    seen = [("a", day(2024, 1, 1)), ("a", day(2024, 1, 1)), ("a", day(2024, 1, 4)), ("b", day(2024, 2, 1)), ("a", None)]
+    df = spark.createDataFrame(seen, "k string, d date")
+    assert rows(calendar.missing_days(df, "d", ["k"])) == [("a", day(2024, 1, 2)), ("a", day(2024, 1, 3))]
+    counts = {(r[0], r[1].day): r[2] for r in calendar.rows_per_day(df, "d", ["k"]).collect()}
+    assert counts == {("a", 1): 2, ("a", 2): 0, ("a", 3): 0, ("a", 4): 1, ("b", 1): 1}
+    assert calendar.missing_days(df, "d").count() == 29
+    spine = spark.createDataFrame([(day(2024, 1, 4),), (day(2024, 3, 1),)], "d date")
+    assert rows(calendar.missing_days(df, "d", spine=spine)) == [(day(2024, 3, 1),)]
+
+
+def test_project_by_type_and_preview(spark, customer):
+    assert columns.columns_of_type(customer, "bigint") == ["c_custkey"]
+    assert columns.project_by_type(customer).columns == ["c_name", "c_mktsegment"]
+    assert [r[0] for r in columns.preview(customer, 3, ["c_custkey"]).select("c_custkey").collect()] == [0, 1, 2]
+
+
+def test_consumer_rules_fail_closed(spark):
+    df = spark.createDataFrame([(1, 2, 3)], "a int, b int, c int")
+    rules = {"A": columns.allow("a", "b"), "B": columns.deny("a", "b"), "typo": columns.deny("aa")}
+    assert columns.consumer_view(df, rules, "A", "visible_a").columns == ["a", "b"]
+    assert spark.table("visible_a").columns == ["a", "b"]
+    assert columns.consumer_view(df, rules, "B").columns == ["c"]
+    with pytest.raises(PermissionError):
+        columns.consumer_view(df, rules, "nobody")
+    with pytest.raises(ValueError):
+        columns.consumer_view(df, rules, "typo")
+
+
+def lengths(df, **options):
+    return {r[0]: r[1] for r in sizing.max_text_length(df, **options).collect()}
+
+
+def test_max_text_length_edges(spark):
+    df = spark.createDataFrame([(None, "", "Élan", 1), (None, "", "ab", 2)], "a string, b string, c string, n int")
+    assert lengths(df) == {"a": 306, "b": 0, "c": 5}
+    assert lengths(df, unit="bytes", buffer_percent=0) == {"a": 255, "b": 0, "c": 5}
+    assert lengths(df.select("n")) == {}
+    assert sizing.max_text_length(df.select("n")).columns == ["column_name", "max_length"]
+
+
+@pytest.mark.parametrize("size", [1, 2, 3, 5, 7, 12, 13, 25, 50, 125])
+@pytest.mark.parametrize("percent", [10, 20, 50])
+def test_growth_rounds_half_to_even(spark, size, percent):
+    df = spark.createDataFrame([("x" * size,)], "a string")
+    assert lengths(df, buffer_percent=percent) == {"a": int(round(size + (size * percent / 100)))}
+
+
+def test_only_text_columns_are_read(events, plan):
+    physical = plan(sizing.max_text_length(events)).split("Physical Plan")[1]
+    assert "ReadSchema: struct<event_type:string,props:string>" in physical
+
+
+def test_sized_ddl(spark):
+    df = spark.createDataFrame([("", None, 1, [1])], "b string, a string, n int, l array<int>")
+    listed = catalog.schema_frame(df.withColumn("gone", F.lit("")))
+    assert ddl.sized_ddl(df, "s", "t", listed).first()[0] == (
+        "CREATE SCHEMA IF NOT EXISTS s;\nCREATE TABLE IF NOT EXISTS s.t (\n"
+        "gone VARCHAR(255),\nb VARCHAR(255),\na VARCHAR(306),\nn INTEGER,\nl SUPER\n);"
+    )
+
+
+def test_fixed_ddl_per_table(spark):
+    listing = spark.createDataFrame(
+        [("t2", "z", "string", 0), ("t1", "b", "int", 1), ("t1", "a", "array<int>", 0)],
+        "table_name string, column_name string, column_type string, order_index int",
+    )
+    got = {r[0]: r[1] for r in ddl.fixed_ddl(listing, "s").collect()}
+    assert got["t1"].endswith("s.t1 (\na SUPER, b INTEGER\n);")
+    assert got["t2"].endswith("s.t2 (\nz VARCHAR(65535)\n);")
+
+
+def test_create_if_absent_leaves_an_existing_table(spark, database):
+    catalog.create_table_if_absent(spark, database, "users", "id INT, name VARCHAR(255)", scratch_path(spark, "users"))
+    catalog.create_table_if_absent(spark, database, "users", "other DOUBLE", scratch_path(spark, "users"))
+    assert spark.table(f"{database}.users").columns == ["id", "name"]
+
+
+def test_catalog_listing_and_lookup(spark, database, rows):
+    catalog.create_table_if_absent(spark, database, "x", "id INT, at TIMESTAMP_NTZ", scratch_path(spark, "x"))
+    catalog.create_table_if_absent(spark, database, "y", "id BIGINT", scratch_path(spark, "y"))
+    listing = catalog.catalog_columns(spark, database)
+    assert listing.count() == 3
+    assert rows(catalog.lookup_columns(listing, database, "x")) == [("at", "timestamp"), ("id", "int")]
+
+
+def test_register_partitioned_external_table(spark, database):
+    path = scratch_path(spark, "external")
+    df = spark.range(10).withColumn("part", F.col("id") % 2)
+    df.write.partitionBy("part").parquet(path)
+    catalog.register_external(spark, df, database, "ext", path, partition_by=["part"])
+    assert spark.table(f"{database}.ext").where("part = 1").count() == 5
+    spark.sql(f"DROP TABLE {database}.ext")
+    assert spark.read.parquet(path).count() == 10
+
+
+def test_discovery_adds_columns_and_partitions(spark, database):
+    path = f"{scratch_path(spark, 'lake')}/Ad-Search"
+    spark.range(5).withColumn("day", F.lit("2024-01-01")).write.partitionBy("day").parquet(path)
+    name = catalog.discover_table(spark, path, database)
+    assert name.endswith("`delta_ad_search`")
+    assert spark.table(name).count() == 5
+    more = spark.range(3).withColumn("v", F.lit("x")).withColumn("day", F.lit("2024-01-02"))
+    more.write.mode("append").partitionBy("day").parquet(path)
+    assert catalog.discover_table(spark, path, database, merge_schema=True) == name
+    assert set(spark.table(name).columns) == {"id", "v", "day"}
+    assert spark.table(name).where("v = 'x'").count() == 3
+    assert spark.table(name).count() == 8
+
+
+def test_scratch_is_under_the_configured_folder(spark):
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    if configured:
+        assert shared_root(spark) == configured.rstrip("/")
+    assert scratch_path(spark, "a").startswith(shared_root(spark))
+    assert scratch_path(spark, "a") != scratch_path(spark, "a")
