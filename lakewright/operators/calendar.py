@@ -6,10 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def day_counts(df: DataFrame, day: str, keys: Sequence[str] = ()) -> DataFrame:
     """Rows per (key, day), summed up within each task before the shuffle."""
+    if not isinstance(df.schema[day].dataType, T.DateType):
+        raise TypeError(f"{day} must be a date column")
     present = df.where(F.col(day).isNotNull())
     return present.groupBy(*keys, day).agg(F.count(F.lit(1)).alias("n_rows"))
 

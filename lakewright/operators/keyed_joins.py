@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 << 20
+HASH_BYTES = 32 << 20  # what one task may hold of the right side as a hash table
 ROW_OVERHEAD = 16
 MAX_HOT_KEYS = 500  # the sketch below returns no more than this many
 SKETCH_ITEMS = 20_000
@@ -85,12 +86,15 @@ def _split(df: DataFrame, hot: DataFrame | None, on: Sequence[str], salt: str, r
     return marked.withColumn(salt, value).drop("_key_hash", "_parts")
 
 
-def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str) -> DataFrame:
+def salted_join(
+    left: DataFrame, right: DataFrame, on: Sequence[str], how: str, right_bytes: int | None = None
+) -> DataFrame:
     """A shuffle join in which the rows of a hot key go to several tasks.
 
     Left rows of a key that is hot on the left are spread, and its right rows repeated to meet
     them. An inner join does the same for keys that are hot on the right; the other kinds need
     every right row of a key next to each left row, and are meant for right sides of distinct keys.
+    A right side known to be small enough per task is hashed, which saves sorting the left one.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salting does not support {how!r} joins")
@@ -100,8 +104,10 @@ def salted_join(left: DataFrame, right: DataFrame, on: Sequence[str], how: str)
     # Own salts first: a repeated row must not be spread by its copies' position.
     left = _split(_split(left, hot_left, on, "_salt_left", False), hot_right, on, "_salt_right", True)
     right = _split(_split(right, hot_right, on, "_salt_right", False), hot_left, on, "_salt_left", True)
-    # Spark's own size estimate must not turn this back into a broadcast: the measured size ruled it out.
-    return left.join(right.hint("merge"), [*on, *salts], how).drop(*salts)
+    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hashed = right_bytes is not None and right_bytes <= partitions * HASH_BYTES
+    # A hint either way, or Spark's own size estimate could turn this back into a broadcast.
+    return left.join(right.hint("shuffle_hash" if hashed else "merge"), [*on, *salts], how).drop(*salts)
 
 
 def keyed_join(
@@ -116,7 +122,7 @@ def keyed_join(
     size = estimated_bytes(right) if right_bytes is None else right_bytes
     if size <= broadcast_bytes:
         return left.join(F.broadcast(right), list(on), how)
-    return salted_join(left, right, on, how)
+    return salted_join(left, right, on, how, size)
 
 
 def matching_keys(

@@ -25,7 +25,7 @@ from lakewright.sinks.tables import (
 from lakewright.sinks.text import write_csv
 from lakewright.sources.files import dated_directory, existing_directory
 from lakewright.sources.lake import glob_scan, read_table
-from lakewright.sources.loads import load_by_name, nested_to_json
+from lakewright.sources.loads import load_by_name, load_csv, nested_to_json
 
 log = logging.getLogger(__name__)
 
@@ -127,10 +127,10 @@ def _insertable(spark_type: str) -> str:
 def consumer_extract(
     df: DataFrame, rule: ColumnRule, output: str, rows: int = 10, order_by: Sequence[str] = ()
 ) -> DataFrame:
-    """The first rows of what a consumer may see, as CSV files under ``output``; returns that query."""
+    """The first rows of what a consumer may see, as CSV files under ``output``; returns what is there."""
     extract = preview(rule.apply(df), rows, order_by)
     write_csv(extract, output)
-    return extract
+    return load_csv(df.sparkSession, output, extract.schema)
 
 
 def register_lake_table(

@@ -86,8 +86,13 @@ def checked_csv_load(
     start_time: dt.datetime,
     max_lengths: Mapping[str, int] | None = None,
     delimiter: str = ",",
+    staging: str | None = None,
 ) -> CheckedLoad:
-    """Load delimited text, setting aside lines with a wrong field count, type or text length."""
+    """Load delimited text, setting aside lines with a wrong field count, type or text length.
+
+    With a ``staging`` path the text is parsed and checked once and written there as Parquet, which
+    all three results then read; without one, each result that is used parses the text.
+    """
     lengths = max_lengths or {}
     corrupt = "_corrupt_record"
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
@@ -118,6 +123,10 @@ def checked_csv_load(
         checks.append(found)
     checked = raw.select("*", F.col("_metadata.file_path").alias("_file"), F.array_compact(F.array(*checks)).alias("_faults"))
 
+    if staging:
+        checked.write.mode("overwrite").parquet(staging)
+        checked = spark.read.schema(checked.schema).parquet(staging)
+
     sound = F.size("_faults") == 0
     started = F.lit(start_time.replace(tzinfo=None).isoformat(" ")).cast("timestamp_ntz")
     load_id = (F.lit(query_id).cast("bigint").alias("query_id"), started.alias("start_time"))
@@ -139,7 +148,13 @@ def checked_csv_load(
     return CheckedLoad(checked.where(sound).select(*typed), errors.select("*", "fault.*").drop("fault"), history)
 
 
-def newest_errors(errors: DataFrame, query_id: int | None = None) -> DataFrame:
-    """Load errors, newest first, of every load or of one."""
-    found = errors if query_id is None else errors.where(F.col("query_id") == query_id)
-    return found.orderBy(F.desc("start_time"))
+def errors_of_load(errors: DataFrame, query_id: int) -> DataFrame:
+    return errors.where(F.col("query_id") == query_id)
+
+
+def newest_errors(errors: DataFrame) -> DataFrame:
+    """Load errors, newest first.
+
+    All errors of a load have one time: the further columns let the sort spread them over tasks.
+    """
+    return errors.orderBy(F.desc("start_time"), "query_id", "file_name", "column_name", "raw_value")

@@ -15,6 +15,7 @@ from lakewright.sinks.text import write_csv
 from lakewright.sources.loads import (
     CheckedLoad,
     checked_csv_load,
+    errors_of_load,
     load_by_name,
     load_csv,
     load_files,
@@ -87,7 +88,7 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT * FROM customer")
 def load_with_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer, path = table(spark, sf_dir, "customer"), scratch_path(spark, "json")
-    customer.write.option("compression", "gzip").json(path)
+    customer.write.json(path)
     loaded = load_files(spark, path, "json", {"mode": "FAILFAST"}, customer.schema)
     return project_to(loaded, customer)
 
@@ -117,7 +118,7 @@ def _dirty_load(spark: SparkSession, sf_dir: str) -> CheckedLoad:
     FROM events WHERE length(event_type) > 6
 """)
 def load_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return newest_errors(_dirty_load(spark, sf_dir).errors, 16).drop("file_name")
+    return newest_errors(errors_of_load(_dirty_load(spark, sf_dir).errors, 16)).drop("file_name")
 
 
 @query("""

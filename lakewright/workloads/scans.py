@@ -22,8 +22,8 @@ def lake_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, table_path(sf_dir, "events"))
 
 
-@query("SELECT *, CAST(ts AS DATE) AS ingestion_date FROM events")
-def glob_file_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("SELECT *, CAST(ts AS DATE) AS ingestion_date FROM events", name="glob_scan")
+def glob_scan_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return glob_scan(spark, dated_events(spark, sf_dir, "glob"))
 
 
@@ -74,11 +74,8 @@ def partitioned_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, target)
 
 
-@query("""
-    SELECT CAST(ts AS DATE) AS ingestion_date, count(*) AS n_rows
-    FROM events GROUP BY ALL
-""")
-def file_manifest_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+@query("SELECT CAST(ts AS DATE) AS ingestion_date, count(*) AS n_rows FROM events GROUP BY ALL", name="file_manifest")
+def file_manifest_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows in the listed files, per directory: how many files there are is up to the cluster."""
     files = file_manifest(read_table(spark, dated_events(spark, sf_dir, "manifest")))
     directory = F.regexp_extract("file_path", r"/date=(\d{4}-\d{2}-\d{2})/", 1).cast("date")

@@ -120,30 +120,32 @@ def test_read_lines(spark, path):
     assert sorted(r[0] for r in loads.read_lines(spark, path).collect()) == ["", "", "a\r", "b"]
 
 
-def checked(spark, path):
+def checked(spark, path, staging):
     schema = T.StructType().add("id", "integer").add("name", "string").add("note", "string").add("at", "date")
-    return loads.checked_csv_load(spark, path, schema, "t", 5, dt.datetime(2024, 1, 1), {"name": 3})
+    return loads.checked_csv_load(spark, path, schema, "t", 5, dt.datetime(2024, 1, 1), {"name": 3}, staging=staging)
 
 
-def test_checked_load(spark, tmp_path):
+@pytest.mark.parametrize("staged", [False, True])
+def test_checked_load(spark, tmp_path, staged):
     lines = ["id,name,note,at", "1,abc,n,2024-01-01", "x,abcd,n,2024-01-01", "2,,,", "3,abc,n", "4,abc,n,2024-01-01,more", "5,abc,n,nodate"]
     (tmp_path / "in.csv").write_text("\n".join(lines) + "\n")
-    load = checked(spark, str(tmp_path / "in.csv"))
+    load = checked(spark, str(tmp_path / "in.csv"), str(tmp_path / "staged") if staged else None)
     assert sorted(map(tuple, load.rows.collect())) == [(1, "abc", "n", dt.date(2024, 1, 1)), (2, None, None, None)]
-    errors = [(r["column_name"], r["raw_value"], r["error_message"]) for r in loads.newest_errors(load.errors, 5).collect()]
+    errors = [(r["column_name"], r["raw_value"], r["error_message"]) for r in loads.errors_of_load(load.errors, 5).collect()]
     assert sorted(errors) == sorted([
         ("id", "x", "invalid value"), ("name", "abcd", "value too long"), ("at", "nodate", "invalid value"),
         ("", "3,abc,n", "wrong number of fields"), ("", "4,abc,n,2024-01-01,more", "wrong number of fields"),
     ])
     assert load.errors.first()["file_name"].endswith("/in.csv")
-    assert loads.newest_errors(load.errors, 6).count() == 0
+    assert loads.errors_of_load(load.errors, 6).count() == 0
     history = load.history.first()
     assert (history["loaded_rows"], history["error_rows"], history["error_count"]) == (2, 4, 5)
     assert history["status"] == "completed with errors"
 
 
 def test_errors_are_newest_first(spark):
-    df = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-03"), (3, "2024-01-02")], "query_id bigint, start_time string")
+    found = [(i, day, "f", "c", "x") for i, day in ((1, "2024-01-01"), (2, "2024-01-03"), (3, "2024-01-02"))]
+    df = spark.createDataFrame(found, "query_id bigint, start_time string, file_name string, column_name string, raw_value string")
     assert [r[0] for r in loads.newest_errors(df).collect()] == [2, 3, 1]
 
 

@@ -44,8 +44,10 @@ def test_matching_keys(skewed, keys, rows, broadcast_bytes):
 
 def test_large_key_sides_are_not_broadcast(skewed, keys, plan):
     physical = plan(keyed_joins.matching_keys(skewed[0], keys[0], ["k"], True, 0)).split("Physical Plan")[1]
-    assert "SortMergeJoin" in physical
+    assert "ShuffledHashJoin" in physical
     assert "_salt_left" in physical
+    unmeasured = plan(keyed_joins.salted_join(skewed[0], keys[0].distinct(), ["k"], "left_semi"))
+    assert "SortMergeJoin" in unmeasured.split("Physical Plan")[1]
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
