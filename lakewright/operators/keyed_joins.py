@@ -10,15 +10,17 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import add
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lakewright.session import shuffle_partitions
+
 BROADCAST_BYTES = 64 << 20
 HASH_BYTES = 32 << 20  # what one task may hold of the right side as a hash table
 ROW_OVERHEAD = 16
-MAX_HOT_KEYS = 500  # the sketch below returns no more than this many
-SKETCH_ITEMS = 20_000
+MIN_BUCKETS, MAX_BUCKETS = 1024, 65_536  # key buckets in which hot keys are looked for
+OVERLOAD = 2  # a bucket with more rows than this many average partitions is hot
 
 _FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
@@ -50,40 +52,44 @@ def key_profile(df: DataFrame, on: Sequence[str]) -> tuple[int, int]:
     return size or 0, rows or 0
 
 
-def hot_keys(df: DataFrame, on: Sequence[str]) -> DataFrame | None:
-    """Keys that overload one shuffle partition, with the number of parts to cut each into.
+def hot_buckets(df: DataFrame, on: Sequence[str]) -> DataFrame | None:
+    """(_bucket, _parts) of the key buckets that overload a shuffle partition, None if there are none.
 
-    A frequent-items sketch finds them in one pass with a fixed-size result. The sketch only picks
-    what to salt; a missed key costs time, never rows. Returns None when no key is hot.
+    Keys are counted by hash bucket: each task sends one count per bucket, whatever the number of
+    keys, and at most half as many buckets are returned as there are partitions. A hot key makes
+    its bucket hot; that the bucket's other keys are cut up with it costs next to nothing.
     """
     spark = df.sparkSession
-    partitions = max(2, min(int(spark.conf.get("spark.sql.shuffle.partitions")), MAX_HOT_KEYS))
-    sketch = df.select(F.xxhash64(*on).alias("key")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.expr(f"approx_top_k(key, {MAX_HOT_KEYS}, {SKETCH_ITEMS})").alias("top"),
-    )
-    load = F.col("found.count") * F.lit(partitions) / F.col("n")
-    hot = (
-        sketch.select("n", F.explode("top").alias("found"))
-        .where(load > 2)
-        .select(F.col("found.item").alias("_key_hash"), F.ceil(load).cast("int").alias("_parts"))
-        .collect()
-    )
-    return spark.createDataFrame(hot, "_key_hash bigint, _parts int") if hot else None
+    partitions = max(2, shuffle_partitions(spark))
+    buckets = _buckets(spark)
+    counts = df.groupBy(_bucket(on, buckets).alias("_bucket")).agg(F.count(F.lit(1)).alias("n"))
+    # A window over all buckets is a window over no more than MAX_BUCKETS rows.
+    load = F.col("n") * F.lit(partitions) / F.sum("n").over(Window.partitionBy())
+    overloaded = counts.select("_bucket", load.alias("load")).where(F.col("load") > OVERLOAD)
+    hot = overloaded.select("_bucket", F.ceil("load").cast("int").alias("_parts")).collect()
+    return spark.createDataFrame(hot, "_bucket int, _parts int") if hot else None
+
+
+def _buckets(spark: SparkSession) -> int:
+    return min(max(MIN_BUCKETS, 4 * shuffle_partitions(spark)), MAX_BUCKETS)
+
+
+def _bucket(on: Sequence[str], buckets: int) -> Column:
+    return F.pmod(F.xxhash64(*on), F.lit(buckets)).cast("int")
 
 
 def _split(df: DataFrame, hot: DataFrame | None, on: Sequence[str], salt: str, repeat: bool) -> DataFrame:
-    """Add a salt below the key's number of parts: one value, or (``repeat``) the row once for each.
+    """Add a salt below the bucket's number of parts: one value, or (``repeat``) the row once for each.
 
     The one value is the number of the task that reads the row, so a task that is run again after
     a lost executor gives its rows the same salt.
     """
     if hot is None:
         return df
-    marked = df.withColumn("_key_hash", F.xxhash64(*on)).join(F.broadcast(hot), "_key_hash", "left")
+    marked = df.withColumn("_bucket", _bucket(on, _buckets(df.sparkSession))).join(F.broadcast(hot), "_bucket", "left")
     parts = F.coalesce("_parts", F.lit(1))
     value = F.explode(F.sequence(F.lit(0), parts - 1)) if repeat else F.pmod(F.spark_partition_id(), parts)
-    return marked.withColumn(salt, value).drop("_key_hash", "_parts")
+    return marked.withColumn(salt, value).drop("_bucket", "_parts")
 
 
 def salted_join(
@@ -98,14 +104,14 @@ def salted_join(
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"salting does not support {how!r} joins")
-    hot_left = hot_keys(left, on)
-    hot_right = hot_keys(right, on) if how == "inner" else None
+    hot_left = hot_buckets(left, on)
+    hot_right = hot_buckets(right, on) if how == "inner" else None
     salts = [name for name, hot in (("_salt_left", hot_left), ("_salt_right", hot_right)) if hot is not None]
     # Own salts first: a repeated row must not be spread by its copies' position.
     left = _split(_split(left, hot_left, on, "_salt_left", False), hot_right, on, "_salt_right", True)
     right = _split(_split(right, hot_right, on, "_salt_right", False), hot_left, on, "_salt_left", True)
-    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    hashed = right_bytes is not None and right_bytes <= partitions * HASH_BYTES
+    share = HASH_BYTES * shuffle_partitions(left.sparkSession)
+    hashed = right_bytes is not None and right_bytes <= share
     # A hint either way, or Spark's own size estimate could turn this back into a broadcast.
     return left.join(right.hint("shuffle_hash" if hashed else "merge"), [*on, *salts], how).drop(*salts)
 

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakewright.functions.warehouse_types import catalog_type
+from lakewright.session import sql_text
 
 DISCOVERED_PREFIX = "delta_"  # fixed value: what discovered tables are called
 
@@ -45,7 +46,7 @@ def lookup_columns(columns: DataFrame, schema_name: str, table_name: str) -> Dat
 
 
 def create_database(spark: SparkSession, database: str, location: str | None = None) -> None:
-    where = f" LOCATION '{location}'" if location else ""
+    where = f" LOCATION {sql_text(location)}" if location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`{where}")
 
 
@@ -63,7 +64,7 @@ def create_table_if_absent(
 ) -> None:
     """Create a table, and its database, from column definitions; an existing table of any shape stays."""
     create_database(spark, database)
-    where = f" LOCATION '{location}'" if location else ""
+    where = f" LOCATION {sql_text(location)}" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS `{database}`.`{table}` ({columns}) USING {fmt}{where}")
 
 
@@ -80,7 +81,7 @@ def register_external(
     create_database(spark, database)
     parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
     spark.sql(
-        f"CREATE TABLE `{database}`.`{table}` ({_definition(df.schema)}) USING {fmt}{parts} LOCATION '{location}'"
+        f"CREATE TABLE `{database}`.`{table}` ({_definition(df.schema)}) USING {fmt}{parts} LOCATION {sql_text(location)}"
     )
     _recover_partitions(spark, database, table)
 
@@ -115,7 +116,7 @@ def discover_table(
     name = f"`{database}`.`{table}`"
     if not spark.catalog.tableExists(f"{database}.{table}"):
         schema_option = " OPTIONS (mergeSchema 'true')" if merge_schema else ""
-        spark.sql(f"CREATE TABLE {name} USING {fmt}{schema_option} LOCATION '{path}'")
+        spark.sql(f"CREATE TABLE {name} USING {fmt}{schema_option} LOCATION {sql_text(path)}")
     else:
         found = spark.read.format(fmt).option("mergeSchema", str(merge_schema).lower()).load(path).schema
         known = set(spark.table(name).columns)

@@ -32,6 +32,12 @@ def build_session(app_name: str = "lakewright", master: str | None = None, **con
     return builder.getOrCreate()
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    """Into how many partitions a shuffle divides its rows, before adaptive execution merges small ones."""
+    initial = spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum", None)
+    return int(initial or spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def shared_root(spark: SparkSession) -> str:
     """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
 
@@ -48,6 +54,11 @@ def shared_root(spark: SparkSession) -> str:
     return _local_roots[context.applicationId]
 
 
+def sql_text(value: str) -> str:
+    """A text literal for SQL, such as a path in a LOCATION clause."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder; nothing is created until a job writes there."""
     return f"{shared_root(spark)}/lakewright/{label}-{uuid.uuid4().hex}"

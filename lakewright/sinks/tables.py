@@ -9,6 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakewright.session import sql_text
+
 PARTITION_COLUMN = "ingestion_date"
 
 
@@ -60,7 +62,7 @@ def publish(df: DataFrame, root: str, table: str | None = None, fmt: str = "parq
     df.write.format(fmt).mode("errorifexists").save(version)
     if table:
         spark = df.sparkSession
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{version}'")
+        spark.sql(f"ALTER TABLE {table} SET LOCATION {sql_text(version)}")
         spark.catalog.refreshTable(table)
     return version
 
@@ -87,7 +89,7 @@ def append_through_staging(df: DataFrame, table: str, staging_root: str, day: dt
 
 def clear_staging(spark: SparkSession, staged: str) -> None:
     """Drop the staged rows but keep the directory and its schema."""
-    write_table(spark.read.parquet(staged).limit(0), staged)
+    write_table(spark.createDataFrame([], spark.read.parquet(staged).schema), staged)
 
 
 def refresh_path(spark: SparkSession, path: str) -> None:

@@ -22,14 +22,14 @@ def keys(spark):
 
 
 def test_hot_keys_are_found(spark, skewed):
-    hot = keyed_joins.hot_keys(skewed[0], ["k"]).collect()
-    expected = spark.range(1).select(F.xxhash64(F.lit(7))).first()[0]
-    assert [(r["_key_hash"], r["_parts"]) for r in hot] == [(expected, 3)]
+    hot = keyed_joins.hot_buckets(skewed[0], ["k"]).collect()
+    expected = spark.range(1).select(F.pmod(F.xxhash64(F.lit(7)), F.lit(keyed_joins.MIN_BUCKETS))).first()[0]
+    assert [(r["_bucket"], r["_parts"]) for r in hot] == [(expected, 3)]
 
 
 def test_no_hot_keys(spark):
-    assert keyed_joins.hot_keys(spark.range(1000), ["id"]) is None
-    assert keyed_joins.hot_keys(spark.range(0), ["id"]) is None
+    assert keyed_joins.hot_buckets(spark.range(1000), ["id"]) is None
+    assert keyed_joins.hot_buckets(spark.range(0), ["id"]) is None
 
 
 @pytest.mark.parametrize("broadcast_bytes", [0, 1 << 20])
