@@ -21,9 +21,9 @@ def is_previous_day(day: Column, as_of: dt.date | Column) -> Column:
 
 
 def date_path(root: str | Column, day: Column, file_name: Column) -> Column:
-    """``root/YYYY/MM/DD/file``."""
+    """``root/YYYY/MM/DD/file``; NULL if a part is, as a shorter path would name something else."""
     root = root if isinstance(root, Column) else F.lit(root)
-    return F.concat_ws("/", root, F.date_format(day, "yyyy/MM/dd"), file_name)
+    return F.concat(root, F.date_format(day, "/yyyy/MM/dd/"), file_name)
 
 
 def date_range(from_date: Column, to_date: Column) -> Column:

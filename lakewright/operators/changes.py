@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakewright.functions.masking import mask_columns
-from lakewright.operators.keyed_joins import BROADCAST_BYTES, key_profile, matching_keys
+from lakewright.operators.keyed_joins import key_profile, matching_keys
 
 
 def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -35,7 +35,7 @@ def delete_where(df: DataFrame, predicate: Column) -> DataFrame:
 
 
 def delete_keys(
-    df: DataFrame, keys: DataFrame, on: Sequence[str], broadcast_bytes: int = BROADCAST_BYTES
+    df: DataFrame, keys: DataFrame, on: Sequence[str], broadcast_bytes: int | None = None
 ) -> DataFrame:
     """Remove the rows whose key is listed."""
     return matching_keys(df, keys, on, keep=False, broadcast_bytes=broadcast_bytes)
@@ -46,7 +46,7 @@ def anonymise_subjects(
     subjects: DataFrame,
     on: Sequence[str],
     masks: Mapping[str, str],
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """The rows of the listed subjects, with the given columns masked."""
     return mask_columns(matching_keys(df, subjects, on, keep=True, broadcast_bytes=broadcast_bytes), masks)
@@ -57,7 +57,7 @@ def upsert(
     source: DataFrame,
     on: Sequence[str],
     newest_by: Sequence[str] | None = None,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """Source rows replace the target rows of the same key; other source rows are added.
 

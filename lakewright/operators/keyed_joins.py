@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from lakewright.session import shuffle_partitions
 
+BROADCAST_SETTING = "spark.lakewright.broadcastBytes"
 BROADCAST_BYTES = 64 << 20
 HASH_BYTES = 32 << 20  # what one task may hold of the right side as a hash table
 ROW_OVERHEAD = 16
@@ -25,6 +26,10 @@ OVERLOAD = 2  # a bucket with more rows than this many average partitions is hot
 _FIXED_WIDTH = (T.NumericType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
+def _broadcast_limit(df: DataFrame, given: int | None) -> int:
+    return int(df.sparkSession.conf.get(BROADCAST_SETTING, str(BROADCAST_BYTES))) if given is None else given
+
+
 def row_bytes(schema: T.StructType) -> Column:
     """About how much memory a row takes."""
 
@@ -121,12 +126,12 @@ def keyed_join(
     right: DataFrame,
     on: Sequence[str],
     how: str,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_bytes: int | None = None,
     right_bytes: int | None = None,
 ) -> DataFrame:
     """Join a large left side to a right side whose size is measured, unless the caller knows it."""
     size = estimated_bytes(right) if right_bytes is None else right_bytes
-    if size <= broadcast_bytes:
+    if size <= _broadcast_limit(left, broadcast_bytes):
         return left.join(F.broadcast(right), list(on), how)
     return salted_join(left, right, on, how, size)
 
@@ -136,7 +141,7 @@ def matching_keys(
     keys: DataFrame,
     on: Sequence[str],
     keep: bool,
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_bytes: int | None = None,
     key_bytes: int | None = None,
 ) -> DataFrame:
     """Left rows whose key is (``keep``) or is not among ``keys``; a NULL key matches nothing.
@@ -146,7 +151,7 @@ def matching_keys(
     """
     how = "left_semi" if keep else "left_anti"
     listed = keys.select(*on)
-    if key_bytes is None and estimated_bytes(listed) <= broadcast_bytes:
+    if key_bytes is None and estimated_bytes(listed) <= _broadcast_limit(left, broadcast_bytes):
         joined = left.join(F.broadcast(listed), list(on), how)
     else:
         joined = keyed_join(left, listed.distinct(), on, how, broadcast_bytes, key_bytes)

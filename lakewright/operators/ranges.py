@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakewright.operators.keyed_joins import BROADCAST_BYTES, keyed_join, row_bytes
+from lakewright.operators.keyed_joins import keyed_join, row_bytes
 
 BOUNDS = ("[)", "(]", "()", "[]")
 DEFAULT_BOUNDS = "[)"
@@ -46,7 +46,7 @@ def range_join(
     lower: str = "lower",
     upper: str = "upper",
     bounds: str = "bounds",
-    broadcast_bytes: int = BROADCAST_BYTES,
+    broadcast_bytes: int | None = None,
 ) -> DataFrame:
     """Every (value row, range row) pair in which the range contains the value.
 

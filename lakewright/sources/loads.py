@@ -37,13 +37,15 @@ def load_csv(spark: SparkSession, path: str, schema: T.StructType | str, delimit
 
 
 def nested_to_json(df: DataFrame) -> DataFrame:
-    """Arrays, maps and structs as JSON text; every other column unchanged."""
-    return df.select(
-        *(
-            F.to_json(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, _NESTED) else F.col(f"`{f.name}`")
-            for f in df.schema
-        )
-    )
+    """Arrays, maps and structs as JSON text, NULL fields included; every other column unchanged."""
+
+    def flat(field: T.StructField) -> Column:
+        value = F.col(f"`{field.name}`")
+        if not isinstance(field.dataType, _NESTED):
+            return value
+        return F.to_json(value, {"ignoreNullFields": "false"}).alias(field.name)
+
+    return df.select(*map(flat, df.schema))
 
 
 def load_parquet_as_json(spark: SparkSession, root: str, day: dt.date | None = None) -> DataFrame:

@@ -21,7 +21,7 @@ from lakewright.workloads.staging import DATABASE, dated_tree, fresh_table
 @query("""
     SELECT * EXCLUDE (rn) FROM (
         SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn FROM events)
-    WHERE rn = 1 AND event_type <> 'error'
+    WHERE rn = 1 AND event_type IS DISTINCT FROM 'error'
 """)
 def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
@@ -33,7 +33,7 @@ def latest_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     WHERE NOT coalesce(CASE WHEN c_mktsegment = 'MACHINERY' THEN NULL ELSE c_acctbal < 0 END, false)
 """)
 def delete_by_predicate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    unknown_for_some = F.when(F.col("c_mktsegment") != "MACHINERY", F.col("c_acctbal") < 0)
+    unknown_for_some = F.when(F.col("c_mktsegment") == "MACHINERY", None).otherwise(F.col("c_acctbal") < 0)
     return changes.delete_where(table(spark, sf_dir, "customer"), unknown_for_some)
 
 
@@ -214,7 +214,7 @@ def ddr_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, version)
 
 
-@query("SELECT * FROM customer WHERE c_acctbal >= 0 UNION ALL SELECT * FROM customer")
+@query("SELECT * FROM customer WHERE NOT coalesce(c_acctbal < 0, false) UNION ALL SELECT * FROM customer")
 def repeated_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Appending rows that are already there adds them again."""
     customer = table(spark, sf_dir, "customer")

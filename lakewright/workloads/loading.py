@@ -112,7 +112,7 @@ def _dirty_load(spark: SparkSession, sf_dir: str) -> CheckedLoad:
     SELECT CAST(16 AS BIGINT) AS query_id, TIMESTAMP '2024-04-06 03:00:00' AS start_time, 'events' AS table_name,
            'value' AS column_name, 'double' AS column_type, 'x' || CAST(value AS VARCHAR) AS raw_value,
            'invalid value' AS error_message
-    FROM events WHERE event_type = 'error'
+    FROM events WHERE event_type = 'error' AND value IS NOT NULL
     UNION ALL
     SELECT 16, TIMESTAMP '2024-04-06 03:00:00', 'events', 'event_type', 'string', event_type, 'value too long'
     FROM events WHERE length(event_type) > 6
@@ -126,12 +126,15 @@ def load_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
            count(*) FILTER (WHERE NOT bad) AS loaded_rows, count(*) FILTER (WHERE bad) AS error_rows,
            count(*) FILTER (WHERE bad) AS error_count,
            CASE WHEN bool_or(bad) THEN 'completed with errors' ELSE 'completed' END AS status
-    FROM (SELECT event_type = 'error' OR length(event_type) > 6 AS bad FROM events)
+    FROM (SELECT coalesce(event_type = 'error' AND value IS NOT NULL OR length(event_type) > 6, false) AS bad FROM events)
 """)
 def load_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dirty_load(spark, sf_dir).history
 
 
-@query("SELECT event_id, event_type, value FROM events WHERE event_type <> 'error' AND length(event_type) <= 6")
+@query("""
+    SELECT event_id, event_type, value FROM events
+    WHERE NOT coalesce(event_type = 'error' AND value IS NOT NULL OR length(event_type) > 6, false)
+""")
 def checked_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dirty_load(spark, sf_dir).rows

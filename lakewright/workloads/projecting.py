@@ -173,7 +173,7 @@ def manifest_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("""
-    SELECT event_id, event_type AS kind, CASE WHEN event_type <> 'error' THEN user_id END AS user_id, value,
+    SELECT event_id, event_type AS kind, CASE WHEN event_type = 'error' THEN NULL ELSE user_id END AS user_id, value,
            user_id > 50 AS regular, CAST(NULL AS VARCHAR) AS unknown, props AS last_cell
     FROM events
 """)

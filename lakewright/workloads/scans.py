@@ -57,10 +57,11 @@ def incremental_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two drops of files, three runs: each file is taken in once."""
     events = table(spark, sf_dir, "events")
     landing, target, checkpoint = (scratch_path(spark, f"ingest-{part}") for part in ("landing", "target", "checkpoint"))
-    write_table(events.where("event_type = 'view'"), f"{landing}/drop=1")
+    early = F.col("event_type").eqNullSafe("view")
+    write_table(events.where(early), f"{landing}/drop=1")
     stream = new_files(spark, f"{landing}/drop=*", events.schema, suffix=".parquet")
     ingest_available(stream, target, checkpoint)
-    write_table(events.where("event_type <> 'view'"), f"{landing}/drop=2")
+    write_table(events.where(~early), f"{landing}/drop=2")
     ingest_available(stream, target, checkpoint)
     ingest_available(stream, target, checkpoint)
     return spark.read.schema(events.schema).parquet(target)
@@ -91,7 +92,7 @@ def file_manifest_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 def schema_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A path becomes a table; later files bring a column, which the next discovery adds."""
     events = with_ingestion_date(table(spark, sf_dir, "events"))
-    early = F.col("event_type").isin("click", "error")
+    early = F.coalesce(F.col("event_type").isin("click", "error"), F.lit(False))
     root = dated_tree(spark, events.where(early).drop("props"), fresh_table(spark, sf_dir, "discovery"))
     name = discover_table(spark, root, DATABASE)
     later = events.where(~early).withColumn("date", F.col("ingestion_date"))
