@@ -63,14 +63,14 @@ def upsert(
 
     Several source rows for one key are settled by ``newest_by``; without it they are an error.
     """
-    key_bytes = None
+    keys, key_bytes = source, None
     if newest_by:
         source = newest_per_key(source, on, newest_by)
     else:
         key_bytes, most_rows = key_profile(source, on)
         if most_rows > 1:
             raise ValueError(f"several source rows share a key {list(on)}; pass newest_by to pick one")
-    untouched = matching_keys(target, source, on, False, broadcast_bytes, key_bytes)
+    untouched = matching_keys(target, keys, on, False, broadcast_bytes, key_bytes)
     return source.select(*target.columns).unionByName(untouched)
 
 

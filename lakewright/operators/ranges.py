@@ -10,7 +10,9 @@ from lakewright.operators.keyed_joins import keyed_join, row_bytes
 
 BOUNDS = ("[)", "(]", "()", "[]")
 DEFAULT_BOUNDS = "[)"
-UNBOUNDED_LEVEL = 2000  # above every exponent a double can have: one cell holds the whole axis
+OPEN_LEVEL = 2000  # above every other level: one cell holds the whole axis
+OPEN_WIDTH = 2.0**1000  # ranges this wide count as unbounded when they are filed
+MIN_LEVEL = -60
 
 
 def contains(value: Column, lower: Column, upper: Column, bounds: Column) -> Column:
@@ -35,10 +37,6 @@ def _axis(value: Column, data_type: T.DataType) -> Column:
     raise TypeError(f"no axis for {data_type.simpleString()}")
 
 
-def _cell(axis: Column, level: Column) -> Column:
-    return F.when(level == UNBOUNDED_LEVEL, F.lit(0).cast("bigint")).otherwise(F.floor(axis / F.pow(F.lit(2.0), level)))
-
-
 def range_join(
     values: DataFrame,
     ranges: DataFrame,
@@ -57,28 +55,32 @@ def range_join(
     shared = set(values.columns) & set(ranges.columns)
     if shared:
         raise ValueError(f"values and ranges share column names {sorted(shared)}; rename one side")
-    value_type = values.schema[value].dataType
     low, high = (_axis(F.col(end), ranges.schema[end].dataType) for end in (lower, upper))
     width = high - low
     # Even levels only: half as many lookups per value for cells at most four times a range's width.
-    fitted = F.when(width > 0, 2 * F.ceil(F.log2(width) / 2).cast("int")).otherwise(F.lit(0))
-    open_ended = F.col(lower).isNull() | F.col(upper).isNull()
-    level = F.when(open_ended, F.lit(UNBOUNDED_LEVEL)).otherwise(fitted)
+    fitted = F.greatest(F.lit(MIN_LEVEL), 2 * F.ceil(F.log2(width) / 2).cast("int"))
+    open_ended = low.isNull() | high.isNull() | ~(width < OPEN_WIDTH)
+    level = F.when(open_ended, F.lit(OPEN_LEVEL)).when(width > 0, fitted).otherwise(F.lit(0))
 
     usable = ranges.where(F.col(bounds).isNotNull() & (open_ended | (F.col(lower) <= F.col(upper))))
     leveled = usable.withColumn("_level", level)
-    first, last = (_cell(end, F.col("_level")) for end in (low, high))
+    is_open, scale = F.col("_level") == OPEN_LEVEL, F.pow(F.lit(2.0), F.col("_level"))
+    first, last = (F.when(is_open, F.lit(0).cast("bigint")).otherwise(F.floor(end / scale)) for end in (low, high))
     filed = leveled.withColumn("_cell", F.explode(F.sequence(first, last)))
     # At most one level per even exponent of a double, so the set is bounded by construction.
     levels, size = filed.agg(F.collect_set("_level"), F.sum(row_bytes(filed.schema))).first()
     if not levels:
         return values.join(ranges, F.lit(False))
 
-    looked_up = (
-        values.where(F.col(value).isNotNull())
-        .withColumn("_level", F.explode(F.array(*map(F.lit, sorted(levels)))))
-        .withColumn("_cell", _cell(_axis(F.col(value), value_type), F.col("_level")))
-    )
+    axis = _axis(F.col(value), values.schema[value].dataType)
+
+    def cell(level: int) -> Column:
+        # Scaling by a power of two is exact, so both sides agree on every cell.
+        found = F.lit(0).cast("bigint") if level == OPEN_LEVEL else F.floor(axis * F.lit(2.0**-level))
+        return F.struct(F.lit(level).alias("_level"), found.alias("_cell"))
+
+    cells = F.explode(F.array(*map(cell, sorted(levels)))).alias("_at")
+    looked_up = values.where(F.col(value).isNotNull()).select("*", cells).select("*", "_at.*").drop("_at")
     candidates = keyed_join(looked_up, filed, ["_level", "_cell"], "inner", broadcast_bytes, size)
     exact = contains(F.col(value), F.col(lower), F.col(upper), F.col(bounds))
     return candidates.where(exact).drop("_level", "_cell")

@@ -314,7 +314,7 @@ def test_consumer_extract_writes_csv(spark, path):
     assert sorted(r[0] for r in got.collect()) == list(range(10))
 
 
-def test_rebuild_brings_back_files_a_log_dropped(spark, tmp_path):
+def test_rebuild_table(spark, tmp_path):
     source, target = str(tmp_path / "source"), str(tmp_path / "target")
     rows = dated(spark).withColumn("ingestion_date", F.col("date"))
     tables.write_partitioned(rows, source, ("date",))
