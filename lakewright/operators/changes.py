@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -62,12 +64,14 @@ def upsert(
     """Source rows replace the target rows of the same key; other source rows are added.
 
     Several source rows for one key are settled by ``newest_by``; without it they are an error.
+    Rows without a key equal no other row, as in a SQL merge: they are all added.
     """
-    keys, key_bytes = source, None
+    keyless = reduce(or_, (F.col(c).isNull() for c in on))
+    keys, key_bytes = source.where(~keyless), None
     if newest_by:
-        source = newest_per_key(source, on, newest_by)
+        source = newest_per_key(keys, on, newest_by).unionByName(source.where(keyless))
     else:
-        key_bytes, most_rows = key_profile(source, on)
+        key_bytes, most_rows = key_profile(keys, on)
         if most_rows > 1:
             raise ValueError(f"several source rows share a key {list(on)}; pass newest_by to pick one")
     untouched = matching_keys(target, keys, on, False, broadcast_bytes, key_bytes)

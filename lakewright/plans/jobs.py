@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import logging
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -47,6 +48,15 @@ def rebuild_table(
     write_partitioned(glob_scan(spark, source), target, partition_by, fmt, clustered=clustered)
 
 
+@dataclass(frozen=True)
+class DailyRun:
+    """The published version, and which of the two steps are in it."""
+
+    version: str
+    deleted: bool
+    appended: bool
+
+
 def daily_delete_and_append(
     target: DataFrame,
     root: str,
@@ -57,13 +67,13 @@ def daily_delete_and_append(
     scope: str = "date",
     append_fmt: str = "avro",
     table: str | None = None,
-) -> str:
+) -> DailyRun:
     """Apply the deletes, add the anonymised rows of the previous day, publish the result.
 
     Nothing is appended when the previous day has no files. ``scope="prefix"`` then appends every
     day under ``append_root`` and not just that one. With ``on_delete_error="continue"`` a failing
-    delete leaves the rows in place and the append still happens. One write does it all; only a
-    failed delete costs a second one.
+    delete leaves the rows in place and the append still happens; the result tells. One write does
+    it all; only a failed delete costs a second one.
     """
     if on_delete_error not in ("continue", "fail"):
         raise ValueError(f"on_delete_error must be 'continue' or 'fail', not {on_delete_error!r}")
@@ -79,12 +89,12 @@ def daily_delete_and_append(
 
     if delete is not None:
         try:
-            return publish(with_append(delete(target)), root, table)
+            return DailyRun(publish(with_append(delete(target)), root, table), True, found is not None)
         except Exception:
             if on_delete_error == "fail":
                 raise
             log.exception("delete step failed; appending without it")
-    return publish(with_append(target), root, table)
+    return DailyRun(publish(with_append(target), root, table), False, found is not None)
 
 
 def upsert_through_staging(

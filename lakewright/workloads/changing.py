@@ -202,7 +202,7 @@ def ddr_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     subjects = customer.where("c_nationkey = 7").select(F.col("c_custkey").alias("user_id"))
     kept = changes.matching_keys(events, subjects, ["user_id"], keep=True)
     exported = mask_columns(kept, {"user_id": "null", "props": "sha256"}).withColumn("day", F.col("ts").cast("date"))
-    version = jobs.daily_delete_and_append(
+    run = jobs.daily_delete_and_append(
         events,
         scratch_path(spark, "ddr"),
         dated_tree(spark, exported, "ddr-append", "day"),
@@ -211,7 +211,7 @@ def ddr_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
         on_delete_error="fail",
         append_fmt="parquet",
     )
-    return read_table(spark, version)
+    return read_table(spark, run.version)
 
 
 @query("SELECT * FROM customer WHERE NOT coalesce(c_acctbal < 0, false) UNION ALL SELECT * FROM customer")

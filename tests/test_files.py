@@ -255,19 +255,21 @@ def ddr(spark, tmp_path):
     target = spark.range(5).withColumn("v", F.lit("x"))
 
     def run(as_of=dt.date(2024, 4, 7), **options):
-        version = jobs.daily_delete_and_append(
+        done = jobs.daily_delete_and_append(
             target, str(tmp_path / "out"), str(tmp_path / "exports"), as_of, append_fmt="json", **options
         )
-        return sorted(r[0] for r in spark.read.parquet(version).collect())
+        ids = sorted(r[0] for r in spark.read.parquet(done.version).collect())
+        assert done.appended == any(i > 4 for i in ids)
+        return done.deleted, ids
 
     return run
 
 
 def test_daily_job(spark, ddr):
     keys = spark.createDataFrame([(1,), (2,)], "id bigint")
-    assert ddr(delete=lambda df: delete_keys(df, keys, ["id"])) == [0, 3, 4, 100, 101]
-    assert ddr(delete=lambda df: delete_where(df, F.col("id") > 2), scope="prefix") == [0, 1, 2, 90, 100, 101]
-    assert ddr(as_of=dt.date(2024, 4, 9)) == [0, 1, 2, 3, 4]
+    assert ddr(delete=lambda df: delete_keys(df, keys, ["id"])) == (True, [0, 3, 4, 100, 101])
+    assert ddr(delete=lambda df: delete_where(df, F.col("id") > 2), scope="prefix") == (True, [0, 1, 2, 90, 100, 101])
+    assert ddr(as_of=dt.date(2024, 4, 9)) == (False, [0, 1, 2, 3, 4])
 
 
 def test_daily_job_with_a_failing_delete(ddr):
@@ -276,7 +278,7 @@ def test_daily_job_with_a_failing_delete(ddr):
         lambda df: df.where(F.raise_error(F.lit("broken")).isNull()),  # fails while rows are computed
     ]
     for delete in failures:
-        assert ddr(delete=delete) == [0, 1, 2, 3, 4, 100, 101]
+        assert ddr(delete=delete) == (False, [0, 1, 2, 3, 4, 100, 101])
         with pytest.raises(Exception):
             ddr(delete=delete, on_delete_error="fail")
     with pytest.raises(ValueError):

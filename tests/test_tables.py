@@ -51,6 +51,15 @@ def test_upsert(spark, rows):
     assert rows(newest) == expected
 
 
+@pytest.mark.parametrize("newest_by", [None, ["v"]])
+def test_upsert_adds_every_row_without_a_key(spark, rows, newest_by):
+    schema = "k int, j int, v string"
+    target = spark.createDataFrame([(None, 1, "t"), (1, 1, "old")], schema)
+    source = spark.createDataFrame([(None, 1, "a"), (None, 1, "b"), (1, None, "c"), (1, None, "d"), (1, 1, "new")], schema)
+    got = changes.upsert(target, source, ["k", "j"], newest_by)
+    assert rows(got) == sorted([(None, 1, "t"), (1, 1, "new"), *map(tuple, source.collect()[:4])], key=str)
+
+
 def test_upsert_into_empty_and_from_empty(spark, rows):
     some = spark.createDataFrame([(1, "a")], "k int, v string")
     assert rows(changes.upsert(some.limit(0), some, ["k"])) == [(1, "a")]
