@@ -5,6 +5,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
+from operator import add, and_
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -114,40 +116,44 @@ def checked_csv_load(
     checks = [F.when(malformed, fault("", "", F.col(corrupt), "wrong number of fields"))]
     typed = []
     for field in schema:
-        text = F.col(f"`{field.name}`")
-        type_name = field.dataType.simpleString()
-        value = text if isinstance(field.dataType, T.StringType) else text.try_cast(field.dataType)
-        typed.append(value.alias(field.name))
-        found = F.when(~malformed & text.isNotNull() & value.isNull(), fault(field.name, type_name, text, "invalid value"))
+        text, type_name = F.col(f"`{field.name}`"), field.dataType.simpleString()
+        problems = []
+        if isinstance(field.dataType, T.StringType):
+            typed.append(text)
+        else:
+            value = text.try_cast(field.dataType)
+            typed.append(value.alias(field.name))
+            problems.append((text.isNotNull() & value.isNull(), "invalid value"))
         if field.name in lengths:
-            too_long = ~malformed & (F.length(text) > lengths[field.name])
-            found = found.when(too_long, fault(field.name, type_name, text, "value too long"))
-        checks.append(found)
-    checked = raw.select("*", F.col("_metadata.file_path").alias("_file"), F.array_compact(F.array(*checks)).alias("_faults"))
-
+            problems.append((F.length(text) > lengths[field.name], "value too long"))
+        checks += [F.when(~malformed & bad, fault(field.name, type_name, text, message)) for bad, message in problems]
+    faults = [f"_fault{i}" for i in range(len(checks))]
+    marks = (check.alias(name) for check, name in zip(checks, faults, strict=True))
+    checked = raw.select("*", F.col("_metadata.file_path").alias("_file"), *marks)
     if staging:
         checked.write.mode("overwrite").parquet(staging)
         checked = spark.read.schema(checked.schema).parquet(staging)
 
-    sound = F.size("_faults") == 0
+    n_faults = reduce(add, (F.col(name).isNotNull().cast("bigint") for name in faults))
+    sound = reduce(and_, (F.col(name).isNull() for name in faults))
     started = F.lit(start_time.replace(tzinfo=None).isoformat(" ")).cast("timestamp_ntz")
-    load_id = (F.lit(query_id).cast("bigint").alias("query_id"), started.alias("start_time"))
-    errors = checked.where(~sound).select(
-        *load_id, F.lit(table).alias("table_name"), F.col("_file").alias("file_name"), F.explode("_faults").alias("fault")
+    load_id = (
+        F.lit(query_id).cast("bigint").alias("query_id"),
+        started.alias("start_time"),
+        F.lit(table).alias("table_name"),
     )
+    listed = checked.where(~sound).select("_file", F.explode(F.array(*faults)).alias("fault")).where("fault IS NOT NULL")
     history = checked.agg(
         F.count_if(sound).alias("loaded_rows"),
         F.count_if(~sound).alias("error_rows"),
-        F.coalesce(F.sum(F.size("_faults")), F.lit(0)).cast("bigint").alias("error_count"),
-    ).select(
-        *load_id,
-        F.lit(table).alias("table_name"),
-        "loaded_rows",
-        "error_rows",
-        "error_count",
-        F.when(F.col("error_count") == 0, "completed").otherwise("completed with errors").alias("status"),
+        F.coalesce(F.sum(n_faults), F.lit(0).cast("bigint")).alias("error_count"),
+    )
+    status = F.when(F.col("error_count") == 0, "completed").otherwise("completed with errors").alias("status")
+    return CheckedLoad(
+        checked.where(sound).select(*typed),
+        listed.select(*load_id, F.col("_file").alias("file_name"), "fault.*"),
+        history.select(*load_id, "*", status),
     )
-    return CheckedLoad(checked.where(sound).select(*typed), errors.select("*", "fault.*").drop("fault"), history)
 
 
 def errors_of_load(errors: DataFrame, query_id: int) -> DataFrame:
