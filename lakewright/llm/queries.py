@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakewright.llm import decontamination, packing, pii, sharding, token_counts, token_files
+from lakewright.llm import decontamination, near_dup, packing, pii, sharding, token_counts, token_files
 from lakewright.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -59,3 +59,8 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
     return decontamination.digest(decontamination.find_windows(docs, items))
+
+
+@_query
+def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.digest(near_dup.near_duplicates(_table(spark, sf_dir, "documents"), words=4, percent=80))

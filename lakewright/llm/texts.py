@@ -40,14 +40,18 @@ def portions(batch: pa.RecordBatch, name: str = "text", size: int = BATCH_CHARS)
 
 
 def map_batches(
-    df: DataFrame, schema: str, convert: Callable[[pa.RecordBatch], dict[str, object]], text: str = "text"
+    df: DataFrame,
+    schema: str,
+    convert: Callable[[pa.RecordBatch], dict[str, object]],
+    text: str = "text",
+    size: int = BATCH_CHARS,
 ) -> DataFrame:
     """Apply ``convert`` to portions of every partition; it returns the columns of ``schema`` by name."""
     arrow = to_arrow_schema(T._parse_datatype_string(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for portion in portions(batch, text):
+            for portion in portions(batch, text, size):
                 yield _batch(convert(portion), arrow)
 
     return df.mapInArrow(run, schema)
