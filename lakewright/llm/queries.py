@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakewright.llm import decontamination, near_dup, packing, pii, sharding, token_counts, token_files
+from lakewright.llm import decontamination, near_dup, packing, pii, quality, sharding, token_counts, token_files
 from lakewright.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +64,9 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.digest(near_dup.near_duplicates(_table(spark, sf_dir, "documents"), words=4, percent=80))
+
+
+@_query
+def op9_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    return quality.digest(quality.score_documents(docs, quality.train_model(docs, labels)))
