@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lakewright.llm import decontamination, near_dup, packing, pii, quality, sharding, token_counts, token_files
+from lakewright.llm import decontamination, near_dup, packing, pii, quality, scoring, sharding, token_counts, token_files
 from lakewright.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,8 @@ def op8_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
     return quality.digest(quality.score_documents(docs, quality.train_model(docs, labels)))
+
+
+@_query
+def op6_context_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.score_held_out(_table(spark, sf_dir, "documents"), folds=7, held_out=2)
