@@ -29,8 +29,13 @@ _WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")  # the same word
 _HITS = "array<struct<first_word:int,last_word:int,start:int,end:int,item_id:bigint>>"
 
 
+def normal_text(text: bytes) -> bytes:
+    """Lower-cased, with a space for every ASCII character that is not in a word."""
+    return text.translate(_NORMAL)
+
+
 def words_of(text: bytes) -> list[bytes]:
-    return text.translate(_NORMAL).split()
+    return normal_text(text).split()
 
 
 def windows_of(text: bytes, window: int) -> set[bytes]:

@@ -52,11 +52,10 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
-def shingle_sets(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
-    """(distinct shingle hashes of all texts, ascending within each text; the bounds of the texts among them).
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """(a 64-bit hash of every word of all texts, in order; the bounds of the texts among them).
 
-    Words are runs of anything but ASCII white space, with A-Z lower-cased. A text with fewer words than a
-    shingle has one shingle of all of them; one without words has none.
+    Words are runs of anything but ASCII white space, with A-Z lower-cased.
     """
     known = _constants()
     data = np.frombuffer(b" ".join([t.lower() for t in texts]) + b" ", np.uint8)
@@ -72,16 +71,24 @@ def shingle_sets(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray
     inside = np.arange(starts[0], len(data)) - np.repeat(starts, sizes)
     hashed = known["bytes"][data[starts[0] :]] * powers[inside]
     word = _mix(np.add.reduceat(hashed, starts - starts[0]))
-    last = np.searchsorted(starts, ends)  # words up to the end of each text
-    count = np.diff(np.concatenate(([0], last)))
+    return word, np.concatenate(([0], np.searchsorted(starts, ends)))
+
+
+def shingle_sets(texts: list[bytes], words: int) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct shingle hashes of all texts, ascending within each text; the bounds of the texts among them).
+
+    A text with fewer words than a shingle has one shingle of all of them; one without words has none.
+    """
+    word, bounds = word_hashes(texts)
+    count = np.diff(bounds)
     shingles = np.where(count >= words, count - words + 1, np.minimum(count, 1))
     owner = np.repeat(np.arange(len(texts)), shingles)
-    first = np.repeat(last - count, shingles) + np.arange(len(owner)) - np.repeat(np.cumsum(shingles) - shingles, shingles)
+    first = np.repeat(bounds[:-1], shingles) + np.arange(len(owner)) - np.repeat(np.cumsum(shingles) - shingles, shingles)
     width = np.minimum(count[owner], words)
     value = width.astype(np.uint64)
     for k in range(words):
         used = k < width
-        value[used] += word[first[used] + k] * known["words"][k]
+        value[used] += word[first[used] + k] * _constants()["words"][k]
     value = _mix(value)
     order = np.lexsort((value, owner))
     value, owner = value[order], owner[order]

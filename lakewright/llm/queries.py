@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakewright.llm import decontamination, near_dup, packing, pii, quality, scoring, sharding, token_counts, token_files
+from lakewright.llm import decontamination, near_dup, packing, pii, quality, scoring, search, sharding, token_counts, token_files
 from lakewright.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -75,3 +76,10 @@ def op9_quality_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op6_context_tree_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scoring.score_held_out(_table(spark, sf_dir, "documents"), folds=7, held_out=2)
+
+
+@_query
+def op10_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    asked = docs.where(F.col("doc_id") % 20 == 0).select(F.col("doc_id").alias("query_id"), "text")
+    return search.top_k(docs, asked, k=10)
