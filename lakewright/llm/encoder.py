@@ -36,43 +36,101 @@ def visible_chunks(text: str) -> list[str]:
     return [text] if _OTHER_SPACE.search(text) else text.split()
 
 
+def _byte_characters() -> dict[int, str]:
+    """The characters by which byte-level models write bytes: visible ones stand for themselves."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(256 + n) for n, b in enumerate(hidden)}
+
+
+_BYTES = _byte_characters()
+_MARKS = ".,;:!?"
+_PROBES = ["Word", " word", "\nWord,", " w\u00f6rd.", " \u00c9t\u00c9!?", "word;", " a", "\nb.", " straightforwardness", "\u00f1"]
+
+
+class _Numbers(dict):
+    """Numbers of chunks; a new chunk gets the next one and waits to be encoded."""
+
+    def __init__(self) -> None:
+        self.waiting: list[str] = []
+
+    def __missing__(self, chunk: str) -> int:
+        self[chunk] = number = len(self)
+        self.waiting.append(chunk)
+        return number
+
+
 class ChunkEncoder:
-    """``keeps_space`` tells whether white space is part of the tokens."""
+    """``keeps_space`` tells whether white space is part of the tokens.
+
+    Plain words, a Latin word with at most a blank before and marks after it, go straight to the library's model: the
+    pre-tokenizer would pass them on as they are. Whether that holds is tried out on a few words; if it
+    does not, and for all other chunks, the library's whole pipeline is used.
+    """
 
     def __init__(self, path: str, keeps_space: bool):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.tokenize = self.tokenizer.model.tokenize
+        self.keeps_space = keeps_space
         self.chunks_of = spaced_chunks if keeps_space else visible_chunks
+        probes = _PROBES if keeps_space else [p.strip() for p in _PROBES]
+        expected = [e.ids for e in self.tokenizer.encode_batch(probes, add_special_tokens=False)]
+        self.plain_words = [self._plain(p) for p in probes] == expected
         self.forget()
 
     def forget(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index = _Numbers()
         self.starts, self.ids, self.chars = array("q", [0]), array("I"), 0
 
-    def _learn(self, chunks: list[str]) -> None:
-        for encoding in self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False):
-            self.ids.extend(encoding.ids)
-            self.starts.append(len(self.ids))
-        for chunk in chunks:
-            self.index[chunk] = len(self.index)
-            self.chars += len(chunk)
+    def _plain(self, chunk: str) -> list[int] | None:
+        """Ids of a plain word, None for other chunks."""
+        lead = chunk[:1] if chunk[:1] in " \n" else ""
+        body = chunk[len(lead) :]
+        core = body.rstrip(_MARKS)
+        if not core.isalpha() or max(core) >= "\u0250":
+            return None
+        marks = body[len(core) :]
+        if self.keeps_space:
+            parts = [lead + core] if lead == " " else [lead, core]
+        elif core.isascii():
+            parts = [core.lower()]
+        else:
+            parts = [core] if core.islower() else [core.lower()] if core.lower().upper() == core.upper() else []
+            if not parts:
+                return None
+        ids = []
+        for part in (*parts, marks):
+            if part:
+                word = part if part.isascii() and part.isalpha() else part.encode().decode("latin-1").translate(_BYTES)
+                ids += [t.id for t in self.tokenize(word)]
+        return ids
+
+    def _learn(self) -> None:
+        """Encode the chunks that wait."""
+        waiting, self.index.waiting = self.index.waiting, []
+        for first in range(0, len(waiting), 20_000):
+            chunks = waiting[first : first + 20_000]
+            known = [self._plain(c) if c and self.plain_words else None for c in chunks]
+            other = [c for c, ids in zip(chunks, known, strict=True) if ids is None]
+            whole = iter(self.tokenizer.encode_batch_fast(other, add_special_tokens=False))
+            for chunk, ids in zip(chunks, known, strict=True):
+                self.ids.extend(next(whole).ids if ids is None else ids)
+                self.starts.append(len(self.ids))
+                self.chars += len(chunk)
 
     def _chunk_numbers(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.index) > MAX_CHUNKS or self.chars > MAX_CHARS:
             self.forget()
-        parts = [self.chunks_of(text) for text in texts]
-        counts = np.fromiter(map(len, parts), np.int64, len(parts))
-        unknown = list(dict.fromkeys(c for part in parts for c in part if c not in self.index))
-        for first in range(0, len(unknown), 20_000):
-            self._learn(unknown[first : first + 20_000])
-        numbers = np.empty(int(counts.sum()), np.int64)
-        at = 0
-        for part in parts:
-            numbers[at : at + len(part)] = np.fromiter(map(self.index.__getitem__, part), np.int64, len(part))
-            at += len(part)
-        return numbers, counts
+        numbers, counts = [], []
+        for text in texts:
+            chunks = self.chunks_of(text)
+            counts.append(len(chunks))
+            numbers.append(np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks)))
+        self._learn()
+        return np.concatenate(numbers), np.array(counts, np.int64)
 
     def _per_text(self, lengths: np.ndarray, counts: np.ndarray) -> np.ndarray:
         ends = np.concatenate(([0], np.cumsum(lengths)))[np.cumsum(np.concatenate(([0], counts)))]

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-BATCH_CHARS = 4 << 20  # how much text a helper handles at a time
+BATCH_CHARS = 2 << 20  # how much text a helper handles at a time
 
 
 def utf8_of(column: pa.Array) -> list[bytes]:
