@@ -269,12 +269,12 @@ def without_copies(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = P
     A row that repeats the id and the text of another counts as the same row. Rows without words stay.
     """
     found = near_duplicates(docs, words, percent)
-    gone = found.where(~F.col("kept")).select(F.coalesce("doc_id", F.lit(-(1 << 63))).alias("_id"), "text_key").distinct()
-    keyed = docs.withColumns(
-        {"_id": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63))), "text_key": F.xxhash64("text")}
-    )
-    kept = matching_keys(keyed, saved(gone, "copies"), ["_id", "text_key"], keep=False)
-    return kept.dropDuplicates(["_id", "text_key"]).drop("_id", "text_key")
+    row_id, row_text = "__near_dup_id", "__near_dup_text"  # names that no table has
+    no_id = F.lit(-(1 << 63))
+    gone = found.where(~F.col("kept")).select(F.coalesce("doc_id", no_id).alias(row_id), F.col("text_key").alias(row_text))
+    keyed = docs.withColumns({row_id: F.coalesce(F.col("doc_id").cast("bigint"), no_id), row_text: F.xxhash64("text")})
+    kept = matching_keys(keyed, saved(gone.distinct(), "copies"), [row_id, row_text], keep=False)
+    return kept.dropDuplicates([row_id, row_text]).drop(row_id, row_text)
 
 
 def digest(found: DataFrame) -> DataFrame:
