@@ -21,16 +21,18 @@ def components(links: DataFrame) -> DataFrame:
     The label is the least node of the component. Each round takes the least label among the neighbours and then
     that label's own label, so a path of n links takes about log2(n) rounds.
     """
-    both = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    both = saved(both.where(F.col("a") != F.col("b")).distinct(), "links")
-    labels = saved(both.groupBy(F.col("a").alias("node")).agg(F.min(F.least("a", "b")).alias("label")), "labels")
+    ends = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = links.where(F.col("a") != F.col("b")).select(F.inline(ends)).distinct()
+    nodes = both.groupBy("a").agg(F.min(F.least("a", "b")).alias("label"))
+    labels = saved(nodes.withColumnRenamed("a", "node"), "labels")
+    # A node is its own neighbour too, so one grouping gives the least label and the one before.
+    near = saved(both.unionByName(nodes.select("a", F.col("a").alias("b"))), "neighbours")
     while True:
-        near = both.join(labels.select(F.col("node").alias("b"), "label"), "b").groupBy("a").agg(F.min("label").alias("near"))
-        lower = labels.join(near.withColumnRenamed("a", "node"), "node").select(
-            "node", F.col("label").alias("old"), F.least("label", "near").alias("lower")
-        )
+        seen = near.join(labels.select(F.col("node").alias("b"), "label"), "b")
+        old = F.max(F.when(F.col("a") == F.col("b"), F.col("label")))
+        lower = seen.groupBy("a").agg(F.min("label").alias("lower"), old.alias("old"))
         jump = labels.select(F.col("node").alias("lower"), F.col("label").alias("jump"))
-        moved = lower.join(jump, "lower").select("node", "old", F.least("lower", "jump").alias("label"))
+        moved = lower.join(jump, "lower").select(F.col("a").alias("node"), "old", F.least("lower", "jump").alias("label"))
         moved = saved(moved, "labels")
         labels = moved.select("node", "label")
         if moved.where(F.col("old") != F.col("label")).isEmpty():

@@ -6,7 +6,7 @@ to all shingles, so every coordinate is filled. Two sketches agree in a coordina
 sets' similarity, and the number of agreements is concentrated like that of independent samples.
 
 Texts with the same shingle set are one node from the start. Nodes that share a band form a bucket. Within it all
-nodes are first compared to two leaders; then only pairs from different components are left to compare, so a
+nodes are first compared to a leader, or several; then only pairs from different components are left to compare, so a
 large group of near copies costs about as many comparisons as it has members, and no link between
 components is passed over.
 """
@@ -26,9 +26,11 @@ from lakewright.operators.keyed_joins import keyed_join, matching_keys
 
 SHINGLE_WORDS = 5
 PERCENT = 80  # links have 100 * intersection >= PERCENT * union
-BINS = 128
-BAND_ROWS = 4  # 32 bands of 4: a pair at 80 % shares none with probability 5e-8
-LEAST_AGREEING = 77  # of 128 coordinates; a pair at 80 % falls short with probability below 1e-7
+BINS = 576
+BAND_ROWS = 8  # 72 bands of 8: a pair at 80 % shares none with probability 2e-6, one at 85 % with 1e-10
+COMPARED = 128  # coordinates that are compared before full sets are
+LEAST_AGREEING = 77  # of them; a pair at 80 % falls short with probability below 1e-7
+PAIRS_PER_MEMBER = 8  # with more pairs left than this for each member, another leader comes first; decides speed only
 PORTION = 1 << 20
 
 _SPACE = np.zeros(256, bool)
@@ -103,19 +105,26 @@ def sketches(values: np.ndarray, bounds: np.ndarray, bins: int = BINS) -> np.nda
     seeds = _constants()["rounds"]
     sets = len(bounds) - 1
     flat = np.full(sets * bins, _EMPTY)
+    by_set = flat.reshape(sets, bins)
     sizes = np.diff(bounds)
     owner = np.repeat(np.arange(sets), sizes)
+    open_sets = np.flatnonzero(sizes)
     for turn in range(2 * bins):
         hashed = _mix(values ^ seeds[turn])
         bin_of = (hashed % np.uint64(bins)).astype(np.int64) if turn < bins else turn - bins
-        value = (np.uint64(turn) << np.uint64(56)) | (hashed >> np.uint64(8))
+        value = (np.uint64(turn) << np.uint64(48)) | (hashed >> np.uint64(16))
         np.minimum.at(flat, owner * bins + bin_of, value)
-        short = (flat.reshape(sets, bins) == _EMPTY).any(axis=1) & (sizes > 0)
-        if not short.any():
+        short = (by_set[open_sets] == _EMPTY).any(axis=1)
+        if short.all():
+            continue
+        open_sets = open_sets[short]
+        if not len(open_sets):
             break
-        still = short[owner]
+        still = np.zeros(sets, bool)
+        still[open_sets] = True
+        still = still[owner]
         values, owner = values[still], owner[still]
-    return flat.reshape(sets, bins)
+    return by_set
 
 
 def _bands(sketch: np.ndarray) -> np.ndarray:
@@ -130,7 +139,7 @@ def _fingerprints(docs: DataFrame, words: int) -> DataFrame:
     def convert(batch):
         values, bounds = shingle_sets(utf8_of(batch.column("text")), words)
         sketch = sketches(values, bounds)
-        bands, short = _bands(sketch), sketch.astype(np.uint16)  # low bits are as good as all for comparing
+        bands, short = _bands(sketch), sketch[:, :COMPARED].astype(np.uint8)  # unequal ones rarely end alike
         full = np.diff(bounds) > 0
         nodes = [
             hashlib.blake2b(values[a:b], digest_size=16).digest() if b > a else None
@@ -154,32 +163,32 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def _full_sets(docs: DataFrame, reps: DataFrame, words: int) -> DataFrame:
-    """(node, shingles) of the nodes in ``reps`` (node, doc_id, text_key), from their texts."""
+    """(id, shingles) of the nodes in ``reps`` (id, doc_id, text_key), from their texts."""
     keyed = _keyed(docs).withColumn("_id", F.coalesce("doc_id", F.lit(-(1 << 63)))).drop("doc_id")
-    wanted = reps.select("node", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("_id"), "text_key")
+    wanted = reps.select("id", F.coalesce("doc_id", F.lit(-(1 << 63))).alias("_id"), "text_key")
     found = keyed_join(keyed, wanted, ["_id", "text_key"], "inner")
 
     def convert(batch):
         values, bounds = shingle_sets(utf8_of(batch.column("text")), words)
         shingles = [v for v in np.split(values.view(np.int64), bounds[1:-1])]
-        return {"node": batch.column("node"), "shingles": shingles}
+        return {"id": batch.column("id"), "shingles": shingles}
 
-    sets = map_batches(found.select("node", "text"), "node binary, shingles array<bigint>", convert, size=PORTION)
-    return sets.groupBy("node").agg(F.first("shingles").alias("shingles"))
+    sets = map_batches(found.select("id", "text"), "id bigint, shingles array<bigint>", convert, size=PORTION)
+    return sets.groupBy("id").agg(F.first("shingles").alias("shingles"))
 
 
 def _likely(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs whose sketches agree in enough coordinates for their sets to be similar enough."""
-    sketch_of = nodes.select("node", "sketch")
+    sketch_of = nodes.select("id", "sketch")
     joined = pairs.join(sketch_of.toDF("a", "sketch_a"), "a").join(sketch_of.toDF("b", "sketch_b"), "b")
 
     def convert(batch):
         left, right = (
-            np.frombuffer(b"".join(batch.column(n).to_pylist()), np.uint16).reshape(-1, BINS) for n in ("sketch_a", "sketch_b")
+            np.frombuffer(b"".join(batch.column(n).to_pylist()), np.uint8).reshape(-1, COMPARED) for n in ("sketch_a", "sketch_b")
         )
         return {"a": batch.column("a"), "b": batch.column("b"), "agreeing": (left == right).sum(axis=1)}
 
-    compared = map_batches(joined, "a binary, b binary, agreeing int", convert, "sketch_a")
+    compared = map_batches(joined, "a bigint, b bigint, agreeing int", convert, "sketch_a")
     return compared.where(F.col("agreeing") >= LEAST_AGREEING).select("a", "b")
 
 
@@ -202,7 +211,7 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     An empty table gives no rows.
     """
     rows = saved(_fingerprints(docs, words), "fingerprints")
-    nodes = saved(
+    distinct = (
         rows.where(F.col("node").isNotNull())
         .groupBy("node")
         .agg(
@@ -210,37 +219,45 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
             F.min(F.struct("doc_id", "text_key")).alias("rep"),
             F.first("bands").alias("bands"),
             F.first("sketch").alias("sketch"),
-        ),
-        "nodes",
+        )
     )
-    members = nodes.select("node", F.explode("bands").alias("band"))
-    ends = members.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high"))
-    shared = saved(members.join(ends.where(F.col("low") != F.col("high")), "band"), "buckets")
-
-    to_first = shared.where(F.col("node") != F.col("low")).select(F.col("low").alias("a"), F.col("node").alias("b"))
+    # Written once, so the short numbers that stand for the digests from here on do not change.
+    nodes = saved(distinct.withColumn("id", F.monotonically_increasing_id()), "nodes")
+    members = nodes.select("id", F.explode("bands").alias("band"))
+    ends = members.groupBy("band").agg(F.min("id").alias("low"), F.max("id").alias("high"))
+    ends = ends.where(F.col("low") != F.col("high")).drop("high")
+    shared = saved(members.join(ends, "band"), "buckets")
+
+    to_first = shared.where(F.col("id") != F.col("low")).select(F.col("low").alias("a"), F.col("id").alias("b"))
     tested = saved(to_first.distinct(), "pairs")
     # Every link's two ends share a bucket, so the nodes that may ever be verified are known by now.
-    linkable = shared.select("node").distinct()
-    reps = nodes.select("node", "rep.doc_id", "rep.text_key")
-    sets = saved(_full_sets(docs, reps.join(linkable, "node", "left_semi"), words), "sets")
+    linkable = shared.select("id").distinct()
+    reps = nodes.select("id", "rep.doc_id", "rep.text_key")
+    sets = saved(_full_sets(docs, reps.join(linkable, "id", "left_semi"), words), "sets")
     links = saved(_verified(_likely(tested, nodes), sets, percent), "links")
 
-    for leaders in (True, False):
-        labelled = _labelled(shared, components(links))
-        left = labelled.where(F.col("low_label") != F.col("high_label"))
+    while True:
+        left, pairs, members = _unresolved(shared, components(links))
+        if not pairs:
+            break
+        # Comparing with one more node per bucket joins components, which pays while there are many pairs.
+        leaders = pairs > PAIRS_PER_MEMBER * members
         if leaders:
-            far = left.where(F.col("label") != F.col("top_label")).select(F.col("node").alias("a"), F.col("high").alias("b"))
+            far = left.where(F.col("label") != F.col("leader_label")).select(F.col("id").alias("a"), F.col("leader").alias("b"))
         else:
-            one = left.select("band", F.col("node").alias("a"), F.col("label").alias("label_a"))
-            two = left.select("band", F.col("node").alias("b"), F.col("label").alias("label_b"))
+            one = left.select("band", F.col("id").alias("a"), F.col("label").alias("label_a"))
+            two = left.select("band", F.col("id").alias("b"), F.col("label").alias("label_b"))
             far = one.join(two, "band").where((F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b"))).select("a", "b")
-        fresh = saved(far.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+        ordered = far.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        fresh = saved(ordered.join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = tested.union(fresh)
         links = links.union(saved(_verified(_likely(fresh, nodes), sets, percent), "links"))
+        if not leaders or fresh.isEmpty():
+            break
 
-    labels = components(links)
-    grouped = nodes.select("node", "least_id").join(labels, "node", "left")
-    grouped = grouped.withColumn("group", F.coalesce("label", "node"))
+    labels = components(links).withColumnRenamed("node", "id")
+    grouped = nodes.select("node", "id", "least_id").join(labels, "id", "left")
+    grouped = grouped.withColumn("group", F.coalesce("label", "id"))
     least = grouped.where(F.col("label").isNotNull()).groupBy("group").agg(F.min("least_id").alias("smallest"))
     of_node = grouped.join(least, "group", "left").select(
         "node", "group", F.coalesce("smallest", "least_id").alias("component_id")
@@ -252,15 +269,22 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     )
 
 
-def _labelled(shared: DataFrame, labels: DataFrame) -> DataFrame:
-    """Bucket members with their component, and the range of components of the bucket."""
-    own = shared.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    ranges = own.groupBy("band").agg(
-        F.min("label").alias("low_label"),
-        F.max("label").alias("high_label"),
-        F.max(F.struct("node", "label"))["label"].alias("top_label"),
+def _unresolved(shared: DataFrame, labels: DataFrame) -> tuple[DataFrame, int, int]:
+    """Members of buckets with several components, each bucket with a leader; the pairs across components; the members."""
+    named = labels.withColumnRenamed("node", "id")
+    own = shared.join(named, "id", "left").withColumn("label", F.coalesce("label", "id"))
+    own = saved(own.select("band", "id", "label"), "labelled")
+    of_label = own.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("top"))
+    n = F.col("n").cast("double")
+    buckets = of_label.groupBy("band").agg(
+        F.max(F.struct("top", "label")).alias("leader"),
+        F.sum(n).alias("members"),
+        ((F.sum(n) * F.sum(n) - F.sum(n * n)) / 2).alias("pairs"),
     )
-    return saved(own.join(ranges.where(F.col("low_label") != F.col("high_label")), "band"), "unresolved")
+    several = saved(buckets.where(F.col("pairs") > 0), "several")
+    pairs, members = several.agg(F.coalesce(F.sum("pairs"), F.lit(0.0)), F.coalesce(F.sum("members"), F.lit(0.0))).first()
+    leader = several.select("band", F.col("leader.top").alias("leader"), F.col("leader.label").alias("leader_label"))
+    return own.join(leader, "band"), int(pairs), int(members)
 
 
 def without_copies(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:
