@@ -30,6 +30,7 @@ BINS = 576
 BAND_ROWS = 8  # 72 bands of 8: a pair at 80 % shares none with probability 2e-6, one at 85 % with 1e-10
 COMPARED = 128  # coordinates that are compared before full sets are
 LEAST_AGREEING = 77  # of them; a pair at 80 % falls short with probability below 1e-7
+LEADERS = 3  # further leaders at most; what they leave is compared in full
 PAIRS_PER_MEMBER = 8  # with more pairs left than this for each member, another leader comes first; decides speed only
 PORTION = 1 << 20
 
@@ -236,23 +237,23 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     sets = saved(_full_sets(docs, reps.join(linkable, "id", "left_semi"), words), "sets")
     links = saved(_verified(_likely(tested, nodes), sets, percent), "links")
 
-    while True:
-        left, pairs, members = _unresolved(shared, components(links))
+    for turn in range(LEADERS + 1):
+        left, pairs, members = _unresolved(shared, components(links), turn)
         if not pairs:
             break
         # Comparing with one more node per bucket joins components, which pays while there are many pairs.
-        leaders = pairs > PAIRS_PER_MEMBER * members
-        if leaders:
-            far = left.where(F.col("label") != F.col("leader_label")).select(F.col("id").alias("a"), F.col("leader").alias("b"))
-        else:
+        last = turn == LEADERS or pairs <= PAIRS_PER_MEMBER * members
+        if last:
             one = left.select("band", F.col("id").alias("a"), F.col("label").alias("label_a"))
             two = left.select("band", F.col("id").alias("b"), F.col("label").alias("label_b"))
             far = one.join(two, "band").where((F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b"))).select("a", "b")
+        else:
+            far = left.where(F.col("label") != F.col("leader_label")).select(F.col("id").alias("a"), F.col("leader").alias("b"))
         ordered = far.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         fresh = saved(ordered.join(tested, ["a", "b"], "left_anti"), "pairs")
         tested = tested.union(fresh)
         links = links.union(saved(_verified(_likely(fresh, nodes), sets, percent), "links"))
-        if not leaders or fresh.isEmpty():
+        if last:
             break
 
     labels = components(links).withColumnRenamed("node", "id")
@@ -269,12 +270,12 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     )
 
 
-def _unresolved(shared: DataFrame, labels: DataFrame) -> tuple[DataFrame, int, int]:
+def _unresolved(shared: DataFrame, labels: DataFrame, turn: int) -> tuple[DataFrame, int, int]:
     """Members of buckets with several components, each bucket with a leader; the pairs across components; the members."""
     named = labels.withColumnRenamed("node", "id")
     own = shared.join(named, "id", "left").withColumn("label", F.coalesce("label", "id"))
     own = saved(own.select("band", "id", "label"), "labelled")
-    of_label = own.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("top"))
+    of_label = own.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct(F.xxhash64("id", F.lit(turn)), "id")).alias("top"))
     n = F.col("n").cast("double")
     buckets = of_label.groupBy("band").agg(
         F.max(F.struct("top", "label")).alias("leader"),
@@ -283,7 +284,7 @@ def _unresolved(shared: DataFrame, labels: DataFrame) -> tuple[DataFrame, int, i
     )
     several = saved(buckets.where(F.col("pairs") > 0), "several")
     pairs, members = several.agg(F.coalesce(F.sum("pairs"), F.lit(0.0)), F.coalesce(F.sum("members"), F.lit(0.0))).first()
-    leader = several.select("band", F.col("leader.top").alias("leader"), F.col("leader.label").alias("leader_label"))
+    leader = several.select("band", F.col("leader.top.id").alias("leader"), F.col("leader.label").alias("leader_label"))
     return own.join(leader, "band"), int(pairs), int(members)
 
 
