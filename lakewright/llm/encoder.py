@@ -14,8 +14,8 @@ from functools import lru_cache
 
 import numpy as np
 
-MAX_CHUNKS = 300_000  # chunks remembered by a worker; beyond it the memory starts anew
-MAX_CHARS = 8 << 20
+MAX_CHUNKS = 700_000  # chunks remembered by a worker; beyond it the memory starts anew
+MAX_CHARS = 16 << 20
 
 _OTHER_SPACE = re.compile(r"[^\S \n]|[\0\x1c-\x1f]")
 _CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
@@ -44,7 +44,8 @@ def _byte_characters() -> dict[int, str]:
 
 
 _BYTES = _byte_characters()
-_MARKS = ".,;:!?"
+# A Latin word; letters below U+0250 are the same in every version of Unicode.
+_PLAIN = re.compile("([ \\n]?)([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+)([.,;:!?]*)")
 _PROBES = ["Word", " word", "\nWord,", " w\u00f6rd.", " \u00c9t\u00c9!?", "word;", " a", "\nb.", " straightforwardness", "\u00f1"]
 
 
@@ -76,6 +77,7 @@ class ChunkEncoder:
         self.tokenize = self.tokenizer.model.tokenize
         self.keeps_space = keeps_space
         self.chunks_of = spaced_chunks if keeps_space else visible_chunks
+        self.parts: dict[str, list[int]] = {}
         probes = _PROBES if keeps_space else [p.strip() for p in _PROBES]
         expected = [e.ids for e in self.tokenizer.encode_batch(probes, add_special_tokens=False)]
         self.plain_words = [self._plain(p) for p in probes] == expected
@@ -85,28 +87,32 @@ class ChunkEncoder:
         self.index = _Numbers()
         self.starts, self.ids, self.chars = array("q", [0]), array("I"), 0
 
+    def _part(self, part: str) -> list[int]:
+        """Ids of a blank, a line feed or marks, of which there are few."""
+        if part not in self.parts:
+            self.parts[part] = [t.id for t in self.tokenize(part.translate(_BYTES))] if part else []
+        return self.parts[part]
+
     def _plain(self, chunk: str) -> list[int] | None:
         """Ids of a plain word, None for other chunks."""
-        lead = chunk[:1] if chunk[:1] in " \n" else ""
-        body = chunk[len(lead) :]
-        core = body.rstrip(_MARKS)
-        if not core.isalpha() or max(core) >= "\u0250":
+        match = _PLAIN.fullmatch(chunk)
+        if not match:
             return None
-        marks = body[len(core) :]
-        if self.keeps_space:
-            parts = [lead + core] if lead == " " else [lead, core]
-        elif core.isascii():
-            parts = [core.lower()]
-        else:
-            parts = [core] if core.islower() else [core.lower()] if core.lower().upper() == core.upper() else []
-            if not parts:
+        lead, word, marks = match.groups()
+        if not self.keeps_space:
+            lower = word.lower()
+            if lower is not word and lower.upper() != word.upper():
                 return None
-        ids = []
-        for part in (*parts, marks):
-            if part:
-                word = part if part.isascii() and part.isalpha() else part.encode().decode("latin-1").translate(_BYTES)
-                ids += [t.id for t in self.tokenize(word)]
-        return ids
+            lead, word = "", lower
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(_BYTES)
+        if lead == " ":
+            ids = [t.id for t in self.tokenize(_BYTES[32] + word)]
+        else:
+            ids = [t.id for t in self.tokenize(word)]
+            if lead:
+                ids = self._part(lead) + ids
+        return ids + self._part(marks) if marks else ids
 
     def _learn(self) -> None:
         """Encode the chunks that wait."""
