@@ -233,8 +233,8 @@ def train_model(docs: DataFrame) -> Model:
     """Count all of ``docs`` (text) and weigh the trees. Null texts are empty; no texts give a model that knows nothing."""
     counts = saved(training_counts(docs), "counts")
     words = counts.where(F.col("word").isNotNull()).select("word", "n")
-    frame = counts.where(F.col("word").isNull()).select("code", "n").toPandas()  # bounded by the depth of the trees
-    code, n = frame["code"].to_numpy(np.int64), frame["n"].to_numpy(np.int64)
+    frame = counts.where(F.col("word").isNull()).select("code", "n").toArrow()  # bounded by the depth of the trees
+    code, n = frame["code"].to_numpy(), frame["n"].to_numpy()
     documents = int(n[code == -1].sum())
     trees = []
     for low, high, depth, bits, least in ((0, _PLACES, CLASS_DEPTH, CLASS_BITS, 0), (_PLACES, 1 << 62, PLACE_DEPTH, PLACE_BITS, 1)):
