@@ -36,13 +36,15 @@ def manifest_envelope(
 ) -> Column:
     """One envelope per row from an array of entries, so its size is that row's own array.
 
-    No entries give an empty record list; no errors give the text ``0``.
+    ``errors`` is JSON text and becomes that value itself, an object for a mapping. No errors give the number
+    ``0``; no entries give an empty record list.
     """
+    # The names of the envelope's fields and the text "done" are fixed values.
     records = F.transform(entries, lambda entry: manifest_record(entry, bucket))
     nothing = F.filter(F.array(manifest_record(F.lit(""), bucket)), lambda _: F.lit(False))
     return F.struct(
         F.struct(F.lit("done").alias("execution")).alias("data"),
         F.coalesce(records, nothing).alias("Records"),
         F.lit(triggered).alias("StepFunctionTriggered"),
-        (F.lit("0") if errors is None else F.coalesce(errors, F.lit("0"))).alias("Errors"),
+        F.parse_json(F.lit("0") if errors is None else F.coalesce(errors, F.lit("0"))).alias("Errors"),
     )

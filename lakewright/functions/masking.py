@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
@@ -31,12 +32,20 @@ def dummy_values(df: DataFrame) -> DataFrame:
     return df.select(*(F.col(n) if v is None else v.alias(n) for n, v in replaced.items()))
 
 
-def masked(value: Column, data_type: T.DataType, how: str) -> Column:
-    """``constant`` as in a dummy copy, ``sha256`` of the text, or ``null``."""
+SALT_VARIABLE = "LAKEWRIGHT_MASK_SALT"
+
+
+def masked(value: Column, data_type: T.DataType, how: str, salt: str | None = None) -> Column:
+    """``constant`` as in a dummy copy, ``sha256`` of the text, or ``null``.
+
+    A hash of a small number is found by trying them all, unless a secret ``salt`` stands before it: give one here or in
+    the environment of the driver. Equal values have equal hashes under one salt.
+    """
     if how == "null":
         return F.lit(None).cast(data_type)
     if how == "sha256":
-        return F.sha2(value.cast("string"), 256)
+        secret = os.environ.get(SALT_VARIABLE, "") if salt is None else salt
+        return F.sha2(F.concat(F.lit(secret), value.cast("string")), 256)
     if how == "constant":
         constant = dummy_constant(data_type)
         if constant is None:
@@ -45,14 +54,14 @@ def masked(value: Column, data_type: T.DataType, how: str) -> Column:
     raise ValueError(f"unknown mask {how!r}")
 
 
-def mask_columns(df: DataFrame, masks: Mapping[str, str]) -> DataFrame:
+def mask_columns(df: DataFrame, masks: Mapping[str, str], salt: str | None = None) -> DataFrame:
     """Apply one mask per named column, in place."""
     missing = set(masks) - set(df.columns)
     if missing:
         raise ValueError(f"cannot mask absent columns {sorted(missing)}")
     return df.select(
         *(
-            masked(F.col(f.name), f.dataType, masks[f.name]).alias(f.name) if f.name in masks else F.col(f.name)
+            masked(F.col(f.name), f.dataType, masks[f.name], salt).alias(f.name) if f.name in masks else F.col(f.name)
             for f in df.schema
         )
     )

@@ -17,7 +17,8 @@ def newest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     """The newest row of each key.
 
     Spark applies the limit of one row per key before the shuffle as well as after it, so a key
-    with a third of all rows sends only one row per task.
+    with a third of all rows sends only one row per task. Rows without a key are one group, as in a SQL
+    GROUP BY, of which the newest stays; an upsert, like a SQL merge, keeps each of them.
     """
     newest_first = Window.partitionBy(*keys).orderBy(*(F.col(c).desc() for c in order))
     return df.withColumn("_rank", F.row_number().over(newest_first)).where("_rank = 1").drop("_rank")
@@ -64,8 +65,12 @@ def upsert(
     """Source rows replace the target rows of the same key; other source rows are added.
 
     Several source rows for one key are settled by ``newest_by``; without it they are an error.
-    Rows without a key equal no other row, as in a SQL merge: they are all added.
+    Rows without a key equal no other row, as in a SQL merge: they are all added. Values are cast to the target's
+    types; a source column that the target lacks is an error.
     """
+    unknown = set(source.columns) - set(target.columns)
+    if unknown:
+        raise ValueError(f"the target has no columns {sorted(unknown)}")
     keyless = reduce(or_, (F.col(c).isNull() for c in on))
     keys, key_bytes = source.where(~keyless), None
     if newest_by:
@@ -75,19 +80,27 @@ def upsert(
         if most_rows > 1:
             raise ValueError(f"several source rows share a key {list(on)}; pass newest_by to pick one")
     untouched = matching_keys(target, keys, on, False, broadcast_bytes, key_bytes)
-    return source.select(*target.columns).unionByName(untouched)
+    return project_to(source, target).unionByName(untouched)
 
 
 def append_by_position(target: DataFrame, incoming: DataFrame) -> DataFrame:
     return target.union(incoming)
 
 
-def project_to(df: DataFrame, target: DataFrame) -> DataFrame:
-    """Columns matched by name onto the target's columns and types: absent ones are NULL, others dropped."""
-    present = set(df.columns)
+def project_to(df: DataFrame, target: DataFrame, ignore_case: bool = False) -> DataFrame:
+    """Columns matched by name onto the target's columns and types: absent ones are NULL, others dropped.
+
+    Without any match every value would be lost, so that is an error.
+    """
+    plain = str.lower if ignore_case else str
+    present = {plain(name): name for name in df.columns}
+    if len(present) < len(df.columns):
+        raise ValueError(f"columns {df.columns} differ only in case")
+    if not any(plain(f.name) in present for f in target.schema):
+        raise ValueError(f"none of the columns {df.columns} is one of {target.columns}")
     return df.select(
         *(
-            (F.col(f"`{f.name}`") if f.name in present else F.lit(None)).cast(f.dataType).alias(f.name)
+            (F.col(f"`{present[plain(f.name)]}`") if plain(f.name) in present else F.lit(None)).cast(f.dataType).alias(f.name)
             for f in target.schema
         )
     )

@@ -86,14 +86,16 @@ def _bucket(on: Sequence[str], buckets: int) -> Column:
 def _split(df: DataFrame, hot: DataFrame | None, on: Sequence[str], salt: str, repeat: bool) -> DataFrame:
     """Add a salt below the bucket's number of parts: one value, or (``repeat``) the row once for each.
 
-    The one value is the number of the task that reads the row, so a task that is run again after
-    a lost executor gives its rows the same salt.
+    The one value is a hash of the row and of the task that reads it, so rows of a hot key part wherever they
+    stand, and a task that is run again after a lost executor gives its rows the same salt.
     """
     if hot is None:
         return df
     marked = df.withColumn("_bucket", _bucket(on, _buckets(df.sparkSession))).join(F.broadcast(hot), "_bucket", "left")
     parts = F.coalesce("_parts", F.lit(1))
-    value = F.explode(F.sequence(F.lit(0), parts - 1)) if repeat else F.pmod(F.spark_partition_id(), parts)
+    hashable = (F.col(f"`{f.name}`") for f in df.schema if not isinstance(f.dataType, (T.MapType, T.VariantType)))
+    row = F.xxhash64(F.spark_partition_id(), F.lit(salt), *hashable)
+    value = F.explode(F.sequence(F.lit(0), parts - 1)) if repeat else F.pmod(row, parts).cast("int")
     return marked.withColumn(salt, value).drop("_bucket", "_parts")
 
 

@@ -49,20 +49,27 @@ def range_join(
     """Every (value row, range row) pair in which the range contains the value.
 
     A range is filed under the cells of a power-of-two grid about as wide as itself, so it covers
-    two or three cells however wide it is. A value is looked up once in each grid that any range
+    two or three cells however wide it is; an open end counts as the outermost value. A value is looked up once in each grid that any range
     uses. That makes the containment test an equi-join on (grid, cell) with the exact test on top.
     """
     shared = set(values.columns) & set(ranges.columns)
     if shared:
         raise ValueError(f"values and ranges share column names {sorted(shared)}; rename one side")
+    axis = _axis(F.col(value), values.schema[value].dataType)
+    least, most = values.agg(F.min(axis), F.max(axis)).first()
+    if least is None:
+        return values.join(ranges, F.lit(False))
+    # Ends beyond all values, open ones too, move in to the outermost value: a range is as wide as what it can meet.
     low, high = (_axis(F.col(end), ranges.schema[end].dataType) for end in (lower, upper))
+    low, high = F.greatest(low, F.lit(least)), F.least(high, F.lit(most))
     width = high - low
     # Even levels only: half as many lookups per value for cells at most four times a range's width.
     fitted = F.greatest(F.lit(MIN_LEVEL), 2 * F.ceil(F.log2(width) / 2).cast("int"))
     open_ended = low.isNull() | high.isNull() | ~(width < OPEN_WIDTH)
     level = F.when(open_ended, F.lit(OPEN_LEVEL)).when(width > 0, fitted).otherwise(F.lit(0))
 
-    usable = ranges.where(F.col(bounds).isNotNull() & (open_ended | (F.col(lower) <= F.col(upper))))
+    ordered = F.col(lower).isNull() | F.col(upper).isNull() | (F.col(lower) <= F.col(upper))
+    usable = ranges.where(F.col(bounds).isNotNull() & ordered & (low <= high))
     leveled = usable.withColumn("_level", level)
     is_open, scale = F.col("_level") == OPEN_LEVEL, F.pow(F.lit(2.0), F.col("_level"))
     first, last = (F.when(is_open, F.lit(0).cast("bigint")).otherwise(F.floor(end / scale)) for end in (low, high))
@@ -72,8 +79,6 @@ def range_join(
     if not levels:
         return values.join(ranges, F.lit(False))
 
-    axis = _axis(F.col(value), values.schema[value].dataType)
-
     def cell(level: int) -> Column:
         # Scaling by a power of two is exact, so both sides agree on every cell.
         found = F.lit(0).cast("bigint") if level == OPEN_LEVEL else F.floor(axis * F.lit(2.0**-level))

@@ -39,6 +39,12 @@ def catalog_columns(spark: SparkSession, database: str) -> DataFrame:
     return spark.createDataFrame(rows, CATALOG_COLUMNS)
 
 
+def table_columns(spark: SparkSession, database: str, table: str) -> DataFrame:
+    """(column_name, column_type) of one table; no other table of the database is looked at."""
+    rows = [(f.name, catalog_type(f.dataType)) for f in spark.table(f"`{database}`.`{table}`").schema]
+    return spark.createDataFrame(rows, "column_name string, column_type string")
+
+
 def lookup_columns(columns: DataFrame, schema_name: str, table_name: str) -> DataFrame:
     """(column_name, column_type) of one table."""
     found = columns.where((F.col("schemaname") == schema_name) & (F.col("tablename") == table_name))
@@ -98,18 +104,23 @@ def table_name_for(path: str, prefix: str = DISCOVERED_PREFIX) -> str:
     return prefix + re.sub(r"\W", "_", last).lower()
 
 
+def _plain_path(path: str) -> str:
+    return re.sub(r"^file:/*", "/", path.rstrip("/"))
+
+
 def discover_table(
     spark: SparkSession,
     path: str,
     database: str,
     fmt: str = "parquet",
     prefix: str = DISCOVERED_PREFIX,
-    merge_schema: bool = False,
+    merge_schema: bool = True,
 ) -> str:
     """Bring the catalog up to date with the files under ``path``; returns the table's full name.
 
-    A new path becomes a table, new columns are added to a known one, new partitions are found.
-    ``merge_schema`` looks into every file, in parallel, where files differ in their columns.
+    A new path becomes a table, new columns are added to a known one, new partitions are found. All files
+    are looked into for that, in parallel; ``merge_schema=False`` looks at a few, and may miss new columns. Two
+    folders of one name would be one table: the second is an error, to be settled by another ``prefix``.
     """
     create_database(spark, database)
     table = table_name_for(path, prefix)
@@ -118,6 +129,9 @@ def discover_table(
         schema_option = " OPTIONS (mergeSchema 'true')" if merge_schema else ""
         spark.sql(f"CREATE TABLE {name} USING {fmt}{schema_option} LOCATION {sql_text(path)}")
     else:
+        known_path = next(r["data_type"] for r in spark.sql(f"DESCRIBE FORMATTED {name}").collect() if r["col_name"] == "Location")
+        if _plain_path(known_path) != _plain_path(path):
+            raise ValueError(f"{name} is the table of {known_path}; give {path} another prefix")
         found = spark.read.format(fmt).option("mergeSchema", str(merge_schema).lower()).load(path).schema
         known = set(spark.table(name).columns)
         added = T.StructType([f for f in found if f.name not in known])

@@ -12,14 +12,19 @@ from pyspark.sql import functions as F
 
 from lakewright.functions.masking import dummy_values
 from lakewright.functions.warehouse_types import spark_column_type
-from lakewright.operators.changes import append_by_name, upsert
+from lakewright.operators.changes import project_to, upsert
 from lakewright.operators.columns import ColumnRule, preview
+from lakewright.operators.keyed_joins import matching_keys
 from lakewright.plans.catalog import create_table_if_absent, register_external
 from lakewright.plans.ddl import sized_columns
+from lakewright.session import scratch_path
 from lakewright.sinks.tables import (
     clear_staging,
     insert_by_position,
+    partition_columns,
     publish,
+    refuse_overlap,
+    replace_partitions,
     write_partitioned,
     write_table,
 )
@@ -33,6 +38,7 @@ log = logging.getLogger(__name__)
 
 def dummy_copy(spark: SparkSession, source: str, target: str, fmt: str = "parquet") -> None:
     """A copy of a table with dummy constants in its text and integer columns."""
+    refuse_overlap(source, target)
     write_table(dummy_values(read_table(spark, source, fmt)), target, fmt)
 
 
@@ -44,15 +50,16 @@ def rebuild_table(
     fmt: str = "parquet",
     clustered: bool = False,
 ) -> None:
-    """A partitioned table from the data files of another, whose log is ignored."""
+    """A partitioned table from the data files of another, whose log is ignored; never in the place of its source."""
+    refuse_overlap(source, target)
     write_partitioned(glob_scan(spark, source), target, partition_by, fmt, clustered=clustered)
 
 
 @dataclass(frozen=True)
 class DailyRun:
-    """The published version, and which of the two steps are in it."""
+    """The folder of the new files, None if there was nothing to write, and which of the two steps were taken."""
 
-    version: str
+    version: str | None
     deleted: bool
     appended: bool
 
@@ -67,34 +74,66 @@ def daily_delete_and_append(
     scope: str = "date",
     append_fmt: str = "avro",
     table: str | None = None,
+    fmt: str = "parquet",
 ) -> DailyRun:
     """Apply the deletes, add the anonymised rows of the previous day, publish the result.
 
-    Nothing is appended when the previous day has no files. ``scope="prefix"`` then appends every
-    day under ``append_root`` and not just that one. With ``on_delete_error="continue"`` a failing
-    delete leaves the rows in place and the append still happens; the result tells. One write does
-    it all; only a failed delete costs a second one.
+    Nothing is appended when the previous day has no files. ``scope="prefix"`` then appends every day under
+    ``append_root`` and not just that one. Of a partitioned ``table`` only the partitions that lose rows are written
+    anew, and new rows come as further files; anything else becomes a whole new version. With nothing to do nothing is
+    written. The delete is evaluated before anything is written: only if that fails, and ``on_delete_error`` is
+    "continue", do the rows stay and the append still happen. A write that fails is an error in any case.
     """
     if on_delete_error not in ("continue", "fail"):
         raise ValueError(f"on_delete_error must be 'continue' or 'fail', not {on_delete_error!r}")
     spark = target.sparkSession
     day = as_of - dt.timedelta(days=1)
     found = existing_directory(spark, append_root, day)
-
-    def with_append(kept: DataFrame) -> DataFrame:
-        if found is None:
-            return kept
+    incoming = None
+    if found is not None:
         path = dated_directory(append_root, day) if scope == "date" else append_root
-        return append_by_name(kept, load_by_name(spark, path, kept, append_fmt))
+        incoming = project_to(load_by_name(spark, path, target, append_fmt), target)
+    columns = partition_columns(spark, table) if table else []
 
+    touched = kept = None
     if delete is not None:
         try:
-            return DailyRun(publish(with_append(delete(target)), root, table), True, found is not None)
+            kept = delete(target)
+            if columns:
+                touched = _partitions_that_shrink(target, kept, columns)
+            else:
+                kept.write.format("noop").mode("overwrite").save()
         except Exception:
             if on_delete_error == "fail":
                 raise
             log.exception("delete step failed; appending without it")
-    return DailyRun(publish(with_append(target), root, table), False, found is not None)
+            touched = kept = None
+    deleted = kept is not None
+    if not deleted and incoming is None:
+        return DailyRun(None, False, False)
+    if not columns:
+        rows = target if kept is None else kept
+        return DailyRun(publish(rows if incoming is None else rows.unionByName(incoming), root, table, fmt), deleted, found is not None)
+    version = None
+    if touched is not None and not touched.isEmpty():
+        same = [kept[c].eqNullSafe(touched[c]) for c in columns]
+        rest = kept.join(F.broadcast(touched), same, "left_semi").select(*target.columns)
+        version = replace_partitions(table, rest, touched, root, fmt)
+    if incoming is not None:
+        insert_by_position(incoming.select(*spark.table(table).columns), table)
+        spark.catalog.refreshTable(table)
+    return DailyRun(version, deleted, found is not None)
+
+
+def _partitions_that_shrink(before: DataFrame, after: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The partitions of which rows are gone, written to the shared folder; there are as many rows as partitions."""
+    spark = before.sparkSession
+    one, two = (df.groupBy(*columns).agg(F.count(F.lit(1)).alias(name)) for df, name in ((before, "had"), (after, "has")))
+    same = [one[c].eqNullSafe(two[c]) for c in columns]
+    shrunk = one.join(two, same, "left").where(F.col("had") > F.coalesce("has", F.lit(0))).select(*(one[c] for c in columns))
+    path = scratch_path(spark, "touched")
+    shrunk.write.parquet(path)
+    return spark.read.schema(shrunk.schema).parquet(path)
 
 
 def upsert_through_staging(
@@ -105,12 +144,25 @@ def upsert_through_staging(
     staging: str,
     newest_by: Sequence[str] | None = None,
     table: str | None = None,
+    fmt: str = "parquet",
 ) -> str:
-    """Stage the source as Parquet, merge it into the target, publish, empty the staging area."""
+    """Stage the source as Parquet, merge it into the target, publish, empty the staging area.
+
+    Of a partitioned ``table`` only partitions that hold a row of a staged key, or get one, are written anew.
+    """
     spark = target.sparkSession
     write_table(source, staging)
     staged = spark.read.schema(source.schema).parquet(staging)
-    version = publish(upsert(target, staged, on, newest_by), root, table)
+    columns = partition_columns(spark, table) if table else []
+    if columns:
+        lost = matching_keys(target, staged, on, keep=True).select(*columns)
+        path = scratch_path(spark, "touched")
+        lost.union(staged.select(*columns)).distinct().write.parquet(path)
+        touched = spark.read.schema(lost.schema).parquet(path)
+        same = [target[c].eqNullSafe(touched[c]) for c in columns]
+        version = replace_partitions(table, upsert(target.join(F.broadcast(touched), same, "left_semi"), staged, on, newest_by), touched, root, fmt)
+    else:
+        version = publish(upsert(target, staged, on, newest_by), root, table, fmt)
     clear_staging(spark, staging)
     return version
 
@@ -144,8 +196,11 @@ def consumer_extract(
 
 
 def register_lake_table(
-    spark: SparkSession, path: str, database: str, table: str, fmt: str = "parquet"
+    spark: SparkSession, path: str, database: str, table: str, fmt: str = "parquet", partition_by: Sequence[str] = ()
 ) -> DataFrame:
-    """Register a lake table in a catalog under its own format, and read it back from there."""
-    register_external(spark, read_table(spark, path, fmt), database, table, path, fmt)
+    """Register a lake table in a catalog under its own format, and read it back from there.
+
+    ``partition_by`` names the columns that the folders under ``path`` stand for: queries then list only theirs.
+    """
+    register_external(spark, read_table(spark, path, fmt), database, table, path, fmt, partition_by)
     return spark.table(f"`{database}`.`{table}`")

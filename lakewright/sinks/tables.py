@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,21 +51,112 @@ def write_partitioned(
     )
 
 
+def refuse_overlap(source: str, target: str) -> None:
+    """Raise if a target that is to be overwritten is the source, lies in it or holds it.
+
+    Of a source with wildcards the part before the first one counts.
+    """
+    fixed = re.split(r"[*?\[{]", source)[0] if re.search(r"[*?\[{]", source) else f"{source.rstrip('/')}/"
+    one, two = (re.sub(r"^file:/*(?=/)", "", re.sub(r"/+", "/", p)) for p in (fixed, f"{target.rstrip('/')}/"))
+    if one.startswith(two) or two.startswith(one.rpartition("/")[0] + "/"):
+        raise ValueError(f"cannot overwrite {target!r} while reading {source!r}: write beside it, or publish a version")
+
+
 def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.format(fmt).mode("overwrite").save(path)
 
 
-def publish(df: DataFrame, root: str, table: str | None = None, fmt: str = "parquet") -> str:
+def new_version(root: str) -> str:
+    return f"{root.rstrip('/')}/v{dt.datetime.now(dt.UTC):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+
+
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [column.name for column in spark.catalog.listColumns(table) if column.isPartition]
+
+
+def publish(
+    df: DataFrame, root: str, table: str | None = None, fmt: str = "parquet", partition_by: Sequence[str] = ()
+) -> str:
     """Write a new version of a table under ``root``; readers move to it only once it is complete.
 
-    With ``table`` the catalog entry is pointed at the new version. Returns the version's path.
+    With ``table`` the catalog entry is pointed at the new version, which is partitioned as the entry is; the entry's
+    partitions move with it. Without one, ``partition_by`` names the partition columns. Returns the version's path.
     """
-    version = f"{root.rstrip('/')}/v{dt.datetime.now(dt.UTC):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
-    df.write.format(fmt).mode("errorifexists").save(version)
+    spark, version = df.sparkSession, new_version(root)
+    columns = partition_columns(spark, table) if table else list(partition_by)
+    rows = clustered_by(df, *columns) if columns else df
+    rows.write.format(fmt).mode("errorifexists").partitionBy(*columns).save(version)
     if table:
-        spark = df.sparkSession
-        spark.sql(f"ALTER TABLE {table} SET LOCATION {sql_text(version)}")
+        point_at(spark, table, version, columns)
+    return version
+
+
+def point_at(spark: SparkSession, table: str, version: str, partition_by: Sequence[str]) -> None:
+    """Let a catalog entry serve the files of a version. Partition entries have places of their own: they are made anew."""
+    spark.sql(f"ALTER TABLE {table} SET LOCATION {sql_text(version)}")
+    if partition_by:
+        _require_external(spark, table)
+        for row in spark.sql(f"SHOW PARTITIONS {table}").collect():  # names of partitions, as the catalog lists them
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_partition_spec(row[0])})")
         spark.catalog.refreshTable(table)
+        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+    spark.catalog.refreshTable(table)
+    served = spark.table(table).select(F.col("_metadata.file_path").alias("path")).limit(1).collect()
+    if served and version.split(":", 1)[-1].strip("/") not in served[0]["path"]:
+        raise RuntimeError(f"{table} does not serve {version} but {served[0]['path']}")
+
+
+def _partition_spec(name: str) -> str:
+    """A partition as the catalog names it (``day=2024-01-01/kind=a``) as a clause."""
+    parts = (part.split("=", 1) for part in name.split("/"))
+    return ", ".join(f"`{column}` = {sql_text(unquote(value))}" for column, value in parts)
+
+
+def _require_external(spark: SparkSession, table: str) -> None:
+    """Dropping a partition of a managed table would delete its files, which may be all there is of a version."""
+    kind = spark.catalog.getTable(table).tableType
+    if kind != "EXTERNAL":
+        raise ValueError(f"{table} is {kind}; only an external table's partitions can move to a new version")
+
+
+def remove_old_versions(spark: SparkSession, root: str, keep: str) -> list[str]:
+    """Delete the versions under ``root`` that are older than ``keep``, on request; returns their paths."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(root)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    current = keep.rstrip("/").rsplit("/", 1)[-1]
+    gone = []
+    for status in files.listStatus(folder):
+        name = status.getPath().getName()
+        if re.fullmatch(r"v\d{8}T\d{6}-[0-9a-f]{8}", name) and name[:16] < current[:16]:
+            files.delete(status.getPath(), True)
+            gone.append(status.getPath().toString())
+    return gone
+
+
+def replace_partitions(
+    table: str, rows: DataFrame, touched: DataFrame, root: str, fmt: str = "parquet"
+) -> str:
+    """Let new rows stand in the place of the touched partitions of a catalog table; no other file is written or read.
+
+    ``touched`` lists partition values; a touched partition without new rows goes. The new files lie in a version of
+    their own under ``root``. Returns its path.
+    """
+    spark, version = rows.sparkSession, new_version(root)
+    columns = partition_columns(spark, table)
+    _require_external(spark, table)
+    clustered_by(rows, *columns).write.format(fmt).mode("errorifexists").partitionBy(*columns).save(version)
+    none = F.lit("__HIVE_DEFAULT_PARTITION__")  # fixed value: Spark's folder for a NULL
+    texts = (F.coalesce(F.col(f"`{c}`").cast("string"), none) for c in columns)
+    plain = [F.when(t.rlike(r"^[\w .-]+$"), t).otherwise(F.raise_error(F.concat(F.lit("no partition path for "), t))) for t in texts]
+    names = F.concat_ws("/", *(F.concat(F.lit(f"{c}="), t) for c, t in zip(columns, plain, strict=True))).alias("name")
+    held = {r["name"] for r in spark.read.format(fmt).schema(rows.schema).load(version).select(names).distinct().collect()}
+    for name in sorted({r["name"] for r in touched.select(names).distinct().collect()} | held):  # partitions, not rows
+        spec = _partition_spec(name)
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+        if name in held:
+            spark.sql(f"ALTER TABLE {table} ADD PARTITION ({spec}) LOCATION {sql_text(f'{version}/{name}')}")
+    spark.catalog.refreshTable(table)
     return version
 
 
@@ -101,11 +194,23 @@ def refresh_table(spark: SparkSession, table: str) -> None:
 
 
 def write_date_paths(df: DataFrame, root: str, day: Column, fmt: str = "parquet") -> None:
-    """Files by day under ``root/year=YYYY/month=MM/day=DD``."""
-    dated = df.select(
-        "*",
-        F.date_format(day, "yyyy").alias("year"),
-        F.date_format(day, "MM").alias("month"),
-        F.date_format(day, "dd").alias("day"),
-    )
-    write_partitioned(dated, root, ("year", "month", "day"), fmt)
+    """Files by day under ``root/YYYY/MM/DD``. Rows without a day are an error: no path is theirs.
+
+    Spark writes all days at once, each to a folder named after its column; the folders are then renamed, which moves
+    no data. Their number is that of the days.
+    """
+    spark, written = df.sparkSession, f"{root.rstrip('/')}/_writing-{uuid.uuid4().hex}"
+    named = F.coalesce(F.date_format(day, "yyyy-MM-dd"), F.raise_error(F.lit("a row has no day")).cast("string"))
+    write_partitioned(df.withColumn("__day", named), written, ("__day",), fmt)
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    files = path(written).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for status in files.listStatus(path(written)):
+        name = status.getPath().getName()
+        if name.startswith("__day="):
+            target = path(f"{root.rstrip('/')}/{name.removeprefix('__day=').replace('-', '/')}")
+            files.mkdirs(target.getParent())
+            files.delete(target, True)
+            if not files.rename(status.getPath(), target):
+                raise RuntimeError(f"cannot move {status.getPath()} to {target}")
+    files.delete(path(written), True)

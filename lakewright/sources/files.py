@@ -32,6 +32,15 @@ def existing_directory(spark: SparkSession, root: str, day: dt.date) -> str | No
         raise
 
 
+def missing_directories(spark: SparkSession, root: str, first: dt.date, last: dt.date) -> DataFrame:
+    """(day) of every day of the range, both ends included, without any file in its ``date=`` directory; one listing."""
+    found = F.regexp_extract("path", r"/date=(\d{4}-\d{2}-\d{2})/", 1)
+    present = list_files(spark, root).select(found.alias("day")).where("day <> ''").select(F.col("day").cast("date")).distinct()
+    ends = F.sequence(F.lit(first.isoformat()).cast("date"), F.lit(last.isoformat()).cast("date"))
+    days = spark.range(1).select(F.explode(ends).alias("day"))
+    return days.join(present, "day", "left_anti")
+
+
 def file_manifest(df: DataFrame) -> DataFrame:
     """(file_path, n_rows) of the files behind a file-based frame."""
     return df.groupBy(F.col("_metadata.file_path").alias("file_path")).agg(F.count(F.lit(1)).alias("n_rows"))

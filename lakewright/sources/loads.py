@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 from operator import add, and_
@@ -16,7 +16,18 @@ from lakewright.operators.changes import project_to
 
 # Microseconds survive a text round trip; Spark's default pattern stops at milliseconds.
 TIMESTAMP_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-CSV_OPTIONS = {"header": "true", "timestampFormat": TIMESTAMP_TEXT, "timestampNTZFormat": TIMESTAMP_TEXT, "escape": '"'}
+CSV_OPTIONS = {
+    "header": "true",
+    "timestampFormat": TIMESTAMP_TEXT,
+    "timestampNTZFormat": TIMESTAMP_TEXT,
+    "escape": '"',
+    "nullValue": "\\N",  # so that NULL and empty text differ
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+}
+LINE_BREAKS = ("escaped", "quoted", "none")
+# A backslash is written too, so that each one in a file stands before one of these letters.
+_ESCAPES = (("\\", "\\b"), ("\n", "\\n"), ("\r", "\\r"))
 
 _NESTED = (T.ArrayType, T.MapType, T.StructType)
 
@@ -33,9 +44,45 @@ def load_files(
     return (reader.schema(schema) if schema is not None else reader).load(path)
 
 
-def load_csv(spark: SparkSession, path: str, schema: T.StructType | str, delimiter: str = ",") -> DataFrame:
-    """Delimited text with one header line per file. Empty text comes back as NULL: CSV has one form for both."""
-    return load_files(spark, path, "csv", {**CSV_OPTIONS, "sep": delimiter}, schema)
+def escaped(df: DataFrame) -> DataFrame:
+    """Line breaks in text columns as ``\\n`` and ``\\r``, backslashes as ``\\b``: a row is then one line of a file."""
+    return _with_texts(df, _ESCAPES)
+
+
+def unescaped(df: DataFrame) -> DataFrame:
+    return _with_texts(df, [(b, a) for a, b in reversed(_ESCAPES)])
+
+
+def _with_texts(df: DataFrame, changes: Sequence[tuple[str, str]]) -> DataFrame:
+    def changed(field: T.StructField) -> Column:
+        value = F.col(f"`{field.name}`")
+        if not isinstance(field.dataType, T.StringType):
+            return value
+        return reduce(lambda text, pair: F.replace(text, *map(F.lit, pair)), changes, value).alias(field.name)
+
+    return df.select(*map(changed, df.schema))
+
+
+def load_csv(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType | str,
+    delimiter: str = ",",
+    line_breaks: str = "escaped",
+    strict: bool = True,
+) -> DataFrame:
+    """Delimited text with one header line per file, as ``write_csv`` writes it.
+
+    Line breaks inside of values: "escaped" files split over tasks. Foreign files mostly have them "quoted", and a
+    file is then one task; "none" takes every line for a row and every value as it stands. A value that does not
+    fit its type, or a line with a wrong number of fields, is an error, unless ``strict`` is off, which makes it
+    NULL; ``checked_csv_load`` lists such lines instead.
+    """
+    if line_breaks not in LINE_BREAKS:
+        raise ValueError(f"line_breaks must be one of {LINE_BREAKS}, not {line_breaks!r}")
+    how = {"sep": delimiter, "mode": "FAILFAST" if strict else "PERMISSIVE", "multiLine": str(line_breaks == "quoted").lower()}
+    loaded = load_files(spark, path, "csv", {**CSV_OPTIONS, **how}, schema)
+    return unescaped(loaded) if line_breaks == "escaped" else loaded
 
 
 def nested_to_json(df: DataFrame) -> DataFrame:
@@ -91,6 +138,7 @@ def checked_csv_load(
     max_lengths: Mapping[str, int] | None = None,
     delimiter: str = ",",
     staging: str | None = None,
+    line_breaks: str = "escaped",
 ) -> CheckedLoad:
     """Load delimited text, setting aside lines with a wrong field count, type or text length.
 
@@ -102,7 +150,11 @@ def checked_csv_load(
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
     # Every field is parsed whichever are selected later, or the field count could not be checked.
     checking = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt, "columnPruning": "false"}
+    checking["multiLine"] = str(line_breaks == "quoted").lower()
     raw = load_files(spark, path, "csv", {**CSV_OPTIONS, "sep": delimiter, **checking}, as_text.add(corrupt, T.StringType()))
+    raw = raw.withColumn("_file", F.col("_metadata.file_path"))
+    if line_breaks == "escaped":
+        raw = unescaped(raw)
 
     def fault(column: str, column_type: str, value: Column, message: str) -> Column:
         return F.struct(
@@ -129,7 +181,7 @@ def checked_csv_load(
         checks += [F.when(~malformed & bad, fault(field.name, type_name, text, message)) for bad, message in problems]
     faults = [f"_fault{i}" for i in range(len(checks))]
     marks = (check.alias(name) for check, name in zip(checks, faults, strict=True))
-    checked = raw.select("*", F.col("_metadata.file_path").alias("_file"), *marks)
+    checked = raw.select("*", *marks)
     if staging:
         checked.write.mode("overwrite").parquet(staging)
         checked = spark.read.schema(checked.schema).parquet(staging)
@@ -163,6 +215,8 @@ def errors_of_load(errors: DataFrame, query_id: int) -> DataFrame:
 def newest_errors(errors: DataFrame) -> DataFrame:
     """Load errors, newest first.
 
-    All errors of a load have one time: the further columns let the sort spread them over tasks.
+    All errors of a load have one time, and many may have one value: the further columns, the last of which
+    differs in every row, let the sort spread them over tasks.
     """
-    return errors.orderBy(F.desc("start_time"), "query_id", "file_name", "column_name", "raw_value")
+    numbered = errors.withColumn("_row", F.monotonically_increasing_id())
+    return numbered.orderBy(F.desc("start_time"), "query_id", "file_name", "column_name", "raw_value", "_row").drop("_row")

@@ -7,6 +7,8 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+ANY_AGE = "36500d"
+
 
 def new_files(
     spark: SparkSession,
@@ -16,9 +18,22 @@ def new_files(
     suffix: str | None = None,
     max_files_per_batch: int | None = None,
     options: Mapping[str, str] | None = None,
+    max_file_age: str = ANY_AGE,
+    clean_source: str | None = None,
+    archive: str | None = None,
 ) -> DataFrame:
-    """A stream over the files under ``path``, only those with ``suffix`` if one is given."""
-    reader = spark.readStream.format(fmt).schema(schema).options(**(options or {}))
+    """A stream over the files under ``path``, only those with ``suffix`` if one is given.
+
+    A file counts as new however old its time is: backfills and copies that keep their times are taken in like
+    any other. For that Spark keeps the paths it has seen on the driver; ``clean_source`` ("delete", or "archive"
+    with a folder) removes finished files, so the landing folder, which is listed each time, stays small. A
+    shorter ``max_file_age`` drops files that are so much older than the newest one seen.
+    """
+    reader = spark.readStream.format(fmt).schema(schema).option("maxFileAge", max_file_age).options(**(options or {}))
+    if clean_source:
+        reader = reader.option("cleanSource", clean_source)
+    if archive:
+        reader = reader.option("sourceArchiveDir", archive)
     if suffix:
         reader = reader.option("pathGlobFilter", f"*{suffix}")
     if max_files_per_batch:

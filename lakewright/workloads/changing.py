@@ -10,12 +10,12 @@ from pyspark.sql import functions as F
 from lakewright.functions.masking import mask_columns
 from lakewright.operators import calendar, changes, ranges
 from lakewright.plans import jobs
-from lakewright.plans.catalog import create_table_if_absent
+from lakewright.plans.catalog import create_table_if_absent, register_external
 from lakewright.session import scratch_path
-from lakewright.sinks.tables import insert_by_position, write_table
+from lakewright.sinks.tables import insert_by_position, write_partitioned, write_table
 from lakewright.sources.lake import read_table
 from lakewright.workloads.registry import query, table
-from lakewright.workloads.staging import DATABASE, dated_tree, fresh_table
+from lakewright.workloads.staging import DATABASE, dated_tree, fresh_table, with_ingestion_date
 
 
 @query("""
@@ -214,6 +214,97 @@ def ddr_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, run.version)
 
 
+def _dated_table(spark: SparkSession, sf_dir: str, label: str) -> tuple[str, DataFrame]:
+    """Events as an external table with a partition for each day: its name, and its rows."""
+    events = with_ingestion_date(table(spark, sf_dir, "events"))
+    name, location = fresh_table(spark, sf_dir, label), scratch_path(spark, label)
+    write_partitioned(events, location, ("ingestion_date",))
+    register_external(spark, events, DATABASE, name, location, partition_by=("ingestion_date",))
+    full_name = f"{DATABASE}.{name}"
+    return full_name, spark.table(full_name).select(*events.columns)
+
+
+_DATED_SUBJECTS = f"SELECT event_id FROM events WHERE user_id IN ({_SUBJECTS_SQL}) AND CAST(ts AS DATE) < DATE '2024-01-10'"
+
+
+@query(f"""
+    SELECT *, CAST(ts AS DATE) AS ingestion_date FROM events WHERE event_id NOT IN ({_DATED_SUBJECTS})
+    UNION ALL
+    SELECT event_id, ts, NULL, event_type, value, sha256(props), CAST(ts AS DATE) FROM events
+    WHERE user_id IN ({_SUBJECTS_SQL}) AND CAST(ts AS DATE) = DATE '2024-01-15'
+""")
+def ddr_daily_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The daily job on a partitioned table, read back through the catalog: only days that lose rows are rewritten."""
+    name, events = _dated_table(spark, sf_dir, "ddr_partitioned")
+    customer = table(spark, sf_dir, "customer")
+    subjects = customer.where("c_nationkey = 7").select(F.col("c_custkey").alias("user_id"))
+    listed = changes.matching_keys(events, subjects, ["user_id"], keep=True)
+    exported = mask_columns(listed, {"user_id": "null", "props": "sha256"}).withColumn("day", F.col("ts").cast("date"))
+    # The export is written before the job runs, as it would be by another one.
+    exports = dated_tree(spark, exported, "ddr-append", "day")
+    gone = listed.where("ingestion_date < DATE '2024-01-10'").select("event_id")
+    jobs.daily_delete_and_append(
+        events,
+        scratch_path(spark, "ddr-partitions"),
+        exports,
+        dt.date(2024, 1, 16),
+        delete=lambda rows: changes.delete_keys(rows, gone, ["event_id"]),
+        on_delete_error="fail",
+        append_fmt="parquet",
+        table=name,
+    )
+    return spark.table(name)
+
+
+@query("""
+    SELECT event_id, ts, user_id, event_type, CASE WHEN event_type = 'click' AND user_id % 50 = 1 THEN value * 2 ELSE value END AS value,
+           props, CAST(ts AS DATE) AS ingestion_date FROM events
+    UNION ALL
+    SELECT -1 - event_id, ts, user_id, event_type, value * 2, props, CAST(ts AS DATE) FROM events
+    WHERE event_type = 'error' AND user_id % 50 = 1
+""")
+def upsert_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An upsert into a partitioned table, read back through the catalog."""
+    name, events = _dated_table(spark, sf_dir, "upsert_partitioned")
+    changed = events.where("event_type IN ('click', 'error') AND user_id % 50 = 1").withColumns(
+        {
+            "value": F.col("value") * 2,
+            "event_id": F.when(F.col("event_type") == "error", -1 - F.col("event_id")).otherwise(F.col("event_id")),
+        }
+    )
+    root, staging = scratch_path(spark, "upserted-partitions"), scratch_path(spark, "staging")
+    jobs.upsert_through_staging(events, changed, ["event_id"], root, staging, table=name)
+    return spark.table(name)
+
+
+@query("""
+    SELECT * FROM orders
+    WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_mktsegment = 'MACHINERY')
+""")
+def delete_by_key_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same delete by the way taken when the keys are too many to broadcast."""
+    customer = table(spark, sf_dir, "customer").where("c_mktsegment = 'MACHINERY'")
+    keys = customer.select(F.col("c_custkey").alias("o_custkey"))
+    return changes.delete_keys(table(spark, sf_dir, "orders"), keys, ["o_custkey"], broadcast_bytes=0)
+
+
+@query("""
+    SELECT s_suppkey, c_custkey FROM supplier JOIN customer
+      ON s_acctbal >= c_acctbal + 9000 AND (c_nationkey >= 3 OR s_acctbal < c_acctbal + 9010)
+""")
+def range_join_open(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many ranges as there are customers, most of them without an end."""
+    first = F.col("c_acctbal") + 9000
+    ranges_ = table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        first.alias("lower"),
+        F.when(F.col("c_nationkey") < 3, F.col("c_acctbal") + 9010).alias("upper"),
+        F.lit("[)").alias("bounds"),
+    )
+    supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
+    return ranges.range_join(supplier, ranges_, "s_acctbal", broadcast_bytes=0).select("s_suppkey", "c_custkey")
+
+
 @query("SELECT * FROM customer WHERE NOT coalesce(c_acctbal < 0, false) UNION ALL SELECT * FROM customer")
 def repeated_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Appending rows that are already there adds them again."""

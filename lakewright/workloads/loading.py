@@ -140,3 +140,26 @@ def load_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 """)
 def checked_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _dirty_load(spark, sf_dir).rows
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN '' WHEN doc_id % 7 = 1 THEN NULL ELSE text END AS text, lang, source, n_chars FROM documents")
+def csv_documents_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts with line breaks, quotes and blanks at their ends, empty ones and NULLs, in files that still split."""
+    documents = table(spark, sf_dir, "documents").withColumn(
+        "text", F.expr("CASE WHEN doc_id % 7 = 0 THEN '' WHEN doc_id % 7 = 1 THEN NULL ELSE text END")
+    )
+    path = scratch_path(spark, "csv-documents")
+    write_csv(documents, path)
+    return load_csv(spark, path, documents.schema)
+
+
+@query("""
+    SELECT CAST(17 AS BIGINT) AS query_id, TIMESTAMP '2024-04-06 03:00:00' AS start_time, 'documents' AS table_name,
+           count(*) AS loaded_rows, CAST(0 AS BIGINT) AS error_rows, CAST(0 AS BIGINT) AS error_count, 'completed' AS status
+    FROM documents
+""")
+def checked_documents_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No line break in a text makes an error."""
+    documents, path = table(spark, sf_dir, "documents"), scratch_path(spark, "checked-documents")
+    write_csv(documents, path)
+    return checked_csv_load(spark, path, documents.schema, "documents", 17, dt.datetime(2024, 4, 6, 3)).history

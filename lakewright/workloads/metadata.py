@@ -8,15 +8,7 @@ from pyspark.sql import functions as F
 from lakewright.functions.warehouse_types import fixed_type, sized_type
 from lakewright.operators.sizing import enriched_columns as enrich
 from lakewright.operators.sizing import max_text_length as measure
-from lakewright.plans.catalog import (
-    catalog_columns as columns_of_database,
-)
-from lakewright.plans.catalog import (
-    lookup_columns,
-    position_frame,
-    register_external,
-    schema_frame,
-)
+from lakewright.plans.catalog import position_frame, register_external, schema_frame, table_columns
 from lakewright.plans.ddl import fixed_ddl, sized_ddl
 from lakewright.plans.jobs import size_and_load as measured_load
 from lakewright.session import scratch_path
@@ -58,10 +50,10 @@ def max_text_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
          (SELECT {_grown("max(length(event_type))")} AS kinds, {_grown("max(length(props))")} AS texts FROM events)
 """)
 def catalog_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One table's columns, looked up in a listing of the whole database, with the lengths in its data."""
+    """One table's columns, looked up by its name alone, with the lengths in its data."""
     events, name = table(spark, sf_dir, "events"), fresh_table(spark, sf_dir, "catalog_columns")
     register_external(spark, events, DATABASE, name, table_path(sf_dir, "events"))
-    columns = lookup_columns(columns_of_database(spark, DATABASE), DATABASE, name)
+    columns = table_columns(spark, DATABASE, name)
     return columns.join(measure(spark.table(f"{DATABASE}.{name}")), "column_name", "left")
 
 

@@ -146,10 +146,10 @@ def manifest_split(spark: SparkSession, sf_dir: str) -> DataFrame:
         SELECT e.event_id, CASE e.event_type WHEN 'error' THEN [] WHEN 'view' THEN [entry, e.event_type] ELSE [entry] END AS files,
                CASE WHEN e.event_type = 'purchase' THEN '{{"late":1}}' ELSE '0' END AS errors
         FROM events e JOIN ({_ENTRY_SQL}) USING (event_id))
-    SELECT event_id, 'done' AS execution, len(files) AS n_records, true AS triggered, errors, CAST(NULL AS VARCHAR) AS bucket,
+    SELECT event_id, 'done' AS execution, len(files) AS n_records, true AS triggered, errors, CASE errors WHEN '0' THEN 'number' ELSE 'object' END AS errors_type, CAST(NULL AS VARCHAR) AS bucket,
            CAST(NULL AS VARCHAR) AS key, CAST(NULL AS VARCHAR) AS delete_query FROM listed WHERE len(files) = 0
     UNION ALL
-    SELECT event_id, 'done', len(files), true, errors, 'landing', string_split(file, '@@@')[1], string_split(file, '@@@')[2]
+    SELECT event_id, 'done', len(files), true, errors, CASE errors WHEN '0' THEN 'number' ELSE 'object' END, 'landing', string_split(file, '@@@')[1], string_split(file, '@@@')[2]
     FROM listed, unnest(files) AS u(file)
 """)
 def manifest_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,7 +165,8 @@ def manifest_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("envelope.data.execution").alias("execution"),
         F.size("envelope.Records").cast("bigint").alias("n_records"),
         F.col("envelope.StepFunctionTriggered").alias("triggered"),
-        F.col("envelope.Errors").alias("errors"),
+        F.to_json("envelope.Errors").alias("errors"),
+        F.when(F.schema_of_variant("envelope.Errors") == "BIGINT", "number").otherwise("object").alias("errors_type"),
         F.col("record.s3.bucket.name").alias("bucket"),
         F.col("record.s3.object.key").alias("key"),
         F.col("record.s3.delete_query").alias("delete_query"),

@@ -8,7 +8,14 @@ from pyspark.sql import functions as F
 from lakewright.plans.catalog import discover_table, register_external
 from lakewright.plans.jobs import rebuild_table, register_lake_table
 from lakewright.session import scratch_path
-from lakewright.sinks.tables import append_through_staging, clear_staging, write_table
+from lakewright.sinks.tables import (
+    append_through_staging,
+    clear_staging,
+    write_date_paths,
+    write_partitioned,
+    write_table,
+)
+from lakewright.sources import files
 from lakewright.sources.files import file_manifest
 from lakewright.sources.lake import catalog_table, glob_scan, read_table
 from lakewright.sources.loads import read_lines
@@ -78,9 +85,9 @@ def partitioned_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT CAST(ts AS DATE) AS ingestion_date, count(*) AS n_rows FROM events GROUP BY ALL", name="file_manifest")
 def file_manifest_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows in the listed files, per directory: how many files there are is up to the cluster."""
-    files = file_manifest(read_table(spark, dated_events(spark, sf_dir, "manifest")))
+    listed = file_manifest(read_table(spark, dated_events(spark, sf_dir, "manifest")))
     directory = F.regexp_extract("file_path", r"/date=(\d{4}-\d{2}-\d{2})/", 1).cast("date")
-    return files.groupBy(directory.alias("ingestion_date")).agg(F.sum("n_rows").alias("n_rows"))
+    return listed.groupBy(directory.alias("ingestion_date")).agg(F.sum("n_rows").alias("n_rows"))
 
 
 @query("""
@@ -97,7 +104,7 @@ def schema_discovery(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = discover_table(spark, root, DATABASE)
     later = events.where(~early).withColumn("date", F.col("ingestion_date"))
     later.hint("rebalance", "date").write.partitionBy("date").mode("append").parquet(root)
-    discover_table(spark, root, DATABASE, merge_schema=True)
+    discover_table(spark, root, DATABASE)
     return spark.table(name)
 
 
@@ -116,3 +123,43 @@ def staged_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = spark.range(1).select(F.current_date()).first()[0]
     clear_staging(spark, append_through_staging(doubled, full_name, scratch_path(spark, "staging"), day))
     return spark.table(full_name)
+
+
+@query("SELECT *, CAST(ts AS DATE) AS ingestion_date FROM events")
+def rebuild_shuffled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rebuild from files that do not keep the dates apart."""
+    source, target = scratch_path(spark, "mixed"), scratch_path(spark, "rebuilt")
+    with_ingestion_date(table(spark, sf_dir, "events")).repartition(3).write.parquet(f"{source}/date=any")
+    rebuild_table(spark, source, target)
+    return read_table(spark, target)
+
+
+@query("SELECT strftime(CAST(ts AS DATE), '%Y/%m/%d') AS folder, count(*) AS n_rows FROM events GROUP BY ALL")
+def dated_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files under root/YYYY/MM/DD."""
+    root = scratch_path(spark, "dated-files")
+    write_date_paths(table(spark, sf_dir, "events"), root, F.col("ts"))
+    found = spark.read.option("recursiveFileLookup", "true").parquet(root)
+    folder = F.regexp_extract(F.col("_metadata.file_path"), r"/(\d{4}/\d{2}/\d{2})/[^/]+$", 1)
+    return found.groupBy(folder.alias("folder")).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+@query("""
+    SELECT day FROM (SELECT CAST(unnest(generate_series(min(CAST(ts AS DATE)), max(CAST(ts AS DATE)), INTERVAL 1 DAY)) AS DATE) AS day FROM events)
+    WHERE NOT EXISTS (SELECT 1 FROM events WHERE CAST(ts AS DATE) = day AND day(CAST(ts AS DATE)) % 5 <> 0)
+""")
+def missing_directories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth day of the month has no directory."""
+    events = with_ingestion_date(table(spark, sf_dir, "events"))
+    first, last = events.agg(F.min("ingestion_date"), F.max("ingestion_date")).first()
+    root = dated_tree(spark, events.where(F.dayofmonth("ingestion_date") % 5 != 0), "directories")
+    return files.missing_directories(spark, root, first, last)
+
+
+@query("SELECT *, CAST(ts AS DATE) AS ingestion_date FROM events WHERE CAST(ts AS DATE) = DATE '2024-01-15'")
+def partitioned_table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table whose folders the catalog knows: a filter on their column lists only one."""
+    name, path = fresh_table(spark, sf_dir, "partitioned_scan"), scratch_path(spark, "partitioned-scan")
+    write_partitioned(with_ingestion_date(table(spark, sf_dir, "events")), path)
+    registered = register_lake_table(spark, path, DATABASE, name, partition_by=("ingestion_date",))
+    return registered.where("ingestion_date = DATE '2024-01-15'")

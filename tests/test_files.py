@@ -90,9 +90,9 @@ def test_csv_header_of_an_empty_frame(spark, path):
 
 def test_csv_delimiter_and_awkward_text(spark, path):
     df = spark.createDataFrame([(1, 'say "hi", ok'), (2, ""), (3, None), (4, "back\\slash|")], "n int, t string")
-    df.write.options(**loads.CSV_OPTIONS, sep="|").csv(path)
+    loads.escaped(df).write.options(**loads.CSV_OPTIONS, sep="|").csv(path)
     got = {r["n"]: r["t"] for r in loads.load_csv(spark, path, df.schema, "|").collect()}
-    assert got == {1: 'say "hi", ok', 2: None, 3: None, 4: "back\\slash|"}
+    assert got == {1: 'say "hi", ok', 2: "", 3: None, 4: "back\\slash|"}
 
 
 @pytest.mark.parametrize("fmt", ["csv", "json", "parquet", "orc"])
@@ -177,7 +177,7 @@ def test_manifest_of_files(spark, path, tmp_path):
 
 def test_date_paths(spark, path):
     tables.write_date_paths(dated(spark), path, F.col("date"))
-    assert os.path.isdir(f"{path}/year=2024/month=01/day=02")
+    assert os.path.isdir(f"{path}/2024/01/02")
 
 
 def test_publish_moves_the_catalog_entry(spark, database, tmp_path):
@@ -258,7 +258,8 @@ def ddr(spark, tmp_path):
         done = jobs.daily_delete_and_append(
             target, str(tmp_path / "out"), str(tmp_path / "exports"), as_of, append_fmt="json", **options
         )
-        ids = sorted(r[0] for r in spark.read.parquet(done.version).collect())
+        # Nothing to do: nothing is written, and the table stands as it is.
+        ids = sorted(r[0] for r in (spark.read.parquet(done.version) if done.version else target).collect())
         assert done.appended == any(i > 4 for i in ids)
         return done.deleted, ids
 

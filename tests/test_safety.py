@@ -1,0 +1,209 @@
+"""What must not be lost: old files, line breaks, bad values, sources, untouched partitions, hot keys' spread."""
+
+import datetime as dt
+import os
+import time
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from lakewright.functions.masking import mask_columns
+from lakewright.operators import changes, keyed_joins, ranges
+from lakewright.plans import catalog, jobs
+from lakewright.sinks import tables
+from lakewright.sinks.text import write_csv
+from lakewright.sources import files, loads
+from lakewright.streaming.ingest import ingest_available, new_files
+from lakewright.workloads.staging import fresh_table
+
+DATABASE = "lakewright"
+
+
+def test_old_files_are_taken_in(spark, tmp_path):
+    landing, target, checkpoint = (str(tmp_path / n) for n in ("in", "out", "check"))
+    spark.range(10).write.parquet(f"{landing}/drop=1")
+    stream = new_files(spark, f"{landing}/drop=*", "id bigint", suffix=".parquet")
+    ingest_available(stream, target, checkpoint)
+    spark.range(10, 15).coalesce(1).write.parquet(f"{landing}/drop=2")
+    month_ago = time.time() - 30 * 86400
+    for folder, _, names in os.walk(f"{landing}/drop=2"):
+        for name in names:
+            os.utime(os.path.join(folder, name), (month_ago, month_ago))
+    ingest_available(stream, target, checkpoint)
+    assert spark.read.parquet(target).count() == 15
+
+
+TEXTS = ["", None, "a\nb", "c\r\nd", 'say "x", y', "\\n", "\\N", "\\", " blanks ", "é z", "tab\t", '"', "\n"]
+
+
+@pytest.mark.parametrize("line_breaks", ["escaped", "quoted"])
+def test_csv_keeps_every_text(spark, tmp_path, line_breaks):
+    kept = TEXTS if line_breaks == "escaped" else [t for t in TEXTS if t not in ("c\r\nd", "\\N")]
+    df = spark.createDataFrame(list(enumerate(kept)), "n int, t string")
+    write_csv(df, str(tmp_path / "c"), line_breaks)
+    got = {r["n"]: r["t"] for r in loads.load_csv(spark, str(tmp_path / "c"), df.schema, line_breaks=line_breaks).collect()}
+    assert got == dict(enumerate(kept))
+
+
+def test_bad_values_raise(spark, tmp_path):
+    (tmp_path / "f.csv").write_text("n,t\n1,a\nzz,b\n")
+    with pytest.raises(Exception, match="zz|MALFORMED|FAILFAST"):
+        loads.load_csv(spark, str(tmp_path), "n int, t string").collect()
+    assert loads.load_csv(spark, str(tmp_path), "n int, t string", strict=False).where("n is null").count() == 1
+
+
+def test_nothing_is_overwritten_in_place(spark, tmp_path):
+    source = str(tmp_path / "t")
+    df = spark.createDataFrame([(1, dt.date(2024, 1, 1))], "n int, ingestion_date date")
+    df.withColumn("date", F.col("ingestion_date")).write.partitionBy("date").parquet(source)
+    before = sorted(p for p in tmp_path.rglob("*.parquet"))
+    for target in (source, f"{source}/date=2024-01-01", str(tmp_path)):
+        with pytest.raises(ValueError, match="overwrite"):
+            jobs.rebuild_table(spark, source, target)
+        with pytest.raises(ValueError, match="overwrite"):
+            jobs.dummy_copy(spark, f"{source}/*", target)
+    assert sorted(p for p in tmp_path.rglob("*.parquet")) == before
+    tables.refuse_overlap(source, str(tmp_path / "t2"))
+
+
+@pytest.fixture
+def dated(spark, tmp_path):
+    """An external table with three days of five rows each: its name, its rows, the files of a day."""
+    rows = spark.range(15).select("id", F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 3).cast("int")).alias("day"))
+    name = fresh_table(spark, str(tmp_path), "dated")
+    tables.write_partitioned(rows, str(tmp_path / "dated"), ("day",))
+    catalog.register_external(spark, rows, DATABASE, name, str(tmp_path / "dated"), partition_by=("day",))
+
+    def served(day):
+        found = spark.table(f"{DATABASE}.{name}").where(F.col("day") == day)
+        return {r[0] for r in found.select(F.col("_metadata.file_path")).collect()}
+
+    return f"{DATABASE}.{name}", spark.table(f"{DATABASE}.{name}").select("id", "day"), served
+
+
+def test_deletes_take_effect_and_leave_other_partitions_alone(spark, tmp_path, dated):
+    name, rows, served = dated
+    untouched = served("2024-01-02")
+    run = jobs.daily_delete_and_append(
+        rows, str(tmp_path / "root"), str(tmp_path / "none"), dt.date(2024, 1, 16), delete=lambda df: df.where("id % 3 <> 0 OR id = 0"), table=name
+    )
+    assert run.deleted and not run.appended
+    assert sorted(r["id"] for r in spark.table(name).collect()) == sorted(i for i in range(15) if i % 3 or not i)
+    assert served("2024-01-02") == untouched
+    before = sorted(tmp_path.rglob("*.parquet"))
+    assert jobs.daily_delete_and_append(rows, str(tmp_path / "root"), str(tmp_path / "none"), dt.date(2024, 1, 16), table=name).version is None
+    assert sorted(tmp_path.rglob("*.parquet")) == before
+
+
+def test_a_published_version_is_what_the_table_serves(spark, tmp_path, dated):
+    name, rows, _ = dated
+    first = tables.publish(rows.where("id < 5"), str(tmp_path / "root"), name)
+    assert sorted(r["id"] for r in spark.table(name).collect()) == list(range(5))
+    time.sleep(1.1)
+    second = tables.publish(rows.where("id < 2"), str(tmp_path / "root"), name)
+    assert spark.table(name).count() == 2
+    assert [p.rsplit("/", 1)[-1] for p in tables.remove_old_versions(spark, str(tmp_path / "root"), second)] == [first.rsplit("/", 1)[-1]]
+    assert spark.table(name).count() == 2
+
+
+def test_upserts_leave_other_partitions_alone(spark, tmp_path, dated):
+    name, rows, served = dated
+    untouched = served("2024-01-03")
+    source = spark.createDataFrame([(0, dt.date(2024, 1, 2)), (99, dt.date(2024, 1, 9))], "id bigint, day date")
+    jobs.upsert_through_staging(rows, source, ["id"], str(tmp_path / "root"), str(tmp_path / "staging"), table=name)
+    got = {r["id"]: r["day"].isoformat() for r in spark.table(name).collect()}
+    assert got == {i: f"2024-01-0{1 + i % 3}" for i in range(1, 15)} | {0: "2024-01-02", 99: "2024-01-09"}
+    assert served("2024-01-03") == untouched
+
+
+def test_a_failing_write_is_an_error(spark, tmp_path, monkeypatch):
+    def broken(*_, **__):
+        raise OSError("disk")
+
+    monkeypatch.setattr(jobs, "publish", broken)
+    with pytest.raises(OSError, match="disk"):
+        jobs.daily_delete_and_append(spark.range(3), str(tmp_path), str(tmp_path / "none"), dt.date(2024, 1, 2), delete=lambda df: df.where("id > 0"))
+
+
+def test_hot_keys_part_wherever_they_stand(spark):
+    left = spark.range(60_000).select((F.col("id") % 3 == 0).cast("int").alias("k"), "id").repartition(8, "k")
+    hot = keyed_joins.hot_buckets(left, ["k"])
+    assert hot is not None
+    parts = {r["_bucket"]: r["_parts"] for r in hot.collect()}
+    salted = keyed_joins._split(left, hot, ["k"], "_salt", False).where("k = 0")
+    counts = [r["count"] for r in salted.groupBy("_salt").count().collect()]
+    assert max(counts) < 2 * 40_000 / max(parts.values())
+
+
+def test_open_ranges_meet_only_what_they_can(spark):
+    values = spark.range(2000).select(F.col("id").cast("double").alias("v"))
+    never = spark.range(3000).select((F.col("id") + 5000.0).alias("lower"), F.lit(None).cast("double").alias("upper"), F.lit("[)").alias("bounds"))
+    assert ranges.range_join(values, never, "v", broadcast_bytes=0).count() == 0
+    late = never.withColumn("lower", F.col("lower") - 5000 + 1990)
+    found = ranges.range_join(values, late, "v", broadcast_bytes=0)
+    assert found.count() == sum(range(1, 11))
+    everything = spark.createDataFrame([(None, None, "()")], "lower double, upper double, bounds string")
+    assert ranges.range_join(values, everything, "v").count() == 2000
+
+
+def test_upsert_keeps_types_and_knows_its_columns(spark):
+    target = spark.createDataFrame([(1, 2)], "k int, n int")
+    merged = changes.upsert(target, spark.createDataFrame([(1, 5.0)], "k int, n double"), ["k"])
+    assert merged.schema == target.schema and merged.first()["n"] == 5
+    with pytest.raises(ValueError, match="no columns"):
+        changes.upsert(target, spark.createDataFrame([(1, 5, 6)], "k int, n int, m int"), ["k"])
+
+
+def test_append_by_name_needs_a_name(spark):
+    target = spark.createDataFrame([(1, "a")], "id int, name string")
+    other = spark.createDataFrame([(2, "b")], "ID int, Name string")
+    with pytest.raises(ValueError, match="none of the columns"):
+        changes.append_by_name(target, other)
+    assert changes.project_to(other, target, ignore_case=True).first()[:] == (2, "b")
+
+
+def test_keyless_rows(spark):
+    rows = spark.createDataFrame([(None, 1, "a"), (None, 2, "b")], "k int, t int, op string")
+    assert [r["t"] for r in changes.latest_snapshot(rows, ["k"], ["t"], "op").collect()] == [2]
+    assert changes.upsert(rows.limit(0), rows, ["k"]).count() == 2
+
+
+def test_hashes_take_a_secret(spark, monkeypatch):
+    df = spark.createDataFrame([("7",)], "a string")
+    plain, salted = (mask_columns(df, {"a": "sha256"}, salt=s).first()[0] for s in ("", "secret"))
+    monkeypatch.setenv("LAKEWRIGHT_MASK_SALT", "secret")
+    assert plain != salted == mask_columns(df, {"a": "sha256"}).first()[0]
+
+
+def test_folders_of_one_name_are_two_tables(spark, tmp_path):
+    database = "lakewright_names"
+    for folder, columns in (("a", "id"), ("b", "id + 1 AS other")):
+        spark.range(3).selectExpr(columns).write.parquet(str(tmp_path / folder / "events"))
+    prefix = f"t{abs(hash(str(tmp_path))) % 10**8}_"
+    catalog.discover_table(spark, str(tmp_path / "a/events"), database, prefix=prefix)
+    with pytest.raises(ValueError, match="another prefix"):
+        catalog.discover_table(spark, str(tmp_path / "b/events"), database, prefix=prefix)
+
+
+def test_discovery_sees_new_columns_by_default(spark, tmp_path):
+    prefix = f"c{abs(hash(str(tmp_path))) % 10**8}_"
+    for n in range(4):
+        spark.range(1).selectExpr("id", *(["id AS late"] if n == 3 else [])).write.mode("append").parquet(str(tmp_path / "t"))
+        name = catalog.discover_table(spark, str(tmp_path / "t"), "lakewright_names", prefix=prefix)
+    assert spark.table(name).columns == ["id", "late"] and spark.table(name).where("late = 0").count() == 1
+
+
+def test_missing_directories(spark, tmp_path):
+    for day in ("2024-02-28", "2024-03-01"):
+        spark.range(1).write.parquet(str(tmp_path / f"date={day}"))
+    found = files.missing_directories(spark, str(tmp_path), dt.date(2024, 2, 27), dt.date(2024, 3, 1))
+    assert {r["day"].isoformat() for r in found.collect()} == {"2024-02-27", "2024-02-29"}
+
+
+def test_errors_sort_by_rows(spark):
+    fields = T.StructType().add("start_time", "timestamp_ntz").add("query_id", "long").add("file_name", "string")
+    fields = fields.add("column_name", "string").add("raw_value", "string")
+    rows = [(dt.datetime(2024, 1, 1 + i % 3), 1, "f", "c", "same") for i in range(300)]
+    got = [r["start_time"] for r in loads.newest_errors(spark.createDataFrame(rows, fields)).collect()]
+    assert got == sorted((r[0] for r in rows), reverse=True)
