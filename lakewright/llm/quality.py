@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from lakewright.llm.texts import add_columns, id_remainder, strings_of
 
 SAMPLE_DOCS = 6000  # labelled rows that the classifier is fitted on, drawn by hash
-SAMPLE_CHARS = 24 << 20  # and at most so much text of them
+SAMPLE_CHARS = 12 << 20  # and at most so much text of them
 VOCABULARY = 16_384  # tokens with a word vector; the others count as one of a few kinds of rare token
 DIMENSIONS = 64
 NONZERO = 6
@@ -69,9 +69,11 @@ def word_vectors(texts: list[str]) -> tuple[dict[str, int], np.ndarray]:
     names = [*_KINDS, *(t for t in common if counts[t] > 1)]
     numbers = _Numbers((t, i) for i, t in enumerate(names))
     places, signs = _random_vectors(names)
-    gap = [-1] * WINDOW
-    flat = [n for text in texts for n in [*map(numbers.__getitem__, tokens_of(text)), *gap]]
-    stream = np.array(flat or gap, np.int64)
+    gap = np.full(WINDOW, -1, np.int32)
+    parts = [gap]
+    for text in texts:
+        parts += [np.array([*map(numbers.__getitem__, tokens_of(text))], np.int32), gap]
+    stream = np.concatenate(parts)
     vectors = np.zeros(len(names) * DIMENSIONS)
     for away in range(1, WINDOW + 1):
         both = (stream[:-away] >= 0) & (stream[away:] >= 0)

@@ -250,7 +250,8 @@ def train_model(docs: DataFrame) -> Model:
         if held <= TOP_WORDS:
             top_from = row["least"]
     frequent = (F.col("n") >= top_from) & (F.length("word") <= TOP_WORD_BYTES) if top_from else F.lit(False)
-    top = {bytes(r["word"]): r["n"] for r in words.where(frequent).collect()}
+    found = words.where(frequent).toArrow()
+    top = dict(zip(found["word"].to_pylist(), found["n"].to_pylist(), strict=True))
     return Model(*trees, top, words, total + documents, distinct + (documents > 0), documents)
 
 
@@ -262,12 +263,12 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     of new ones give way; all others, and all rows, stay.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((model.classes, model.places, model.top))  # bounded, see above
+    shared = spark.sparkContext.broadcast((model.classes, model.places))  # bounded, see above
     logs = {word: math.log10(n + 1) for word, n in model.top.items()}
     weights = spark.sparkContext.broadcast(logs)
 
     def convert(batch):
-        classes, places, _ = shared.value
+        classes, places = shared.value
         known = weights.value
         texts = utf8_of(batch.column("text"))
         tokens, found, sums, rare = [], [], [], []
