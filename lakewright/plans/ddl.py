@@ -12,15 +12,22 @@ from lakewright.operators.sizing import enriched_columns, max_text_length
 from lakewright.plans.catalog import position_frame, schema_frame
 
 
-def sized_columns(df: DataFrame, columns: DataFrame | None = None, buffer_percent: float = 20, unit: str = "chars") -> DataFrame:
+def sized_columns(
+    df: DataFrame,
+    columns: DataFrame | None = None,
+    buffer_percent: float = 20,
+    unit: str = "chars",
+    extended: bool = False,
+) -> DataFrame:
     """Column metadata of ``df`` with measured lengths, positions and warehouse types.
 
     ``columns`` is the catalog's view of the table where that differs from the frame's schema. A
-    column the frame lacks has no position and comes first.
+    column the frame lacks has no position and comes first. ``extended`` gives further types, such as
+    ``bigint``, a type of their own in place of text.
     """
     columns = schema_frame(df) if columns is None else columns
     enriched = enriched_columns(columns, max_text_length(df, None, buffer_percent, unit), position_frame(df))
-    return enriched.withColumn("warehouse_type", sized_type(F.col("column_type"), F.col("max_length")))
+    return enriched.withColumn("warehouse_type", sized_type(F.col("column_type"), F.col("max_length"), extended))
 
 
 def fold_definitions(
@@ -42,6 +49,7 @@ def fold_definitions(
 
 def create_statements(schema: str | Column, table: str | Column, definitions: Column) -> Column:
     """CREATE SCHEMA and CREATE TABLE text around folded column definitions."""
+    # The text of the statements is a fixed value.
     schema, table = (x if isinstance(x, Column) else F.lit(x) for x in (schema, table))
     return F.concat(
         F.lit("CREATE SCHEMA IF NOT EXISTS "), schema, F.lit(";\nCREATE TABLE IF NOT EXISTS "), schema, F.lit("."),
@@ -55,8 +63,10 @@ def sized_ddl(df: DataFrame, schema: str, table: str, columns: DataFrame | None
     return folded.select(create_statements(schema, table, F.col("definitions")).alias("ddl"))
 
 
-def fixed_ddl(columns: DataFrame, schema: str, table: str = "table_name", order: str = "order_index") -> DataFrame:
+def fixed_ddl(
+    columns: DataFrame, schema: str, table: str = "table_name", order: str = "order_index", extended: bool = False
+) -> DataFrame:
     """One DDL row per table of a catalog listing, every text column at the longest size."""
-    typed = columns.withColumn("warehouse_type", fixed_type(F.col("column_type")))
+    typed = columns.withColumn("warehouse_type", fixed_type(F.col("column_type"), extended))
     folded = fold_definitions(typed, order, [table], ", ")
     return folded.select(table, create_statements(schema, F.col(table), F.col("definitions")).alias("ddl"))

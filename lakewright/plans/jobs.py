@@ -170,7 +170,8 @@ def upsert_through_staging(
 def size_and_load(df: DataFrame, database: str, table: str, location: str | None = None, **measure) -> None:
     """Measure the text columns, create the table with those sizes if it is absent, insert the rows.
 
-    Only the column list reaches the driver. Values are cast to the warehouse type of their column;
+    Only the column list reaches the driver. ``measure`` takes the options of ``sized_columns``; with ``extended=True``
+    a ``bigint`` or ``decimal`` keeps its type. Values are cast to the warehouse type of their column;
     nested ones become JSON text.
     """
     spark = df.sparkSession

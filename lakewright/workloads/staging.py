@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 import zlib
 
 from pyspark.sql import DataFrame, SparkSession
@@ -31,8 +32,6 @@ def dated_events(spark: SparkSession, sf_dir: str, label: str) -> str:
 
 
 def fresh_table(spark: SparkSession, sf_dir: str, label: str) -> str:
-    """A table name of this query and data folder, free for a new table. Only the entry is dropped."""
+    """A table name of this run, free for a new table, so runs side by side leave each other's tables alone."""
     create_database(spark, DATABASE, scratch_path(spark, "database"))
-    name = f"{label}_{zlib.crc32(sf_dir.encode()):08x}"
-    spark.sql(f"DROP TABLE IF EXISTS `{DATABASE}`.`{name}`")
-    return name
+    return f"{label}_{zlib.crc32(sf_dir.encode()):08x}_{uuid.uuid4().hex[:8]}"

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from lakewright.functions.masking import mask_columns
 from lakewright.operators import changes, keyed_joins, ranges
 from lakewright.plans import catalog, jobs
+from lakewright.plans.ddl import sized_ddl
 from lakewright.sinks import tables
 from lakewright.sinks.text import write_csv
 from lakewright.sources import files, loads
@@ -207,3 +208,11 @@ def test_errors_sort_by_rows(spark):
     rows = [(dt.datetime(2024, 1, 1 + i % 3), 1, "f", "c", "same") for i in range(300)]
     got = [r["start_time"] for r in loads.newest_errors(spark.createDataFrame(rows, fields)).collect()]
     assert got == sorted((r[0] for r in rows), reverse=True)
+
+
+def test_jobs_pass_extended_types_on(spark, tmp_path):
+    rows = spark.range(3).select("id", F.lit("x").alias("t"))
+    assert "id BIGINT" in sized_ddl(rows, "s", "t", extended=True).first()["ddl"]
+    name = fresh_table(spark, str(tmp_path), "extended")
+    jobs.size_and_load(rows, DATABASE, name, str(tmp_path / "loaded"), extended=True)
+    assert dict(spark.table(f"{DATABASE}.{name}").dtypes)["id"] == "bigint"
