@@ -14,8 +14,8 @@ from functools import lru_cache
 
 import numpy as np
 
-MAX_CHUNKS = 700_000  # chunks remembered by a worker; beyond it the memory starts anew
-MAX_CHARS = 16 << 20
+MAX_CHUNKS = 250_000  # chunks remembered by a worker; beyond it the memory starts anew
+CHARS_PER_CHUNK = 24  # and beyond so much text of them
 
 _OTHER_SPACE = re.compile(r"[^\S \n]|[\0\x1c-\x1f]")
 _CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
@@ -69,13 +69,13 @@ class ChunkEncoder:
     does not, and for all other chunks, the library's whole pipeline is used.
     """
 
-    def __init__(self, path: str, keeps_space: bool):
+    def __init__(self, path: str, keeps_space: bool, max_chunks: int = MAX_CHUNKS):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.tokenize = self.tokenizer.model.tokenize
-        self.keeps_space = keeps_space
+        self.keeps_space, self.max_chunks = keeps_space, max_chunks
         self.chunks_of = spaced_chunks if keeps_space else visible_chunks
         self.parts: dict[str, list[int]] = {}
         probes = _PROBES if keeps_space else [p.strip() for p in _PROBES]
@@ -128,7 +128,7 @@ class ChunkEncoder:
                 self.chars += len(chunk)
 
     def _chunk_numbers(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.index) > MAX_CHUNKS or self.chars > MAX_CHARS:
+        if len(self.index) > self.max_chunks or self.chars > CHARS_PER_CHUNK * self.max_chunks:
             self.forget()
         numbers, counts = [], []
         for text in texts:
@@ -164,7 +164,7 @@ class ChunkEncoder:
         return out, bounds
 
 
-@lru_cache(maxsize=2)
-def worker_encoder(path: str, keeps_space: bool) -> ChunkEncoder:
+@lru_cache(maxsize=1)
+def worker_encoder(path: str, keeps_space: bool, max_chunks: int = MAX_CHUNKS) -> ChunkEncoder:
     """The encoder of this worker process, kept from task to task."""
-    return ChunkEncoder(path, keeps_space)
+    return ChunkEncoder(path, keeps_space, max_chunks)

@@ -293,13 +293,20 @@ def without_copies(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = P
 
     A row that repeats the id and the text of another counts as the same row. Rows without words stay.
     """
-    found = near_duplicates(docs, words, percent)
+    found = saved(near_duplicates(docs, words, percent), "near-duplicates")
     row_id, row_text = "__near_dup_id", "__near_dup_text"  # names that no table has
     no_id = F.lit(-(1 << 63))
     gone = found.where(~F.col("kept")).select(F.coalesce("doc_id", no_id).alias(row_id), F.col("text_key").alias(row_text))
     keyed = docs.withColumns({row_id: F.coalesce(F.col("doc_id").cast("bigint"), no_id), row_text: F.xxhash64("text")})
-    kept = matching_keys(keyed, saved(gone.distinct(), "copies"), [row_id, row_text], keep=False)
-    return kept.dropDuplicates([row_id, row_text]).drop(row_id, row_text)
+    keys = [row_id, row_text]
+    kept = matching_keys(keyed, saved(gone.distinct(), "copies"), keys, keep=False)
+    # Only rows that repeat id and text are brought together; there are hardly any, and texts are not shuffled for them.
+    stay = found.where("kept").groupBy(F.coalesce("doc_id", no_id).alias(row_id), F.col("text_key").alias(row_text)).count()
+    repeated = saved(stay.where("count > 1").select(*keys), "repeated")
+    if not repeated.isEmpty():
+        once = matching_keys(kept, repeated, keys, keep=True).dropDuplicates(keys)
+        kept = matching_keys(kept, repeated, keys, keep=False).unionByName(once)
+    return kept.drop(*keys)
 
 
 def digest(found: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ from lakewright.llm.texts import map_batches, portions, strings_of
 
 STRIPE_BYTES = 16 << 20
 ROWS_PER_INDEX = 1000
+REMEMBERED = 700_000  # chunks that a worker keeps the ids of
 
 FILE_SCHEMA = "doc_id bigint, file_start bigint, n_tokens bigint, ids array<int>"
 
@@ -46,7 +47,7 @@ def write_tokens(
     )
 
     def encode(batches):
-        encoder, written = worker_encoder(tokenizer, keeps_space), 0
+        encoder, written = worker_encoder(tokenizer, keeps_space, REMEMBERED), 0
         for batch in batches:
             for portion in portions(batch):
                 ids, bounds = encoder.encode(strings_of(portion.column("text")), end_id)
