@@ -225,6 +225,7 @@ def encoded_pieces(
                     at = np.concatenate((first, bounds[-1:])).astype(np.int32)
                     columns.append(pa.ListArray.from_arrays(pa.array(at), pa.array(ids.view(np.int32))))
                 yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in schema.split(", ")])
+        encoder.forget()  # the worker lives on, and other stages need its memory
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(cut, schema)
 

@@ -53,6 +53,7 @@ def map_batches(
         for batch in batches:
             for portion in portions(batch, text, size):
                 yield _batch(convert(portion), arrow)
+        _release()
 
     return df.mapInArrow(run, schema)
 
@@ -71,11 +72,17 @@ def add_columns(
                 made = _batch(convert(portion), arrow)
                 columns = [portion.column(name) for name in kept] + made.columns
                 yield pa.RecordBatch.from_arrays(columns, names=[*kept, *fields.names])
+        _release()
 
     whole = T.StructType([df.schema[name] for name in kept] + fields.fields)
     return df.mapInArrow(run, whole)
 
 
+def _release() -> None:
+    """Workers live on after a task: give the memory of its batches back."""
+    pa.default_memory_pool().release_unused()
+
+
 def _batch(columns: dict[str, object], schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) for f in schema], schema=schema)
 
