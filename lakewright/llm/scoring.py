@@ -1,13 +1,10 @@
-"""Language-model scores by context-tree weighting over binary-decomposed bytes, beside a unigram base.
+"""Language-model scores by context-tree weighting over the binary decisions of bytes, beside a unigram base.
 
-A text is read as lower-cased UTF-8 with an end mark. Each byte is a sequence of binary decisions: five for its
-class (every letter a-z is a class; so are blanks, other white space, digits, other ASCII, leading and following
-bytes of longer characters), then six for its place in the class where that has several members. For every
-decision there is a tree of contexts, the classes of the bytes before, with Krichevsky-Trofimov counts in each node.
-The weighting recursion mixes the estimates of all depths, by how well each would have coded the training texts.
+The trees are those of ``context_tree``: contexts are the bytes before as they stand, all that occur are counted, and
+they are weighted in Spark. Words of the base are looked up if frequent and joined if not.
 
-The number of contexts is bounded by the depth, whatever the corpus: 2^25 counters for the classes and 2^21 for the
-places. So the trees can be weighted in one place, after all training texts have been counted.
+``counter_keys`` and ``weigh`` are a small form of the same weighting in memory, over classes of bytes. No query uses
+them; tests hold the recursion against brute force with them.
 """
 
 from __future__ import annotations
@@ -18,15 +15,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakewright.llm import context_tree
 from lakewright.llm.graph import saved
 from lakewright.llm.texts import add_columns, id_remainder, portions, utf8_of
 
 CLASS_DEPTH, CLASS_BITS = 4, 5  # contexts: the classes of the last four bytes
 PLACE_DEPTH, PLACE_BITS = 3, 6  # contexts: the byte's own class, then those of the last two bytes
-_PLACES = 1 << (5 * CLASS_DEPTH + CLASS_BITS)  # where the place counters begin among the class counters
 
 TOP_WORDS = 200_000  # most frequent words, which tasks look up; all others are joined
 TOP_WORD_BYTES = 64
@@ -81,17 +79,6 @@ def counter_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return classes, places, _SEVERAL[byte], bounds
 
 
-def _log_gamma(x: np.ndarray) -> np.ndarray:
-    """log of the gamma function for x >= 1/2, to about 1e-10."""
-    shift = np.where(x < 8, 8, 0)
-    y = x + shift
-    series = (y - 0.5) * np.log(y) - y + 0.5 * math.log(2 * math.pi) + 1 / (12 * y) - 1 / (360 * y**3) + 1 / (1260 * y**5)
-    product = np.ones_like(x)
-    for k in range(8):
-        product *= np.where(shift > 0, x + k, 1)
-    return series - np.log(product)
-
-
 def _decisions(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """How often each binary decision of a symbol went either way: counts by symbol to counts by node, from 1 on."""
     symbols = counts.shape[1]
@@ -150,7 +137,7 @@ def weigh(keys: np.ndarray, counts: np.ndarray, depth: int, bits: int, least_dep
     for d in range(depth, -1, -1):
         contexts, table = levels[d]
         zeros, ones = _decisions(table)
-        coded = _log_gamma(zeros + 0.5) + _log_gamma(ones + 0.5) - _log_gamma(zeros + ones + 1) - math.log(math.pi)
+        coded = context_tree.log_gamma(zeros + 0.5) + context_tree.log_gamma(ones + 0.5) - context_tree.log_gamma(zeros + ones + 1) - math.log(math.pi)
         own[d] = (ones + 0.5) / (zeros + ones + 1)
         if below is None:
             weighted, share[d] = coded, np.ones_like(coded)
@@ -187,8 +174,7 @@ def weigh(keys: np.ndarray, counts: np.ndarray, depth: int, bits: int, least_dep
 
 @dataclass
 class Model:
-    classes: Tree
-    places: Tree
+    trees: context_tree.Trees
     top: dict[bytes, int]  # frequent words and how often they occur
     words: DataFrame  # (word, n) of all words
     tokens: int  # N
@@ -196,18 +182,16 @@ class Model:
     documents: int
 
 
-def training_counts(docs: DataFrame) -> DataFrame:
-    """(word, code, n) of ``docs`` (text): how often each word occurs, or each counter; code -1 counts the texts."""
-    schema = pa.schema([("word", pa.binary()), ("code", pa.int64()), ("n", pa.int64())])
+def word_counts(docs: DataFrame) -> DataFrame:
+    """(word, n) of ``docs`` (text): how often each word occurs; the null word counts the texts."""
+    schema = pa.schema([("word", pa.binary()), ("n", pa.int64())])
 
-    def rows(words, codes, counts):
-        return pa.RecordBatch.from_arrays(
-            [pa.array(words, pa.binary()), pa.array(codes, pa.int64()), pa.array(counts, pa.int64())], schema=schema
-        )
+    def rows(words, counts):
+        return pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.array(counts, pa.int64())], schema=schema)
 
     def run(batches):
         words: Counter[bytes] = Counter()
-        codes, counts, documents = np.empty(0, np.int64), np.empty(0, np.int64), 0
+        documents = 0
         for batch in batches:
             for portion in portions(batch, size=2 << 20):
                 texts = utf8_of(portion.column("text"))
@@ -215,31 +199,20 @@ def training_counts(docs: DataFrame) -> DataFrame:
                 for text in texts:
                     words.update(text.lower().split())
                 if len(words) > HELD_WORDS:
-                    yield rows(list(words), [None] * len(words), list(words.values()))
+                    yield rows(list(words), list(words.values()))
                     words.clear()
-                classes, places, several, _ = counter_keys(texts)
-                for keys in (classes.astype(np.int64), places[several].astype(np.int64) + _PLACES):
-                    seen, times = np.unique(keys, return_counts=True)
-                    codes, at = np.unique(np.concatenate((codes, seen)), return_inverse=True)
-                    counts = np.bincount(at, np.concatenate((counts, times)), len(codes)).astype(np.int64)
-        yield rows(list(words), [None] * len(words), list(words.values()))
-        yield rows([None] * (len(codes) + 1), np.append(codes, -1), np.append(counts, documents))
+        yield rows([*words, None], [*words.values(), documents])
 
-    counted = docs.select("text").mapInArrow(run, "word binary, code bigint, n bigint")
-    return counted.groupBy("word", "code").agg(F.sum("n").alias("n"))
+    counted = docs.select("text").mapInArrow(run, "word binary, n bigint")
+    return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def train_model(docs: DataFrame) -> Model:
     """Count all of ``docs`` (text) and weigh the trees. Null texts are empty; no texts give a model that knows nothing."""
-    counts = saved(training_counts(docs), "counts")
-    words = counts.where(F.col("word").isNotNull()).select("word", "n")
-    frame = counts.where(F.col("word").isNull()).select("code", "n").toArrow()  # bounded by the depth of the trees
-    code, n = frame["code"].to_numpy(), frame["n"].to_numpy()
-    documents = int(n[code == -1].sum())
-    trees = []
-    for low, high, depth, bits, least in ((0, _PLACES, CLASS_DEPTH, CLASS_BITS, 0), (_PLACES, 1 << 62, PLACE_DEPTH, PLACE_BITS, 1)):
-        here = (code >= low) & (code < high)
-        trees.append(weigh(code[here] - low, n[here], depth, bits, least))
+    trees = context_tree.train(docs)
+    counts = saved(word_counts(docs), "counts")
+    words = counts.where(F.col("word").isNotNull())
+    documents = counts.where(F.col("word").isNull()).agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
 
     # The least frequency of which no more than TOP_WORDS words are: frequencies are counted in 16 steps an octave.
     step = F.floor(F.log2("n") * 16)
@@ -252,7 +225,7 @@ def train_model(docs: DataFrame) -> Model:
     frequent = (F.col("n") >= top_from) & (F.length("word") <= TOP_WORD_BYTES) if top_from else F.lit(False)
     found = words.where(frequent).toArrow()
     top = dict(zip(found["word"].to_pylist(), found["n"].to_pylist(), strict=True))
-    return Model(*trees, top, words, total + documents, distinct + (documents > 0), documents)
+    return Model(trees, top, words, total + documents, distinct + (documents > 0), documents)
 
 
 def score_documents(docs: DataFrame, model: Model) -> DataFrame:
@@ -263,12 +236,12 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
     of new ones give way; all others, and all rows, stay.
     """
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((model.classes, model.places))  # bounded, see above
     logs = {word: math.log10(n + 1) for word, n in model.top.items()}
     weights = spark.sparkContext.broadcast(logs)
 
+    spent = [0]  # bytes of text in the task so far
+
     def convert(batch):
-        classes, places = shared.value
         known = weights.value
         texts = utf8_of(batch.column("text"))
         tokens, found, sums, rare = [], [], [], []
@@ -279,27 +252,27 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
             found.append(len(words) - len(other))
             sums.append(sum(known[w] for w in words if w in known))
             rare.append(other)
-        class_keys, place_keys, several, bounds = counter_keys(texts)
-        logs = classes.log10(class_keys, CLASS_BITS).astype(float)
-        logs[several] += places.log10(place_keys[several], PLACE_BITS)
-        scores = np.add.reduceat(logs, bounds[:-1])
-        return {"n_tokens": tokens, "_found": found, "_sum": sums, "_rare": rare, "score": scores}
+        number = (TaskContext.get().partitionId() << 32) + spent[0] // context_tree.SLICE_BYTES
+        spent[0] += sum(map(len, texts))
+        return {"n_tokens": tokens, "_found": found, "_sum": sums, "_rare": rare, "_slice": [number] * len(texts)}
 
-    schema = "n_tokens bigint, _found bigint, _sum double, _rare array<binary>, score double"
+    schema = "n_tokens bigint, _found bigint, _sum double, _rare array<binary>, _slice bigint"
     scored = saved(add_columns(docs, schema, convert).withColumn("_row", F.monotonically_increasing_id()), "scored")
     rare = scored.select("_row", F.explode("_rare").alias("word"))
     counted = rare.join(model.words, "word").select("_row", F.log10(F.col("n") + 1).alias("log"))
     by_row = counted.groupBy("_row").agg(F.count(F.lit(1)).alias("_more"), F.sum("log").alias("_logs"))
+    by_text = context_tree.score(scored.select(F.col("_row").alias("row"), F.col("_slice").alias("slice"), "text"), model.trees)
+    by_text = by_text.select(F.col("row").alias("_row"), F.col("score").alias("_score"))
     end_log, end_known = math.log10(model.documents + 1), int(model.documents > 0)
     whole = math.log10(model.tokens + model.distinct + 1)
     named = [n for n in docs.columns if n not in ("n_tokens", "n_known", "train_tokens", "base_score", "score")]
-    return scored.join(by_row, "_row", "left").select(
+    return scored.join(by_row, "_row", "left").join(by_text, "_row").select(
         *(F.col(f"`{n}`") for n in named),
         "n_tokens",
         (F.col("_found") + F.coalesce("_more", F.lit(0)) + end_known).alias("n_known"),
         F.lit(model.tokens).cast("bigint").alias("train_tokens"),
         (F.col("_sum") + F.coalesce("_logs", F.lit(0.0)) + end_log - F.col("n_tokens") * whole).alias("base_score"),
-        "score",
+        F.col("_score").alias("score"),
     )
 
 

@@ -12,7 +12,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lakewright.llm import decontamination, near_dup, pii, quality, scoring, search, sharding
+from lakewright.llm import context_tree, decontamination, near_dup, pii, quality, scoring, search, sharding
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -362,6 +362,39 @@ def test_scores_are_probabilities():
     assert (classes.reshape(-1)[8:16] == alone).all()
 
 
+def test_text_scores_are_those_of_all_byte_contexts(spark, monkeypatch):
+    trained = ["ab abc", "жзжж", "ab 12", "1", None, "ab abd жз"]
+    asked = ["abc", "зж", "", None, "AB 1!", "日"]
+    decisions = {}
+
+    def steps(text):
+        data = bytes([255] * context_tree.DEPTH) + (text or "").lower().encode() + b"\xff"
+        for at in range(context_tree.DEPTH, len(data)):
+            past = tuple(data[at - context_tree.DEPTH : at][::-1])
+            for j in range(8):
+                yield (1 << j) | (data[at] >> (8 - j)), past, (data[at] >> (7 - j)) & 1
+
+    for text in trained:
+        for node, past, bit in steps(text):
+            decisions.setdefault(node, []).append((past, bit))
+
+    def log10(text):
+        total = 0
+        for node, past, bit in steps(text):
+            one = binary_weighting(decisions.get(node, []), context_tree.DEPTH, past)
+            total += math.log10(one if bit else 1 - one)
+        return total
+
+    docs = spark.createDataFrame([(t,) for t in trained], "text string").repartition(2)
+    rows = spark.createDataFrame([(t,) for t in asked], "text string").repartition(2)
+    for weighed in (context_tree.WEIGHED_GRAMS, 1):
+        monkeypatch.setattr(context_tree, "WEIGHED_GRAMS", weighed)
+        found = scoring.score_documents(rows, scoring.train_model(docs)).collect()
+        assert Counter(r["text"] for r in found) == Counter(asked)
+        for r in found:
+            assert r["score"] == pytest.approx(log10(r["text"]), rel=1e-5)
+
+
 # Search
 
 
