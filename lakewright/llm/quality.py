@@ -1,7 +1,7 @@
 """Quality scores: random-indexing word vectors pooled per document, and a small calibrated network.
 
 Each token has a fixed sparse random vector, drawn from its own hash. A token's word vector is the sum of its
-neighbours' random vectors over the training texts; a document is the mean of its tokens' word vectors. Two layers
+neighbours' random vectors over all texts outside of the held-out fold; a document is the mean of its tokens' word vectors. Two layers
 turn that into a logit, and a temperature fitted on texts that the network did not see into a probability.
 Tokens, never ids, sources, languages or labels, are all that a score depends on.
 """
@@ -15,17 +15,19 @@ from dataclasses import dataclass
 from operator import eq
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakewright.llm.texts import add_columns, id_remainder, strings_of
+from lakewright.llm.texts import add_columns, id_remainder, map_batches, portions, strings_of
 
 SAMPLE_DOCS = 6000  # labelled rows that the classifier is fitted on, drawn by hash
-SAMPLE_CHARS = 12 << 20  # and at most so much text of them
 VOCABULARY = 16_384  # tokens with a word vector; the others count as one of a few kinds of rare token
 DIMENSIONS = 64
 NONZERO = 6
 WINDOW = 2
+BLOCK = 256  # word vectors that are added up together
+HELD_TOKENS = 300_000  # how many distinct tokens a task counts before it hands them on
 HIDDEN = 32
 EPOCHS = 40
 CALIBRATION = 5  # every fifth sampled row sets the temperature and not the weights
@@ -62,31 +64,85 @@ def _random_vectors(tokens: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return (hashes >> 1) % DIMENSIONS, 1.0 - 2.0 * (hashes & 1)
 
 
-def word_vectors(texts: list[str]) -> tuple[dict[str, int], np.ndarray]:
-    """(token numbers, unit word vectors) from the neighbours of every token in ``texts``."""
-    counts = Counter(t for text in texts for t in tokens_of(text))
-    common = sorted(counts, key=lambda t: (-counts[t], t))[: VOCABULARY - len(_KINDS)]
-    names = [*_KINDS, *(t for t in common if counts[t] > 1)]
-    numbers = _Numbers((t, i) for i, t in enumerate(names))
-    places, signs = _random_vectors(names)
+def token_counts(texts: DataFrame) -> DataFrame:
+    """(token, n) of ``texts`` (text)."""
+
+    def run(batches):
+        counts: Counter[str] = Counter()
+        for batch in batches:
+            for portion in portions(batch):
+                for text in strings_of(portion.column("text")):
+                    counts.update(tokens_of(text))
+                    if len(counts) > HELD_TOKENS:
+                        yield pa.RecordBatch.from_pydict({"token": list(counts), "n": list(counts.values())})
+                        counts.clear()
+        if counts:
+            yield pa.RecordBatch.from_pydict({"token": list(counts), "n": list(counts.values())})
+
+    return texts.mapInArrow(run, "token string, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
+
+
+def context_sums(texts: list[str], numbers: dict[str, int], places: np.ndarray, signs: np.ndarray) -> np.ndarray:
+    """The sum of its neighbours' random vectors for every token number."""
     gap = np.full(WINDOW, -1, np.int32)
     parts = [gap]
     for text in texts:
         parts += [np.array([*map(numbers.__getitem__, tokens_of(text))], np.int32), gap]
     stream = np.concatenate(parts)
-    vectors = np.zeros(len(names) * DIMENSIONS)
+    sums = np.zeros(len(places) * DIMENSIONS)
     for away in range(1, WINDOW + 1):
         both = (stream[:-away] >= 0) & (stream[away:] >= 0)
-        left, right = stream[:-away][both], stream[away:][both]
+        left, right = stream[:-away][both].astype(np.int64), stream[away:][both].astype(np.int64)
         for one, other in ((left, right), (right, left)):
             for k in range(NONZERO):
-                at = one * DIMENSIONS + places[other, k]
-                vectors += np.bincount(at, signs[other, k], len(vectors))
-    vectors = vectors.reshape(len(names), DIMENSIONS)
+                sums += np.bincount(one * DIMENSIONS + places[other, k], signs[other, k], len(sums))
+    return sums.reshape(len(places), DIMENSIONS)
+
+
+def word_vectors(texts: DataFrame) -> tuple[dict[str, int], np.ndarray]:
+    """(token numbers, unit word vectors) from the neighbours of every token in all of ``texts`` (text).
+
+    Tokens are counted and their neighbours added up in Spark; VOCABULARY vectors come to the driver.
+    """
+    common = token_counts(texts).where("n > 1").orderBy(F.desc("n"), "token").limit(VOCABULARY - len(_KINDS)).toArrow()
+    names = [*_KINDS, *common["token"].to_pylist()]
+    places, signs = _random_vectors(names)
+    shared = texts.sparkSession.sparkContext.broadcast((names, places, signs))
+
+    def blocks(sums):
+        rows = [(i, sums[i * BLOCK : (i + 1) * BLOCK].astype("<i8").tobytes()) for i in range(-(-len(sums) // BLOCK))]
+        return pa.RecordBatch.from_pydict({"block": [i for i, _ in rows], "sums": [x for _, x in rows]})
+
+    def add_texts(batches):
+        names, places, signs = shared.value
+        numbers = _Numbers((t, i) for i, t in enumerate(names))
+        sums = None
+        for batch in batches:
+            for portion in portions(batch):
+                more = context_sums(strings_of(portion.column("text")), numbers, places, signs)
+                sums = more if sums is None else sums + more
+        if sums is not None:
+            yield blocks(sums)
+
+    def add_blocks(batches):
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for i, packed in zip(batch.column("block").to_pylist(), batch.column("sums").to_pylist(), strict=True):
+                more = np.frombuffer(packed, "<i8")
+                sums[i] = sums[i] + more if i in sums else more
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(sums), pa.int64()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["block", "sums"]
+        )
+
+    parts = texts.mapInArrow(add_texts, "block bigint, sums binary").repartition("block")
+    added = parts.mapInArrow(add_blocks, "block bigint, sums binary").toArrow()
+    vectors = np.zeros((len(names), DIMENSIONS))
+    for i, packed in zip(added["block"].to_pylist(), added["sums"].to_pylist(), strict=True):
+        vectors[i * BLOCK : (i + 1) * BLOCK] = np.frombuffer(packed, "<i8").reshape(-1, DIMENSIONS)
     for k in range(NONZERO):  # a token stands in its own context too, so that rare ones differ
         np.add.at(vectors, (np.arange(len(names)), places[:, k]), signs[:, k])
     norms = np.linalg.norm(vectors, axis=1, keepdims=True)
-    return dict(numbers), (vectors / np.maximum(norms, 1e-9)).astype(np.float32)
+    return {t: i for i, t in enumerate(names)}, (vectors / np.maximum(norms, 1e-9)).astype(np.float32)
 
 
 @dataclass
@@ -152,10 +208,9 @@ def _fit_temperature(logits: np.ndarray, y: np.ndarray) -> float:
     return float(choices[losses.argmin()])
 
 
-def fit(texts: list[str], labels: list[int]) -> Model:
-    numbers, vectors = word_vectors(texts)
+def fit(numbers: dict[str, int], vectors: np.ndarray, pooled: np.ndarray, labels: list[int]) -> Model:
     model = Model(numbers, vectors, np.zeros(DIMENSIONS), np.ones(DIMENSIONS), [], 1.0)
-    x, y = model.pooled(texts).astype(float), np.array(labels, float)
+    x, y = pooled.reshape(-1, DIMENSIONS).astype(float), np.array(labels, float)
     seen = np.arange(len(y)) % CALIBRATION != 0
     if len(y):
         model.mean, model.scale = x[seen].mean(axis=0) if seen.any() else x.mean(axis=0), np.maximum(x.std(axis=0), 1e-6)
@@ -168,23 +223,30 @@ def fit(texts: list[str], labels: list[int]) -> Model:
 
 
 def train_model(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out: int = 0) -> Model:
-    """Fit on labelled rows outside of the held-out fold, drawn by hash: at most SAMPLE_DOCS and SAMPLE_CHARS.
+    """Word vectors from all texts outside of the held-out fold; a network fitted on SAMPLE_DOCS labelled ones of them.
 
-    The fold of a row is crc32 of its id modulo ``folds``. Rows without a label, an id or a text are not drawn. The
-    sample is what reaches the driver. Without labelled rows every score is 1/2.
+    The fold of a row is crc32 of its id modulo ``folds``. The labelled rows are drawn by hash, whatever their length;
+    those without a label, an id or a text are not drawn. The numbers that they are pooled to are what reaches the
+    driver of them. Without labelled rows every score is 1/2.
     """
-    known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull() & (id_remainder(folds) != held_out))
-    known = known.groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    turn = F.xxhash64("doc_id")
-    drawn = known.orderBy(turn, "doc_id").limit(SAMPLE_DOCS)
-    texts = docs.where(F.col("text").isNotNull()).select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
-    # A repeated id stands once. The running total is over at most SAMPLE_DOCS rows.
-    sizes = texts.groupBy("doc_id").agg(F.max(F.length("text")).alias("size"))
-    total = F.sum("size").over(Window.orderBy(turn, "doc_id"))
-    chosen = sizes.select("doc_id", total.alias("total")).where(F.col("total") <= SAMPLE_CHARS).select("doc_id")
-    rows = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "quality").agg(F.max("text").alias("text")).collect()
-    rows.sort(key=lambda r: zlib.crc32(str(r["doc_id"]).encode()))
-    return fit([r["text"] for r in rows], [int(r["quality"] > 0) for r in rows])
+    texts = docs.where(F.col("text").isNotNull() & F.col("doc_id").isNotNull() & (id_remainder(folds) != held_out))
+    numbers, vectors = word_vectors(texts.select("text"))
+    shared = docs.sparkSession.sparkContext.broadcast(fit(numbers, vectors, np.empty(0), []))
+
+    known = labels.where(F.col("quality").isNotNull() & F.col("doc_id").isNotNull())
+    known = known.groupBy("doc_id").agg(F.max("quality").alias("quality")).join(texts.select("doc_id"), "doc_id", "left_semi")
+    drawn = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE_DOCS)
+    rows = texts.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    rows = rows.groupBy("doc_id", "quality").agg(F.max("text").alias("text"))  # a repeated id stands once
+
+    def convert(batch):
+        pooled = shared.value.pooled(strings_of(batch.column("text")))
+        return {"id": batch.column("id"), "good": batch.column("good"), "pooled": pooled.tolist()}
+
+    named = rows.select(F.col("doc_id").cast("string").alias("id"), (F.col("quality") > 0).cast("int").alias("good"), "text")
+    found = map_batches(named, "id string, good int, pooled array<float>", convert).collect()
+    found.sort(key=lambda r: (zlib.crc32(r["id"].encode()), r["id"]))
+    return fit(numbers, vectors, np.array([r["pooled"] for r in found], np.float32), [r["good"] for r in found])
 
 
 def score_documents(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:

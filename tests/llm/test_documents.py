@@ -268,6 +268,34 @@ def test_quality_of_awkward_rows_and_without_labels(spark, awkward, nothing):
     assert quality.score_documents(nothing, model).count() == 0
 
 
+def test_quality_learns_from_all_texts_whatever_their_length(spark, monkeypatch):
+    texts = [(i, f"{'fine' if i % 2 else 'poor'} words {i}") for i in range(1, 60)]
+    first = min((i for i, _ in texts if zlib.crc32(str(i).encode()) % 5), key=lambda i: zlib.crc32(str(i).encode()))
+    texts = [(i, "long " * 2_700_000 if i == first else t) for i, t in texts]
+    docs = spark.createDataFrame([*texts, (1001, "seen twice seen twice"), (1002, None)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in texts] + [(1002, 1)] + [(i, 1) for i in range(5000, 5100)], "doc_id bigint, quality int")
+    fitted = []
+    monkeypatch.setattr(quality, "fit", lambda *args, fit=quality.fit: fitted.append(args) or fit(*args))
+    monkeypatch.setattr(quality, "SAMPLE_DOCS", 55)
+    quality.train_model(docs.repartition(3), labels)
+    numbers, vectors, _, good = fitted[-1]
+    inside = [(i, t) for i, t in [*texts, (1001, "seen twice seen twice")] if zlib.crc32(str(i).encode()) % 5]
+    assert sorted(good) == sorted(i % 2 for i, _ in inside if i < 1000)
+    counts = Counter(t for _, text in inside for t in quality.tokens_of(text))
+    assert set(numbers) == {*quality._KINDS, *(t for t, n in counts.items() if n > 1)}
+    known = quality._Numbers(numbers)
+    places, signs = quality._random_vectors(list(numbers))
+    near = np.zeros((len(numbers), quality.DIMENSIONS))
+    for text in {t for _, t in inside if len(t) < 100}:
+        own = [known[t] for t in quality.tokens_of(text)]
+        for at, one in enumerate(own):
+            for other in own[max(0, at - 2) : at] + own[at + 1 : at + 3]:
+                np.add.at(near[one], places[other], signs[other])
+    for token in {"words", "poor", "seen", "twice"} & set(numbers):
+        np.add.at(near[numbers[token]], places[numbers[token]], signs[numbers[token]])
+        assert np.allclose(vectors[numbers[token]], near[numbers[token]] / np.linalg.norm(near[numbers[token]]), atol=1e-5)
+
+
 # Scoring
 
 
