@@ -7,8 +7,7 @@ ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
 
 from lakewright.session import build_session  # noqa: E402
-
-SF_DIR = "/root/testdata/sf0.01"
+from oracle import SF_DIR  # noqa: E402
 
 
 @pytest.fixture(scope="session")

@@ -1,8 +1,7 @@
 """Every registered query against its SQL, rows and column types."""
 
 import pytest
-from conftest import SF_DIR
-from oracle import compare, database
+from oracle import SF_DIR, compare, database
 
 import __spark_entry__
 from lakewright.workloads.registry import QUERIES

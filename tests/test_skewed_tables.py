@@ -8,8 +8,7 @@ import os
 
 import duckdb
 import pytest
-from conftest import SF_DIR
-from oracle import compare, database
+from oracle import SF_DIR, compare, database
 
 import __spark_entry__  # noqa: F401  (registers the queries)
 from lakewright.operators.keyed_joins import BROADCAST_SETTING
