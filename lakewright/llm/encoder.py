@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import re
 from array import array
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -61,69 +62,32 @@ class _Numbers(dict):
         return number
 
 
-class ChunkEncoder:
-    """``keeps_space`` tells whether white space is part of the tokens.
+class ChunkMemory:
+    """Ids of texts, put together from those of their chunks; the ids of a chunk are worked out once and remembered."""
 
-    Plain words, a Latin word with at most a blank before and marks after it, go straight to the library's model: the
-    pre-tokenizer would pass them on as they are. Whether that holds is tried out on a few words; if it
-    does not, and for all other chunks, the library's whole pipeline is used.
-    """
+    def __init__(self, max_chunks: int = MAX_CHUNKS):
+        self.max_chunks = max_chunks
+        self.forget()
 
-    def __init__(self, path: str, keeps_space: bool, max_chunks: int = MAX_CHUNKS):
-        from tokenizers import Tokenizer
+    def chunks_of(self, text: str) -> list[str]:
+        """The chunks of a text, in order."""
+        return spaced_chunks(text)
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
-        self.tokenize = self.tokenizer.model.tokenize
-        self.keeps_space, self.max_chunks = keeps_space, max_chunks
-        self.chunks_of = spaced_chunks if keeps_space else visible_chunks
-        self.parts: dict[str, list[int]] = {}
-        probes = _PROBES if keeps_space else [p.strip() for p in _PROBES]
-        expected = [e.ids for e in self.tokenizer.encode_batch(probes, add_special_tokens=False)]
-        self.plain_words = [self._plain(p) for p in probes] == expected
-        self.forget()
+    def ids_of(self, chunks: list[str]) -> Iterable[list[int]]:
+        """The ids of each chunk."""
+        raise NotImplementedError
 
     def forget(self) -> None:
         self.index = _Numbers()
         self.starts, self.ids, self.chars = array("q", [0]), array("I"), 0
 
-    def _part(self, part: str) -> list[int]:
-        """Ids of a blank, a line feed or marks, of which there are few."""
-        if part not in self.parts:
-            self.parts[part] = [t.id for t in self.tokenize(part.translate(_BYTES))] if part else []
-        return self.parts[part]
-
-    def _plain(self, chunk: str) -> list[int] | None:
-        """Ids of a plain word, None for other chunks."""
-        match = _PLAIN.fullmatch(chunk)
-        if not match:
-            return None
-        lead, word, marks = match.groups()
-        if not self.keeps_space:
-            lower = word.lower()
-            if lower is not word and lower.upper() != word.upper():
-                return None
-            lead, word = "", lower
-        if not word.isascii():
-            word = word.encode().decode("latin-1").translate(_BYTES)
-        if lead == " ":
-            ids = [t.id for t in self.tokenize(_BYTES[32] + word)]
-        else:
-            ids = [t.id for t in self.tokenize(word)]
-            if lead:
-                ids = self._part(lead) + ids
-        return ids + self._part(marks) if marks else ids
-
     def _learn(self) -> None:
         """Encode the chunks that wait."""
         waiting, self.index.waiting = self.index.waiting, []
         for first in range(0, len(waiting), 20_000):
             chunks = waiting[first : first + 20_000]
-            known = [self._plain(c) if c and self.plain_words else None for c in chunks]
-            other = [c for c, ids in zip(chunks, known, strict=True) if ids is None]
-            whole = iter(self.tokenizer.encode_batch_fast(other, add_special_tokens=False))
-            for chunk, ids in zip(chunks, known, strict=True):
-                self.ids.extend(next(whole).ids if ids is None else ids)
+            for chunk, ids in zip(chunks, self.ids_of(chunks), strict=True):
+                self.ids.extend(ids)
                 self.starts.append(len(self.ids))
                 self.chars += len(chunk)
 
@@ -147,23 +111,90 @@ class ChunkEncoder:
         numbers, counts = self._chunk_numbers(texts)
         return self._per_text(np.diff(np.frombuffer(self.starts, np.int64))[numbers], counts)
 
-    def encode(self, texts: list[str], end_id: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts, each followed by ``end_id``; the bounds of the texts among them)."""
+    def encode(self, texts: list[str], end_id: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, each followed by ``end_id`` unless that is None; the bounds of the texts among them)."""
         numbers, counts = self._chunk_numbers(texts)
         known = np.frombuffer(self.starts, np.int64)
         lengths = np.diff(known)[numbers]
         totals = self._per_text(lengths, counts)
+        first = np.concatenate(([0], np.cumsum(lengths)))[:-1]
+        source = np.repeat(known[:-1][numbers] - first, lengths) + np.arange(int(lengths.sum()))
+        found = np.frombuffer(self.ids, np.uint32)[source] if len(source) else np.empty(0, np.uint32)
+        if end_id is None:
+            return found, np.concatenate(([0], np.cumsum(totals)))
         bounds = np.concatenate(([0], np.cumsum(totals + 1)))
         out = np.full(int(bounds[-1]), end_id, np.uint32)
         kept = np.ones(len(out), bool)
         kept[bounds[1:] - 1] = False
-        first = np.concatenate(([0], np.cumsum(lengths)))[:-1]
-        source = np.repeat(known[:-1][numbers] - first, lengths) + np.arange(int(lengths.sum()))
-        if len(source):
-            out[kept] = np.frombuffer(self.ids, np.uint32)[source]
+        out[kept] = found
         return out, bounds
 
 
+class ChunkEncoder(ChunkMemory):
+    """``keeps_space`` tells whether white space is part of the tokens.
+
+    Plain words, a Latin word with at most a blank before and marks after it, go straight to the library's model: the
+    pre-tokenizer would pass them on as they are. Whether that holds is tried out on a few words; if it
+    does not, and for all other chunks, the library's whole pipeline is used. A text in which a special token may stand
+    is one chunk: the library cuts such texts at the token before it does anything else.
+    """
+
+    def __init__(self, path: str, keeps_space: bool, max_chunks: int = MAX_CHUNKS):
+        from tokenizers import Tokenizer
+
+        super().__init__(max_chunks)
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenize = self.tokenizer.model.tokenize
+        self.keeps_space = keeps_space
+        self.divide = spaced_chunks if keeps_space else visible_chunks
+        # Special tokens may be looked for in lower-cased text too: two characters of punctuation stand for them.
+        self.marks = sorted({t.content[:2] for t in self.tokenizer.get_added_tokens_decoder().values() if t.content})
+        self.parts: dict[str, list[int]] = {}
+        probes = _PROBES if keeps_space else [p.strip() for p in _PROBES]
+        expected = [e.ids for e in self.tokenizer.encode_batch(probes, add_special_tokens=False)]
+        self.plain_words = [self._plain(p) for p in probes] == expected
+        if any(mark.lower() != mark.upper() for mark in self.marks):
+            raise ValueError(f"special tokens of {path} do not begin with punctuation: {self.marks}")
+
+    def chunks_of(self, text: str) -> list[str]:
+        if any(mark in text for mark in self.marks):
+            return [text]
+        return self.divide(text)
+
+    def _part(self, part: str) -> list[int]:
+        """Ids of a blank, a line feed or marks, of which there are few."""
+        if part not in self.parts:
+            self.parts[part] = [t.id for t in self.tokenize(part.translate(_BYTES))] if part else []
+        return self.parts[part]
+
+    def _plain(self, chunk: str) -> list[int] | None:
+        """Ids of a plain word, None for other chunks."""
+        match = _PLAIN.fullmatch(chunk)
+        if not match:
+            return None
+        lead, word, marks = match.groups()
+        if not self.keeps_space:
+            lower = word.lower()
+            if lower is not word and lower.upper() != word.upper():
+                return None
+            lead, word = "", lower
+        if not word.isascii():
+            word = word.encode().decode("latin-1").translate(_BYTES)
+        if lead == " ":
+            ids = [t.id for t in self.tokenize(_BYTES[32] + word)]
+        else:
+            ids = [t.id for t in self.tokenize(word)]
+            if lead:
+                ids = self._part(lead) + ids
+        return ids + self._part(marks) if marks else ids
+
+    def ids_of(self, chunks: list[str]) -> Iterator[list[int]]:
+        known = [self._plain(c) if c and self.plain_words else None for c in chunks]
+        other = [c for c, ids in zip(chunks, known, strict=True) if ids is None]
+        whole = iter(self.tokenizer.encode_batch_fast(other, add_special_tokens=False))
+        return (next(whole).ids if ids is None else ids for ids in known)
+
+
 @lru_cache(maxsize=1)
 def worker_encoder(path: str, keeps_space: bool, max_chunks: int = MAX_CHUNKS) -> ChunkEncoder:
     """The encoder of this worker process, kept from task to task."""

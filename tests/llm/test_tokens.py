@@ -20,13 +20,16 @@ WORDS = public_tokenizers.path("word_bpe_49k.json")
 
 def library(path):
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     return lambda text: tokenizer.encode(text or "", add_special_tokens=False).ids
 
 
 ENCODERS = {path: (ChunkEncoder(path, keeps), library(path)) for path, keeps in ((BYTES, True), (WORDS, False))}
 
 
+PARTS = [*"aB é\n\t.!'s9日ßİ́  \x1c\0_-<|>", "<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "  "]
+TEXTS = st.lists(st.sampled_from(PARTS), max_size=30).map("".join)
+
+
 @pytest.mark.parametrize("path", [BYTES, WORDS])
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.text(st.sampled_from("aB é\n\t.!'s9日ßİ́  \x1c\0_-"), max_size=30), min_size=1, max_size=4))
