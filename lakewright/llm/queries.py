@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewright.llm import decontamination, near_dup, packing, pii, quality, scoring, search, sharding, token_counts, token_files
+from lakewright.llm import byte_bpe, decontamination, near_dup, packing, pii, quality, scoring, search, sharding, token_counts, token_files
 from lakewright.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,3 +83,11 @@ def op10_top_k_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     asked = docs.where(F.col("doc_id") % 20 == 0).select(F.col("doc_id").alias("query_id"), "text")
     return search.top_k(docs, asked, k=10)
+
+
+@_query
+def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = byte_bpe.encode_documents(docs, ranks, public_tokenizers.PATTERN)
+    return byte_bpe.digest(byte_bpe.decode_documents(encoded.drop("text"), ranks))
