@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewright.llm import byte_bpe, decontamination, near_dup, packing, pii, quality, scoring, search, sharding, token_counts, token_files
+from lakewright.llm import ball_tree, byte_bpe, decontamination, near_dup, packing, pii, quality, scoring, search, sharding, token_counts, token_files
 from lakewright.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,3 +91,36 @@ def op13_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = byte_bpe.encode_documents(docs, ranks, public_tokenizers.PATTERN)
     return byte_bpe.digest(byte_bpe.decode_documents(encoded.drop("text"), ranks))
+
+
+@_query
+def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, items = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    return ball_tree.rank_documents(docs, items, k=10)
+
+
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES["op12_ranked_search"] = f"""
+WITH found AS (
+    SELECT doc_id, unnest(regexp_extract_all({_LOWER.format("text")}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM documents
+), asked AS (
+    SELECT item_id, unnest(regexp_extract_all({_LOWER.format("text")}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM benchmark
+), counts AS (SELECT doc_id, term, count(*) AS tf FROM found GROUP BY ALL),
+lengths AS (SELECT doc_id, count(*) AS n FROM found GROUP BY ALL),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS words FROM lengths),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+    FROM (SELECT term, count(*) AS df FROM counts GROUP BY term), totals
+), scored AS (
+    SELECT item_id, doc_id,
+           CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // words)))) AS BIGINT) AS score
+    FROM (SELECT item_id, term, count(*) AS times FROM asked GROUP BY ALL)
+    JOIN counts USING (term) JOIN weights USING (term) JOIN lengths USING (doc_id), totals
+    GROUP BY item_id, doc_id
+), ranked AS (
+    SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+    FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
