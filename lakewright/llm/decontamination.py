@@ -18,7 +18,8 @@ from lakewright.llm.texts import add_columns, utf8_of
 from lakewright.session import scratch_path
 
 WINDOW = 10
-AUTOMATON_BYTES = 32 << 20  # benchmark text that goes into one automaton; more text makes more of them
+# Benchmark text that goes into one automaton, which takes up to 500 times as much memory; more text makes more of them.
+AUTOMATON_BYTES = 1 << 19
 
 # Bytes of the normalised text: A-Z lower-cased; ASCII other than letters and digits parts words.
 _NORMAL = bytes(
@@ -46,6 +47,10 @@ def windows_of(text: bytes, window: int) -> set[bytes]:
     return {b" ".join(words[i : i + window]) for i in range(max(1, len(words) - window + 1))}
 
 
+def _null_first(item_id: int | None) -> tuple[bool, int]:
+    return item_id is not None, item_id or 0
+
+
 def build_automaton(items: list[tuple[int, str | None]], window: int = WINDOW):
     """An automaton whose values are (number of words, ids of the items with that window); None for no windows."""
     import ahocorasick
@@ -59,7 +64,7 @@ def build_automaton(items: list[tuple[int, str | None]], window: int = WINDOW):
     automaton = ahocorasick.Automaton()
     for pattern, ids in owners.items():
         # Bytes as characters of the same number: the automaton then reads one byte a step.
-        automaton.add_word(f" {pattern.decode('latin-1')} ", (pattern.count(b" ") + 1, len(pattern) + 1, sorted(ids)))
+        automaton.add_word(f" {pattern.decode('latin-1')} ", (pattern.count(b" ") + 1, len(pattern) + 1, sorted(ids, key=_null_first)))
     automaton.make_automaton()
     return automaton
 
@@ -70,7 +75,7 @@ def _item_blocks(benchmark: DataFrame) -> Iterator[list[tuple[int, str | None]]]
     block: list[tuple[int, str | None]] = []
     held = 0
     for row in items.toLocalIterator():  # the question list is read once, a partition at a time
-        size = len(row["text"] or "") * 4
+        size = len((row["text"] or "").encode())
         if block and held + size > AUTOMATON_BYTES:
             yield block
             block, held = [], 0

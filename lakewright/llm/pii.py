@@ -27,6 +27,7 @@ TRAINING_ZONES = 1200  # zones that the field is fitted on, drawn by hash from t
 ZONE_CHARS = 400  # longer zones are not drawn for training; all are searched
 EPOCHS = 6
 WEIGHTS = 4096
+FEATURES = 8  # of every span
 
 SPANS = "array<struct<start:int,end:int,kind:string,base:boolean>>"
 
@@ -40,6 +41,7 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 
 _ACTIVE = re.compile(r"[0-9@]")
 _CHUNK = re.compile(r"\S+")
+_NEXT = re.compile(r"\s{1,3}(?:[-./()]\s{1,3})?(\S+)")  # a chunk after short white space, or after a lone separator in it
 _ATOM = re.compile(r"[^\W_]+|.", re.DOTALL)
 
 
@@ -84,9 +86,8 @@ def rule_spans(text: str) -> list[tuple[int, int, str]]:
 
 
 def zones(text: str) -> Iterator[tuple[int, int]]:
-    """Where an entity can be: chunks with a digit or an @, together with such chunks one blank further on.
-
-    Everywhere else the field has no segment to offer, so leaving it out changes no decision.
+    """Where the field looks for entities: chunks with a digit or an @, together with such chunks that follow after
+    at most three white-space characters, or after a lone separator with as many on either side.
     """
     done, found = 0, _ACTIVE.search(text)
     while found:
@@ -94,7 +95,7 @@ def zones(text: str) -> Iterator[tuple[int, int]]:
         while first > done and not text[first - 1].isspace():
             first -= 1
         last = _CHUNK.match(text, found.start()).end()
-        while text.startswith(" ", last) and (chunk := _CHUNK.match(text, last + 1)) and _ACTIVE.search(chunk.group()):
+        while (chunk := _NEXT.match(text, last)) and _ACTIVE.search(chunk[1]):
             last = chunk.end()
         yield first, last
         done, found = last, _ACTIVE.search(text, last)
@@ -159,7 +160,7 @@ def lattice(text: str, first: int, last: int) -> Lattice:
                 bounds.append((i, j + 1))
                 spans.append((start, end))
                 features.append(_features(text[start:end], text[start - 1 : start], text[end : end + 1]))
-    return Lattice(len(places), bounds, spans, np.array(features, np.int64).reshape(len(features), -1))
+    return Lattice(len(places), bounds, spans, np.array(features, np.int64).reshape(-1, FEATURES))
 
 
 def _ends(lat: Lattice) -> list[list[int]]:
@@ -228,12 +229,12 @@ def _variants(text: str, gold: list[tuple[int, int, str]], rng: random.Random) -
             other, faulty = "00" + span[1:], span[: max(4, len(span) // 2)]
         elif kind == "card":
             digits = _digits(span)
-            other = ".".join(digits[i : i + 4] for i in range(0, len(digits), 4))
+            other = rng.choice([".", "\t", "  ", " - "]).join(digits[i : i + 4] for i in range(0, len(digits), 4))
             faulty = span[:-1] + str((int(span[-1]) + rng.randint(1, 9)) % 10)
         elif kind == "ip":
-            other, faulty = "", span.rpartition(".")[0] + f".{rng.randint(256, 999)}"
+            other, faulty = span.replace(".", "[.]"), span.rpartition(".")[0] + f".{rng.randint(256, 999)}"
         else:
-            other, faulty = "", span.partition("@")[0] + "@"
+            other, faulty = span.replace("@", rng.choice(["[@]", "(@)"])), span.partition("@")[0] + "@"
         for changed, holds in ((other, True), (faulty, False)):
             if changed:
                 shift = len(changed) - len(span)

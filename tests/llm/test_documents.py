@@ -89,6 +89,16 @@ def test_decontamination_small(spark):
     assert {TEXTS[3][h["start"] : h["end"]] for h in found} == {"a b c d e f g h i j", "b c d e f g h i j k"}
 
 
+def test_items_without_an_id_share_windows_with_others(spark):
+    docs = spark.createDataFrame([(1, "one two three four")], "doc_id bigint, text string")
+    items = spark.createDataFrame([(7, "one two"), (None, "One, two"), (None, "three"), (None, None)], "item_id bigint, text string")
+    found = decontamination.find_windows(docs, items)
+    hits = [(h["first_word"], h["last_word"], h["item_id"]) for h in found.first()["hits"]]
+    assert hits == [(0, 1, None), (0, 1, 7), (2, 2, None)]
+    row = decontamination.digest(found).first()
+    assert (row["n_hit"], row["n_items"]) == (3, 2)
+
+
 def test_decontamination_in_several_automata(spark, monkeypatch):
     docs = spark.createDataFrame(list(enumerate(TEXTS)), "doc_id bigint, text string")
     items = spark.createDataFrame(ITEMS, "item_id bigint, text string")
@@ -137,6 +147,24 @@ def test_rules_find_what_the_patterns_find(text):
     assert pii.rule_spans(text) == plain_rules(text)
 
 
+PIECES = ["@", "a@b.c", "(@)", "-@-", "10.0.0.1", "4111 1111 1111 1111", "+1 (555) 123-4567", "0049  30 - 1234567", *" \n\t.-()%9é+"]
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(PIECES), max_size=12).map("".join), st.integers(0, 9))
+def test_any_text_has_spans(text, seed):
+    weights = np.random.default_rng(seed).normal(size=(pii.WEIGHTS, len(pii.KINDS)))
+    spans = pii.spans_of(text, weights)
+    assert [(a, b, kind) for a, b, kind, base in spans if base] == plain_rules(text)
+    added = sorted((a, b) for a, b, _, base in spans if not base)
+    assert all(a[1] <= b[0] for a, b in zip(added, added[1:])) and all(0 <= a < b <= len(text) for a, b in added)  # noqa: B905
+
+
+def test_models_are_trained_on_any_text(spark):
+    docs = spark.createDataFrame([(1, "meet me @ noon"), (2, "(@) -@-"), (3, " ".join(PIECES)), (4, "@")], "doc_id bigint, text string")
+    assert pii.find_spans(docs, pii.train_model(docs)).count() == 4
+
+
 def test_rules_on_documents_and_awkward_rows(documents, awkward, nothing):
     weights = pii.train_model(documents)
     for docs in (documents, awkward):
@@ -158,8 +186,16 @@ def test_rules_on_documents_and_awkward_rows(documents, awkward, nothing):
 
 def test_the_field_adds_spellings_that_the_rules_miss(documents):
     weights = pii.train_model(documents)
-    kinds = {kind for _, _, kind, base in pii.spans_of("call 0049 (555) 123-4567 now", weights) if not base}
-    assert kinds <= {"phone"}
+    planted = [
+        ("phone", "call ", "0049 (555) 123-4567", " now"),
+        ("ip", "server ", "10[.]20[.]30[.]40", " is down"),
+        ("email", "write to ", "bob.smith[@]example.org", " today"),
+        ("card", "paid with ", "4111.1111.1111.1111", " yesterday"),
+        ("card", "paid with ", "4111\t1111\t1111\t1111", " yesterday"),
+    ]
+    for kind, before, span, after in planted:
+        where = (len(before), len(before) + len(span), kind, False)
+        assert where in pii.spans_of(before + span + after, weights), span
     for clean in ("Version 2.0 of 2024-01-01", "no digits at all", "page 12 of 300", "room 101, floor 7"):
         assert pii.spans_of(clean, weights) == []
 
