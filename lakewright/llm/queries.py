@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakewright.llm import ball_tree, byte_bpe, decontamination, near_dup, packing, pii, quality, scoring, search, sharding, token_counts, token_files
+from lakewright.llm import ball_tree, byte_bpe, collocations, decontamination, near_dup, packing, pii, quality, scoring, search, sharding, token_counts, token_files
 from lakewright.session import scratch_path
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,48 @@ weights AS (
 )
 SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
 """
+
+
+@_query
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_collocations"] = f"""
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex({_LOWER.format("text")}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents
+), listed AS (
+    SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words FROM pieces
+), ones AS (
+    SELECT lang, word, count(*) AS f FROM (SELECT lang, unnest(words) AS word FROM listed) GROUP BY ALL
+), totals AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM ones GROUP BY ALL),
+twos AS (
+    SELECT lang, w[1] AS w1, w[2] AS w2, count(*) AS f
+    FROM (SELECT lang, unnest(list_transform(range(1, len(words)), lambda i: words[i : i + 1])) AS w FROM listed) GROUP BY ALL
+), threes AS (
+    SELECT lang, w[1] AS w1, w[2] AS w2, w[3] AS w3, count(*) AS f
+    FROM (SELECT lang, unnest(list_transform(range(1, len(words) - 1), lambda i: words[i : i + 2])) AS w FROM listed) GROUP BY ALL
+), two AS (
+    SELECT t.lang, t.w1, t.w2, t.f AS a, x.f AS l, y.f AS r, 1000000 * CAST(t.f AS HUGEINT) * t.f // (CAST(x.f AS HUGEINT) * y.f) AS score
+    FROM twos t JOIN ones x ON x.lang = t.lang AND x.word = t.w1 JOIN ones y ON y.lang = t.lang AND y.word = t.w2 WHERE t.f >= 10
+), three AS (
+    SELECT t.lang, t.w1, t.w2, t.w3, t.f AS a, x.f AS l1, p.f AS r1, q.f AS l2, y.f AS r2,
+           1000000 * CAST(t.f AS HUGEINT) * t.f // (CAST(x.f AS HUGEINT) * p.f) AS s1,
+           1000000 * CAST(t.f AS HUGEINT) * t.f // (CAST(q.f AS HUGEINT) * y.f) AS s2
+    FROM threes t JOIN ones x ON x.lang = t.lang AND x.word = t.w1 JOIN ones y ON y.lang = t.lang AND y.word = t.w3
+    JOIN twos p ON p.lang = t.lang AND p.w1 = t.w2 AND p.w2 = t.w3 JOIN twos q ON q.lang = t.lang AND q.w1 = t.w1 AND q.w2 = t.w2
+    WHERE t.f >= 10
+), inside AS (
+    SELECT lang, w1, w2, max(a) AS longer FROM (SELECT lang, w1, w2, a FROM three UNION ALL SELECT lang, w2, w3, a FROM three) GROUP BY ALL
+), candidates AS (
+    SELECT lang, w1 || ' ' || w2 AS phrase, a, l, r, score
+    FROM two LEFT JOIN inside USING (lang, w1, w2) WHERE longer IS NULL OR 100 * longer < 50 * a
+    UNION ALL
+    SELECT lang, w1 || ' ' || w2 || ' ' || w3, a, CASE WHEN s1 <= s2 THEN l1 ELSE l2 END, CASE WHEN s1 <= s2 THEN r1 ELSE r2 END, least(s1, s2)
+    FROM three
+), ranked AS (
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score
+    FROM candidates JOIN totals USING (lang)
+)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked WHERE rank <= 2000
+"""
