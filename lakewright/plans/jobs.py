@@ -7,13 +7,14 @@ import logging
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakewright.functions.masking import dummy_values
 from lakewright.functions.warehouse_types import spark_column_type
 from lakewright.operators.changes import project_to, upsert
 from lakewright.operators.columns import ColumnRule, preview
+from lakewright.operators.commands import apply_delete_commands
 from lakewright.operators.keyed_joins import matching_keys
 from lakewright.plans.catalog import create_table_if_absent, register_external
 from lakewright.plans.ddl import sized_columns
@@ -29,6 +30,7 @@ from lakewright.sinks.tables import (
     write_table,
 )
 from lakewright.sinks.text import write_csv
+from lakewright.sources.commands import existing_delete_file, read_delete_commands
 from lakewright.sources.files import dated_directory, existing_directory
 from lakewright.sources.lake import glob_scan, read_table
 from lakewright.sources.loads import load_by_name, load_csv, nested_to_json
@@ -57,11 +59,14 @@ def rebuild_table(
 
 @dataclass(frozen=True)
 class DailyRun:
-    """The folder of the new files, None if there was nothing to write, and which of the two steps were taken."""
+    """The folder of the new files, None if there was nothing to write; whether rows were deleted or changed, whether rows were
+    added; how many partitions were written anew, None where the whole table was or nothing.
+    """
 
     version: str | None
     deleted: bool
     appended: bool
+    rewritten: int | None = None
 
 
 def daily_delete_and_append(
@@ -75,19 +80,31 @@ def daily_delete_and_append(
     append_fmt: str = "avro",
     table: str | None = None,
     fmt: str = "parquet",
+    delete_root: str | None = None,
+    delete_from: str | None = None,
 ) -> DailyRun:
-    """Apply the deletes, add the anonymised rows of the previous day, publish the result.
+    """Apply the deletes of the previous day, add its anonymised rows, publish the result.
+
+    Deletes come from a file of commands, ``delete_root/YYYY-MM-DD.sql`` of the previous day if there is one, for the table
+    ``delete_from`` or else ``table``; or from a callable, which may also change rows. Nothing is appended when the previous day
+    has no files. ``scope="prefix"`` then appends every day under ``append_root`` and not just that one.
 
-    Nothing is appended when the previous day has no files. ``scope="prefix"`` then appends every day under
-    ``append_root`` and not just that one. Of a partitioned ``table`` only the partitions that lose rows are written
-    anew, and new rows come as further files; anything else becomes a whole new version. With nothing to do nothing is
-    written. The delete is evaluated before anything is written: only if that fails, and ``on_delete_error`` is
-    "continue", do the rows stay and the append still happen. A write that fails is an error in any case.
+    Of a partitioned ``table`` only the partitions whose rows differ after the delete are written anew, and new rows come as further
+    files; anything else becomes a whole new version. If the delete changes no row and there is nothing to append, no version
+    is left and the table stays as it is. If the delete fails, and ``on_delete_error`` is "continue", the rows stay and the
+    append still happens; a write that fails is an error in any case. To tell, the delete is evaluated once, into sums of row hashes by
+    partition, before anything is written.
     """
     if on_delete_error not in ("continue", "fail"):
         raise ValueError(f"on_delete_error must be 'continue' or 'fail', not {on_delete_error!r}")
     spark = target.sparkSession
     day = as_of - dt.timedelta(days=1)
+    if delete_root is not None:
+        if delete is not None or not (delete_from or table):
+            raise ValueError("deletes come from a callable or from files, and files need the name of the table")
+        listed = existing_delete_file(spark, delete_root, day)
+        if listed is not None:
+            delete = lambda rows: apply_delete_commands(rows, read_delete_commands(spark, listed), delete_from or table)
     found = existing_directory(spark, append_root, day)
     incoming = None
     if found is not None:
@@ -99,41 +116,54 @@ def daily_delete_and_append(
     if delete is not None:
         try:
             kept = delete(target)
-            if columns:
-                touched = _partitions_that_shrink(target, kept, columns)
-            else:
-                kept.write.format("noop").mode("overwrite").save()
+            touched = _partitions_that_change(target, kept, columns)
         except Exception:
             if on_delete_error == "fail":
                 raise
             log.exception("delete step failed; appending without it")
-            touched = kept = None
-    deleted = kept is not None
-    if not deleted and incoming is None:
-        return DailyRun(None, False, False)
-    if not columns:
-        rows = target if kept is None else kept
-        return DailyRun(publish(rows if incoming is None else rows.unionByName(incoming), root, table, fmt), deleted, found is not None)
+            touched = None
+    changed = 0 if touched is None else touched.count()
     version = None
-    if touched is not None and not touched.isEmpty():
+    if not columns:
+        if changed or incoming is not None:
+            rows = kept.select(*target.columns) if changed else target
+            version = publish(rows if incoming is None else rows.unionByName(incoming), root, table, fmt)
+        return DailyRun(version, changed > 0, incoming is not None)
+    if changed:
         same = [kept[c].eqNullSafe(touched[c]) for c in columns]
         rest = kept.join(F.broadcast(touched), same, "left_semi").select(*target.columns)
         version = replace_partitions(table, rest, touched, root, fmt)
     if incoming is not None:
         insert_by_position(incoming.select(*spark.table(table).columns), table)
         spark.catalog.refreshTable(table)
-    return DailyRun(version, deleted, found is not None)
+    return DailyRun(version, changed > 0, incoming is not None, changed)
+
 
+def _row_hash(df: DataFrame) -> Column:
+    """A hash of all values of a row, wide enough to be summed over any number of rows."""
+    plain = (F.to_json(F.col(f"`{f.name}`")) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`") for f in df.schema)
+    return F.xxhash64(*plain).cast("decimal(38, 0)")
 
-def _partitions_that_shrink(before: DataFrame, after: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """The partitions of which rows are gone, written to the shared folder; there are as many rows as partitions."""
+
+def _changes(before: DataFrame, after: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Of every group of rows, how many there are more after than before, and what their hashes sum to."""
+    signed = [
+        df.select(*(F.col(f"`{c}`") for c in columns), F.lit(sign).alias("_n"), (sign * _row_hash(df)).cast("decimal(38, 0)").alias("_hash"))
+        for df, sign in ((after.select(*before.columns), 1), (before, -1))
+    ]
+    return signed[0].unionByName(signed[1]).groupBy(*columns).agg(F.sum("_n").alias("_n"), F.sum("_hash").alias("_hash")).where("_n <> 0 OR _hash <> 0")
+
+
+def _partitions_that_change(before: DataFrame, after: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The partitions whose rows differ, written to the shared folder; there are at most as many rows as partitions.
+
+    A table without partitions counts as one, with a row if it differs.
+    """
     spark = before.sparkSession
-    one, two = (df.groupBy(*columns).agg(F.count(F.lit(1)).alias(name)) for df, name in ((before, "had"), (after, "has")))
-    same = [one[c].eqNullSafe(two[c]) for c in columns]
-    shrunk = one.join(two, same, "left").where(F.col("had") > F.coalesce("has", F.lit(0))).select(*(one[c] for c in columns))
+    changed = _changes(before, after, columns).select(*columns or [F.lit(1).alias("one")])
     path = scratch_path(spark, "touched")
-    shrunk.write.parquet(path)
-    return spark.read.schema(shrunk.schema).parquet(path)
+    changed.write.parquet(path)
+    return spark.read.schema(changed.schema).parquet(path)
 
 
 def upsert_through_staging(

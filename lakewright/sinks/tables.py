@@ -6,12 +6,13 @@ import datetime as dt
 import re
 import uuid
 from collections.abc import Sequence
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakewright import storage
 from lakewright.session import sql_text
+from lakewright.sinks.swaps import folder_values, partition_folders, partition_locations, swap_partitions, unfinished_swaps
 
 PARTITION_COLUMN = "ingestion_date"
 
@@ -66,8 +67,9 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     df.write.format(fmt).mode("overwrite").save(path)
 
 
-def new_version(root: str) -> str:
-    return f"{root.rstrip('/')}/v{dt.datetime.now(dt.UTC):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
+def new_version(root: str, whole: bool = True) -> str:
+    """A folder for a version of a table, or (``whole`` is off) for new files of some of its partitions."""
+    return f"{root.rstrip('/')}/{'v' if whole else 'p'}{dt.datetime.now(dt.UTC):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
@@ -92,26 +94,24 @@ def publish(
 
 
 def point_at(spark: SparkSession, table: str, version: str, partition_by: Sequence[str]) -> None:
-    """Let a catalog entry serve the files of a version. Partition entries have places of their own: they are made anew."""
-    spark.sql(f"ALTER TABLE {table} SET LOCATION {sql_text(version)}")
-    if partition_by:
+    """Let a catalog entry serve the files of a version.
+
+    Partition entries have places of their own: each moves in one step, see ``swap_partitions``, and those that the version
+    does not have go last.
+    """
+    columns = list(partition_by)
+    if columns:
         _require_external(spark, table)
-        for row in spark.sql(f"SHOW PARTITIONS {table}").collect():  # names of partitions, as the catalog lists them
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_partition_spec(row[0])})")
-        spark.catalog.refreshTable(table)
-        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+        folders = partition_folders(spark, version, len(columns))
+        moves = dict.fromkeys(partition_locations(spark, table, columns)) | {folder_values(f): f"{version}/{f}" for f in folders}
+        swap_partitions(spark, table, columns, version.rpartition("/")[0], moves)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION {sql_text(version)}")
     spark.catalog.refreshTable(table)
     served = spark.table(table).select(F.col("_metadata.file_path").alias("path")).limit(1).collect()
     if served and version.split(":", 1)[-1].strip("/") not in served[0]["path"]:
         raise RuntimeError(f"{table} does not serve {version} but {served[0]['path']}")
 
 
-def _partition_spec(name: str) -> str:
-    """A partition as the catalog names it (``day=2024-01-01/kind=a``) as a clause."""
-    parts = (part.split("=", 1) for part in name.split("/"))
-    return ", ".join(f"`{column}` = {sql_text(unquote(value))}" for column, value in parts)
-
-
 def _require_external(spark: SparkSession, table: str) -> None:
     """Dropping a partition of a managed table would delete its files, which may be all there is of a version."""
     kind = spark.catalog.getTable(table).tableType
@@ -119,19 +119,30 @@ def _require_external(spark: SparkSession, table: str) -> None:
         raise ValueError(f"{table} is {kind}; only an external table's partitions can move to a new version")
 
 
-def remove_old_versions(spark: SparkSession, root: str, keep: str) -> list[str]:
-    """Delete the versions under ``root`` that are older than ``keep``, on request; returns their paths."""
-    jvm = spark.sparkContext._jvm
-    folder = jvm.org.apache.hadoop.fs.Path(root)
-    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    current = keep.rstrip("/").rsplit("/", 1)[-1]
-    gone = []
-    for status in files.listStatus(folder):
-        name = status.getPath().getName()
-        if re.fullmatch(r"v\d{8}T\d{6}-[0-9a-f]{8}", name) and name[:16] < current[:16]:
-            files.delete(status.getPath(), True)
-            gone.append(status.getPath().toString())
-    return gone
+def remove_old_versions(spark: SparkSession, root: str, keep: str, table: str | None = None) -> list[str]:
+    """Delete the versions under ``root`` that are older than ``keep``, on request; returns their paths.
+
+    A version that a partition of ``table``, or the table itself, still lies in stays. Once single partitions have been replaced,
+    versions of any age may be in use, so the table must be named; while a swap is unfinished, nothing is deleted.
+    """
+    found = [e for e in storage.entries(spark, root) if e.is_folder and re.fullmatch(r"[vp]\d{8}T\d{6}-[0-9a-f]{8}", e.name)]
+    if table is None and any(e.name.startswith("p") for e in found):
+        raise ValueError(f"partitions have been replaced under {root}: name the table, whose partitions say which versions are in use")
+    if unfinished_swaps(spark, root):
+        raise RuntimeError(f"a swap of partitions under {root} is unfinished; see finish_swaps")
+    used = _locations(spark, table) if table else []
+    newest = keep.rstrip("/").rsplit("/", 1)[-1][1:16]
+    old = [e for e in found if e.name[1:16] < newest and not any(storage.lies_in(place, e.path) for place in used)]
+    for entry in old:
+        storage.remove(spark, entry.path)
+    return [entry.path for entry in old]
+
+
+def _locations(spark: SparkSession, table: str) -> list[str]:
+    """Where the catalog says that files of a table are."""
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").collect()
+    columns = partition_columns(spark, table)
+    return [row["data_type"] for row in described] + (list(partition_locations(spark, table, columns).values()) if columns else [])
 
 
 def replace_partitions(
@@ -142,21 +153,15 @@ def replace_partitions(
     ``touched`` lists partition values; a touched partition without new rows goes. The new files lie in a version of
     their own under ``root``. Returns its path.
     """
-    spark, version = rows.sparkSession, new_version(root)
+    spark, version = rows.sparkSession, new_version(root, whole=False)
     columns = partition_columns(spark, table)
     _require_external(spark, table)
     clustered_by(rows, *columns).write.format(fmt).mode("errorifexists").partitionBy(*columns).save(version)
-    none = F.lit("__HIVE_DEFAULT_PARTITION__")  # fixed value: Spark's folder for a NULL
-    texts = (F.coalesce(F.col(f"`{c}`").cast("string"), none) for c in columns)
-    plain = [F.when(t.rlike(r"^[\w .-]+$"), t).otherwise(F.raise_error(F.concat(F.lit("no partition path for "), t))) for t in texts]
-    names = F.concat_ws("/", *(F.concat(F.lit(f"{c}="), t) for c, t in zip(columns, plain, strict=True))).alias("name")
-    held = {r["name"] for r in spark.read.format(fmt).schema(rows.schema).load(version).select(names).distinct().collect()}
-    for name in sorted({r["name"] for r in touched.select(names).distinct().collect()} | held):  # partitions, not rows
-        spec = _partition_spec(name)
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
-        if name in held:
-            spark.sql(f"ALTER TABLE {table} ADD PARTITION ({spec}) LOCATION {sql_text(f'{version}/{name}')}")
-    spark.catalog.refreshTable(table)
+    none = F.lit("__HIVE_DEFAULT_PARTITION__")  # fixed value: Spark's folder for a NULL, and for an empty text
+    texts = (F.coalesce(F.nullif(F.col(f"`{c}`").cast("string"), F.lit("")), none).alias(c) for c in columns)
+    gone = {tuple(row) for row in touched.select(*texts).distinct().collect()}  # partitions, not rows
+    folders = partition_folders(spark, version, len(columns))
+    swap_partitions(spark, table, columns, root, dict.fromkeys(gone) | {folder_values(f): f"{version}/{f}" for f in folders})
     return version
 
 
@@ -193,24 +198,22 @@ def refresh_table(spark: SparkSession, table: str) -> None:
     spark.catalog.refreshTable(table)
 
 
-def write_date_paths(df: DataFrame, root: str, day: Column, fmt: str = "parquet") -> None:
+def write_date_paths(df: DataFrame, root: str, day: Column, fmt: str = "parquet", mode: str = "append") -> None:
     """Files by day under ``root/YYYY/MM/DD``. Rows without a day are an error: no path is theirs.
 
-    Spark writes all days at once, each to a folder named after its column; the folders are then renamed, which moves
-    no data. Their number is that of the days.
+    Spark writes all days at once, each to a folder named after its column; the files are then renamed into their places, which
+    moves no data. ``append`` puts them beside the files that a day has; ``overwrite`` removes those, once the new ones are there.
     """
+    if mode not in ("append", "overwrite"):
+        raise ValueError(f"mode must be 'append' or 'overwrite', not {mode!r}")
     spark, written = df.sparkSession, f"{root.rstrip('/')}/_writing-{uuid.uuid4().hex}"
     named = F.coalesce(F.date_format(day, "yyyy-MM-dd"), F.raise_error(F.lit("a row has no day")).cast("string"))
     write_partitioned(df.withColumn("__day", named), written, ("__day",), fmt)
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path
-    files = path(written).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for status in files.listStatus(path(written)):
-        name = status.getPath().getName()
-        if name.startswith("__day="):
-            target = path(f"{root.rstrip('/')}/{name.removeprefix('__day=').replace('-', '/')}")
-            files.mkdirs(target.getParent())
-            files.delete(target, True)
-            if not files.rename(status.getPath(), target):
-                raise RuntimeError(f"cannot move {status.getPath()} to {target}")
-    files.delete(path(written), True)
+    for folder in partition_folders(spark, written, 1):
+        target = f"{root.rstrip('/')}/{folder.removeprefix('__day=').replace('-', '/')}"
+        before = storage.data_files(spark, target) if mode == "overwrite" else []
+        for name in storage.data_files(spark, f"{written}/{folder}"):
+            storage.move(spark, f"{written}/{folder}/{name}", f"{target}/{name}")
+        for name in before:
+            storage.remove(spark, f"{target}/{name}")
+    storage.remove(spark, written)
