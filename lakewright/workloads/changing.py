@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakewright.functions.masking import mask_columns
 from lakewright.operators import calendar, changes, ranges
+from lakewright.operators.commands import apply_delete_commands
 from lakewright.plans import jobs
 from lakewright.plans.catalog import create_table_if_absent, register_external
 from lakewright.session import scratch_path
 from lakewright.sinks.tables import insert_by_position, write_partitioned, write_table
+from lakewright.sources.commands import read_delete_commands
 from lakewright.sources.lake import read_table
 from lakewright.workloads.registry import query, table
 from lakewright.workloads.staging import DATABASE, dated_tree, fresh_table, with_ingestion_date
@@ -312,3 +315,26 @@ def repeated_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "appended-twice")
     write_table(changes.delete_where(customer, F.col("c_acctbal") < 0), path)
     return changes.append_by_position(read_table(spark, path), customer)
+
+
+@query("""
+    SELECT * FROM events
+    WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_nationkey = 7 AND c_custkey = user_id)
+      AND NOT EXISTS (SELECT 1 FROM customer WHERE c_nationkey = 9 AND c_custkey = user_id AND event_type = 'click')
+      AND NOT EXISTS (SELECT 1 FROM nation WHERE n_regionkey < 3 AND value BETWEEN n_nationkey * 4 AND n_nationkey * 4 + 0.5)
+      AND NOT EXISTS (SELECT 1 FROM nation WHERE n_regionkey >= 3 AND event_type = 'error' AND user_id = n_nationkey * 5)
+""")
+def delete_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A file of commands for several tables: many key deletes by one and by two columns, and some by ranges."""
+    customer, nation = table(spark, sf_dir, "customer"), table(spark, sf_dir, "nation")
+    statements = [
+        (customer.where("c_nationkey = 7"), "DELETE FROM lake.events WHERE user_id = %d", ["c_custkey"]),
+        (customer.where("c_nationkey = 8"), "DELETE FROM lake.orders WHERE user_id = %d", ["c_custkey"]),
+        (customer.where("c_nationkey = 9"), "DELETE FROM events\n WHERE event_type = 'click' AND user_id = %d", ["c_custkey"]),
+        (nation.where("n_regionkey < 3"), "delete from `events` e where e.value between %d and %d.5", ["n_nationkey * 4", "n_nationkey * 4"]),
+        (nation.where("n_regionkey >= 3"), "DELETE FROM events WHERE NOT event_type <> 'error' AND user_id IN (%d)", ["n_nationkey * 5"]),
+    ]
+    lines = [rows.select(F.format_string(text, *map(F.expr, columns)).alias("value")) for rows, text, columns in statements]
+    path = scratch_path(spark, "commands")
+    reduce(DataFrame.unionByName, lines).write.option("lineSep", ";\n").text(path)
+    return apply_delete_commands(table(spark, sf_dir, "events"), read_delete_commands(spark, path), "lake.events")
