@@ -12,7 +12,7 @@ from __future__ import annotations
 
 import base64
 import unicodedata
-from collections.abc import Iterator
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -21,11 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakewright.llm.encoder import ChunkMemory, spaced_chunks
+from lakewright.llm.encoder import ChunkMemory
 from lakewright.llm.texts import add_columns, strings_of
 
-MAX_CHUNKS = 400_000  # chunks that a worker keeps the ids of
-MAX_PAIRS = 2_000_000  # pairs of neighbours that a worker remembers
+MAX_PIECES = 700_000  # pieces that a worker keeps the ids of
+MAX_PAIRS = 1_000_000  # pairs of neighbours that a worker remembers
+BLOCK_BYTES = 1 << 18  # text of the pieces that are looked through together
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -44,68 +45,135 @@ class Merges:
         if missing:
             raise ValueError(f"the vocabulary lacks the bytes {missing}")
         self.ranks = ranks
-        self.tokens = {rank: token for token, rank in ranks.items()}
-        self.shorter = {rank: self._prefix(token) for token, rank in ranks.items()}
+        self.tokens = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            self.tokens[rank] = token
+        self.widths = [len(token) for token in self.tokens]
+        self.shorter = [self._prefix(token) for token in self.tokens]
         self.automaton = ahocorasick.Automaton()
         for token, rank in ranks.items():
-            self.automaton.add_word(token.decode("latin-1"), (len(token) - 1, rank))
+            if len(token) > 1:
+                self.automaton.add_word(token.decode("latin-1"), (len(token) - 1, rank))
         self.automaton.make_automaton()
-        self.pairs: dict[tuple[int, int], bool] = {}
+        self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
+        self.pairs: dict[int, bool] = {}
+        self.timelines: dict[int, tuple[list[int], list[bytes], list[bytes]] | None] = {}
 
     def _prefix(self, token: bytes) -> int:
         """The longest other token that this one begins with, or -1."""
         return next((self.ranks[token[:n]] for n in range(len(token) - 1, 0, -1) if token[:n] in self.ranks), -1)
 
-    def merged(self, text: bytes) -> list[int]:
-        """The merges one after the other, the lowest rank first and from the left: for two tokens only."""
-        parts = [text[i : i + 1] for i in range(len(text))]
-        while len(parts) > 1:
-            ranked = [self.ranks.get(a + b) for a, b in zip(parts, parts[1:], strict=False)]
-            known = [rank for rank in ranked if rank is not None]
-            if not known:
-                break
-            at = ranked.index(min(known))
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return [self.ranks[part] for part in parts]
+    def _timeline(self, rank: int) -> tuple[list[int], list[bytes], list[bytes]] | None:
+        """How a token comes about: the ranks of its merges in their order, its first part and its last part before each of them
+        and after all. None for a token that its own merges do not give.
+        """
+        if rank not in self.timelines:
+            text, rank_of, none = self.tokens[rank], self.ranks.get, len(self.tokens)
+            parts = [text[i : i + 1] for i in range(len(text))]
+            ranked = [rank_of(text[i : i + 2], none) for i in range(len(text) - 1)]
+            steps, heads, tails = [], [parts[0]], [parts[-1]]
+            while ranked and (least := min(ranked)) < none:
+                at = ranked.index(least)
+                parts[at : at + 2] = [parts[at] + parts[at + 1]]
+                del ranked[at]
+                if at:
+                    ranked[at - 1] = rank_of(parts[at - 1] + parts[at], none)
+                if at < len(ranked):
+                    ranked[at] = rank_of(parts[at] + parts[at + 1], none)
+                steps.append(least)
+                heads.append(parts[0])
+                tails.append(parts[-1])
+            self.timelines[rank] = ([*steps, none], heads, tails) if len(parts) == 1 else None
+        return self.timelines[rank]
 
     def fits(self, before: int, token: int) -> bool:
-        """Whether the merges leave these two neighbours as they are; ``before`` is -1 at the beginning."""
-        known = self.pairs.get((before, token))
-        if known is None:
-            if len(self.pairs) > MAX_PAIRS:
-                self.pairs.clear()
-            if before < 0:
-                known = self.merged(self.tokens[token]) == [token]
+        """Whether the merges leave these two neighbours as they are; ``before`` is -1 at the beginning.
+
+        Merges go by rank and then from the left. So the two come about side by side, each by its own timeline, until
+        the parts that meet would merge sooner than anything on the left and no later than anything on the right.
+        """
+        right = self._timeline(token)
+        if before < 0 or right is None:
+            return right is not None
+        left = self._timeline(before)
+        if left is None:
+            return False
+        (steps, _, tails), (others, heads, _) = left, right
+        rank_of, none = self.ranks.get, len(self.tokens)
+        i = j = 0
+        while True:
+            one, two = steps[i], others[j]
+            across = rank_of(tails[i] + heads[j], none)
+            if across < one and across <= two:
+                return False
+            if one == two == none:
+                return True
+            if one <= two:
+                i += 1
             else:
-                known = self.merged(self.tokens[before] + self.tokens[token]) == [before, token]
-            self.pairs[before, token] = known
+                j += 1
+
+    def _learn(self, before: int, token: int, key: int) -> bool:
+        if len(self.pairs) > MAX_PAIRS:
+            self.pairs.clear()
+        self.pairs[key] = known = self.fits(before, token)
         return known
 
-    def encode(self, piece: bytes) -> list[int]:
-        """The ids of one piece of text."""
-        whole = self.ranks.get(piece)
-        if whole is not None:
-            return [whole]
-        size = len(piece)
-        longest = np.zeros(size, np.int32)  # ends come in order, so the longest token at a place is the last one
-        for end, (back, rank) in self.automaton.iter(piece.decode("latin-1")):
-            longest[end - back] = rank
-        closed = bytearray(size + 1)
+    def encode(self, pieces: list[bytes]) -> list[list[int]]:
+        """The ids of every piece of text."""
+        out: list[list[int]] = []
+        block: list[bytes] = []
+        held = 0
+        for piece in pieces:
+            block.append(piece)
+            held += len(piece)
+            if held > BLOCK_BYTES:
+                out += self._encode_block(block)
+                block, held = [], 0
+        return out + self._encode_block(block)
+
+    def _encode_block(self, pieces: list[bytes]) -> list[list[int]]:
+        rank_of = self.ranks.get
+        whole = [rank_of(piece) for piece in pieces]
+        parted = [piece for piece, rank in zip(pieces, whole, strict=True) if rank is None]
+        # No token has the character between pieces, so none is found across it.
+        joined = "\u0100".join([piece.decode("latin-1") for piece in parted])
+        longest = array("i", self.single[np.frombuffer(b"\0".join(parted), np.uint8)].tobytes())
+        for end, (back, rank) in self.automaton.iter(joined):
+            longest[end - back] = rank  # ends come in order, so the longest token at a place is the last one
+        closed = bytearray(len(joined) + 1)
+        out, first = [], 0
+        for piece, rank in zip(pieces, whole, strict=True):
+            if rank is None:
+                out.append(self._path(longest, closed, first, first + len(piece)))
+                first += len(piece) + 1
+            else:
+                out.append([rank])
+        return out
+
+    def _path(self, longest: array, closed: bytearray, place: int, last: int) -> list[int]:
+        """The tokens from ``place`` to ``last``: the longest that go with the one before, and back where none does."""
+        widths, shorter, known, size = self.widths, self.shorter, self.pairs.get, len(self.tokens)
         ids: list[int] = []
-        place, token = 0, int(longest[0]) if size else -1
-        while place < size:
-            after = place + len(self.tokens[token])
-            if not closed[after] and self.fits(ids[-1] if ids else -1, token):
-                ids.append(token)
-                place = after
-                token = int(longest[place]) if place < size else -1
-                continue
-            token = self.shorter[token]
-            while token < 0:
-                closed[place] = 1
-                token = ids.pop()
-                place -= len(self.tokens[token])
-                token = self.shorter[token]
+        key = 0  # of the pair of the token before, or none, and the next one
+        while place < last:
+            token = longest[place]
+            while True:
+                after = place + widths[token]
+                if not closed[after]:
+                    fits = known(key + token)
+                    if fits or fits is None and self._learn(ids[-1] if ids else -1, token, key + token):
+                        break
+                token = shorter[token]
+                while token < 0:
+                    closed[place] = 1
+                    token = ids.pop()
+                    place -= widths[token]
+                    key = (ids[-1] + 1) * size if ids else 0
+                    token = shorter[token]
+            ids.append(token)
+            place = after
+            key = (token + 1) * size
         return ids
 
     def decode(self, ids: list[int]) -> bytes:
@@ -145,21 +213,15 @@ class Pieces:
 
 
 class ByteBpeEncoder(ChunkMemory):
-    """Whole texts to ids; the ids of a chunk are remembered."""
+    """Whole texts to ids; the ids of a piece are remembered."""
 
-    def __init__(self, path: str, pattern: str, max_chunks: int = MAX_CHUNKS):
-        super().__init__(max_chunks)
+    def __init__(self, path: str, pattern: str, max_pieces: int = MAX_PIECES):
+        super().__init__(max_pieces)
         self.merges, self.pieces = Merges(read_ranks(path)), Pieces(pattern)
+        self.chunks_of = self.pieces.of
 
-    def chunks_of(self, text: str) -> list[str]:
-        chunks = spaced_chunks(text)
-        # A text that cannot be cut at its blanks is cut into the pieces themselves.
-        return chunks if len(chunks) > 1 else self.pieces.of(text)
-
-    def ids_of(self, chunks: list[str]) -> Iterator[list[int]]:
-        encode = self.merges.encode
-        for chunk in chunks:
-            yield [i for piece in self.pieces.of(chunk) for i in encode(piece.encode())]
+    def ids_of(self, chunks: list[str]) -> list[list[int]]:
+        return self.merges.encode([chunk.encode() for chunk in chunks])
 
 
 @lru_cache(maxsize=1)

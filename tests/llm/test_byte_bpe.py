@@ -1,6 +1,7 @@
 """Byte-level BPE against the tiktoken library."""
 
 import hashlib
+import random
 
 import public_tokenizers
 import pytest
@@ -46,13 +47,23 @@ def test_very_long_pieces():
     assert ours(texts) == expected
 
 
+def test_neighbours_fit_where_the_merges_part_there():
+    rng = random.Random(4)
+    merges = ENCODER.merges
+    short = [r for r in range(50_256) if merges.widths[r] < 5]
+    for _ in range(20_000):
+        one, two = rng.choice(short), rng.choice(short)
+        assert merges.fits(one, two) == (LIBRARY._core_bpe.encode_single_piece(merges.tokens[one] + merges.tokens[two]) == [one, two]
+                                         and merges.tokens[one] + merges.tokens[two] not in merges.ranks)
+
+
 def test_two_ways_of_merging_go_back():
     """A small vocabulary in which the longest match is wrong at the first place."""
     ranks = {bytes([b]): b for b in range(256)} | {b"bc": 256, b"ab": 257, b"abc": 258, b"cd": 259, b"bcd": 260}
     merges = byte_bpe.Merges(ranks)
     library = tiktoken.Encoding("small", pat_str=r"[\s\S]+", mergeable_ranks=ranks, special_tokens={})
     for text in ("abcd", "abc", "aabcdabcd", "abababcdcd", "bcdbcab", "xabcy"):
-        assert merges.encode(text.encode()) == library.encode_ordinary(text)
+        assert merges.encode([text.encode(), b"b"]) == [library.encode_ordinary(text), [98]]
 
 
 @pytest.mark.parametrize("source", ["documents", "awkward"])
