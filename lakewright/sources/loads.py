@@ -8,11 +8,12 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import add, and_
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakewright.operators.changes import project_to
+from lakewright.operators.keyed_joins import keyed_join
 
 # Microseconds survive a text round trip; Spark's default pattern stops at milliseconds.
 TIMESTAMP_TEXT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -119,6 +120,36 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("lineSep", "\n").text(path)
 
 
+def lines_with_places(spark: SparkSession, path: str) -> DataFrame:
+    """(_file, _block, _place, _line): the lines of text files, with the block that a task read and a number that rises within it.
+
+    ``numbered`` turns these into line numbers. Write them out first: the numbers hold only for one reading of the files.
+    """
+    return spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_place"),
+        F.col("value").alias("_line"),
+    )
+
+
+def numbered(written: DataFrame) -> DataFrame:
+    """Add ``line_number``, from 1 in every file, to rows of ``lines_with_places`` that have been written out, one for each line.
+
+    Lines are counted by block; the counts of a file's blocks are summed up in order, and a line's place within its block is
+    added. Only the counts are shuffled.
+    """
+    blocks = written.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
+    earlier = Window.partitionBy("_file").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    before = blocks.select("_file", "_block", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    number = F.col("_before") + F.col("_place") - F.col("_first") + 1
+    return keyed_join(written, before, ["_file", "_block"], "inner").withColumn("line_number", number).drop("_before", "_first")
+
+
+class LoadFailed(RuntimeError):
+    """A load with more bad fields than it may have; the message shows the first ones."""
+
+
 @dataclass(frozen=True)
 class CheckedLoad:
     """Outcome of a checked load: typed rows, one row per bad field, and a summary per load."""
@@ -139,20 +170,30 @@ def checked_csv_load(
     delimiter: str = ",",
     staging: str | None = None,
     line_breaks: str = "escaped",
+    max_errors: int | None = None,
 ) -> CheckedLoad:
     """Load delimited text, setting aside lines with a wrong field count, type or text length.
 
-    With a ``staging`` path the text is parsed and checked once and written there as Parquet, which
-    all three results then read; without one, each result that is used parses the text.
+    With a ``staging`` path the text is parsed and checked once and written there as Parquet, which all three results then read,
+    and errors have the number of their line in the file, also where a file is cut into several tasks. Without one, each result
+    that is used parses the text, and ``line_number`` is NULL; it is so too with ``line_breaks="quoted"``, where a row may
+    have several lines. With ``max_errors``, which needs ``staging``, more errors than that raise ``LoadFailed`` with
+    the first of them, by file and line.
     """
-    lengths = max_lengths or {}
-    corrupt = "_corrupt_record"
-    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
+    if max_errors is not None and not staging:
+        raise ValueError("an error limit needs a staging path: the errors are counted before any row is used")
+    lengths, corrupt = max_lengths or {}, "_corrupt_record"
+    as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema]).add(corrupt, T.StringType())
+    by_line = staging is not None and line_breaks != "quoted"
     # Every field is parsed whichever are selected later, or the field count could not be checked.
-    checking = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt, "columnPruning": "false"}
-    checking["multiLine"] = str(line_breaks == "quoted").lower()
-    raw = load_files(spark, path, "csv", {**CSV_OPTIONS, "sep": delimiter, **checking}, as_text.add(corrupt, T.StringType()))
-    raw = raw.withColumn("_file", F.col("_metadata.file_path"))
+    checking = {**CSV_OPTIONS, "sep": delimiter, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt, "columnPruning": "false"}
+    if by_line:
+        parsed = F.from_csv("_line", as_text.simpleString(), {k: v for k, v in checking.items() if k != "header"})
+        blank = F.trim("_line") == ""
+        raw = lines_with_places(spark, path).withColumns({"_blank": blank, "_row": parsed}).select("_file", "_block", "_place", "_blank", "_row.*")
+    else:
+        checking["multiLine"] = str(line_breaks == "quoted").lower()
+        raw = load_files(spark, path, "csv", checking, as_text).withColumn("_file", F.col("_metadata.file_path"))
     if line_breaks == "escaped":
         raw = unescaped(raw)
 
@@ -185,6 +226,11 @@ def checked_csv_load(
     if staging:
         checked.write.mode("overwrite").parquet(staging)
         checked = spark.read.schema(checked.schema).parquet(staging)
+    if by_line:
+        # The header is the first line of a file; blank lines are no rows, but count as lines.
+        checked = numbered(checked).where((F.col("line_number") > 1) & ~F.col("_blank"))
+    else:
+        checked = checked.withColumn("line_number", F.lit(None).cast("bigint"))
 
     n_faults = reduce(add, (F.col(name).isNotNull().cast("bigint") for name in faults))
     sound = reduce(and_, (F.col(name).isNull() for name in faults))
@@ -194,18 +240,26 @@ def checked_csv_load(
         started.alias("start_time"),
         F.lit(table).alias("table_name"),
     )
-    listed = checked.where(~sound).select("_file", F.explode(F.array(*faults)).alias("fault")).where("fault IS NOT NULL")
+    listed = checked.where(~sound).select("_file", "line_number", F.explode(F.array(*faults)).alias("fault")).where("fault IS NOT NULL")
+    errors = listed.select(*load_id, F.col("_file").alias("file_name"), "line_number", "fault.*")
+    if max_errors is not None:
+        _refuse_more(errors, max_errors)
     history = checked.agg(
         F.count_if(sound).alias("loaded_rows"),
         F.count_if(~sound).alias("error_rows"),
         F.coalesce(F.sum(n_faults), F.lit(0).cast("bigint")).alias("error_count"),
     )
     status = F.when(F.col("error_count") == 0, "completed").otherwise("completed with errors").alias("status")
-    return CheckedLoad(
-        checked.where(sound).select(*typed),
-        listed.select(*load_id, F.col("_file").alias("file_name"), "fault.*"),
-        history.select(*load_id, "*", status),
-    )
+    return CheckedLoad(checked.where(sound).select(*typed), errors, history.select(*load_id, "*", status))
+
+
+def _refuse_more(errors: DataFrame, max_errors: int, shown: int = 10) -> None:
+    """Raise if there are more errors than allowed; no more than a few are sorted out and reach the driver."""
+    count = errors.limit(max_errors + 1).count()
+    if count > max_errors:
+        first = errors.orderBy("file_name", "line_number", "column_name").limit(shown).collect()
+        told = "; ".join(f"{r['file_name'].rsplit('/', 1)[-1]} line {r['line_number']} {r['column_name']}: {r['error_message']} {r['raw_value']!r:.60}" for r in first)
+        raise LoadFailed(f"more than {max_errors} errors, the first: {told}")
 
 
 def errors_of_load(errors: DataFrame, query_id: int) -> DataFrame:
@@ -218,5 +272,6 @@ def newest_errors(errors: DataFrame) -> DataFrame:
     All errors of a load have one time, and many may have one value: the further columns, the last of which
     differs in every row, let the sort spread them over tasks.
     """
-    numbered = errors.withColumn("_row", F.monotonically_increasing_id())
-    return numbered.orderBy(F.desc("start_time"), "query_id", "file_name", "column_name", "raw_value", "_row").drop("_row")
+    rows = errors.withColumn("_row", F.monotonically_increasing_id())
+    place = [name for name in ("file_name", "line_number", "column_name", "raw_value") if name in errors.columns]
+    return rows.orderBy(F.desc("start_time"), "query_id", *place, "_row").drop("_row")

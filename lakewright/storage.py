@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from dataclasses import dataclass
 
 from py4j.java_gateway import JavaObject
@@ -73,12 +74,14 @@ def remove(spark: SparkSession, path: str) -> None:
 
 
 def write_text(spark: SparkSession, path: str, text: str) -> None:
-    """A small new file, there as a whole or not at all. The folder above it must not be listed as data."""
-    files, place = _at(spark, f"{path}.tmp")
+    """A small new file, there as a whole or not at all: until then it has a name that is not data."""
+    folder, _, name = path.rpartition("/")
+    written = f"{folder}/_{name}-{uuid.uuid4().hex}"
+    files, place = _at(spark, written)
     out = files.create(place, True)
     out.write(text.encode())
     out.close()
-    move(spark, f"{path}.tmp", path)
+    move(spark, written, path)
 
 
 def read_text(spark: SparkSession, path: str) -> str:

@@ -14,6 +14,8 @@ from lakewright.operators.commands import apply_delete_commands
 from lakewright.plans import jobs
 from lakewright.plans.catalog import create_table_if_absent, register_external
 from lakewright.session import scratch_path
+from lakewright.sinks.file_rewrites import delete_keys_in_files, write_keyed
+from lakewright.sinks.ledger import append_once, load_ledger
 from lakewright.sinks.tables import insert_by_position, write_partitioned, write_table
 from lakewright.sources.commands import read_delete_commands
 from lakewright.sources.lake import read_table
@@ -338,3 +340,49 @@ def delete_commands(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "commands")
     reduce(DataFrame.unionByName, lines).write.option("lineSep", ";\n").text(path)
     return apply_delete_commands(table(spark, sf_dir, "events"), read_delete_commands(spark, path), "lake.events")
+
+
+@query(f"""
+    SELECT *, CAST(ts AS DATE) AS ingestion_date FROM events
+    WHERE NOT EXISTS (SELECT 1 FROM ({_SUBJECTS_SQL}) WHERE c_custkey = user_id)
+      AND NOT EXISTS (SELECT 1 FROM customer WHERE c_nationkey = 9 AND c_custkey = user_id AND event_type = 'view')
+""")
+def delete_in_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deletes, by one key and by two, from files with Bloom filters: only files that hold such rows are written anew."""
+    events, customer = with_ingestion_date(table(spark, sf_dir, "events")), table(spark, sf_dir, "customer")
+    path = scratch_path(spark, "keyed-files")
+    for kind in (F.col("event_type").eqNullSafe("view"), ~F.col("event_type").eqNullSafe("view")):
+        write_keyed(events.where(kind), path, ["user_id"], ["ingestion_date"], mode="append")
+    subjects = customer.select(F.col("c_custkey").alias("user_id"), F.lit("view").alias("event_type"), "c_nationkey")
+    delete_keys_in_files(spark, path, subjects.where("c_nationkey = 7"), ["user_id"], ["ingestion_date"])
+    delete_keys_in_files(spark, path, subjects.where("c_nationkey = 9"), ["user_id", "event_type"], ["ingestion_date"])
+    return spark.read.schema(events.schema).parquet(path)
+
+
+def _ledgered(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
+    """A table of the first days' events, to which later ones are loaded, one load twice: its name, and the ledger."""
+    name, events = _dated_table(spark, sf_dir, "ledgered")
+    ledger, staging = scratch_path(spark, "ledger"), scratch_path(spark, "ledger-staging")
+    later = events.withColumns({"event_id": -1 - F.col("event_id"), "ingestion_date": F.date_add("ingestion_date", 15)})
+    for load_id in ("clicks", "views", "clicks"):
+        append_once(later.where(F.col("event_type") == load_id[:-1]), name, load_id, ledger, staging)
+    return name, ledger
+
+
+@query("""
+    SELECT *, CAST(ts AS DATE) AS ingestion_date FROM events
+    UNION ALL
+    SELECT * REPLACE (-1 - event_id AS event_id), CAST(CAST(ts AS DATE) + INTERVAL 15 DAY AS DATE) FROM events WHERE event_type IN ('click', 'view')
+""")
+def ledger_append(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three runs of two loads, into partitions that are there and partitions that are not."""
+    return spark.table(_ledgered(spark, sf_dir)[0])
+
+
+@query("""
+    SELECT event_type || 's' AS load_id, 'done' AS state, count(*) AS n_rows FROM events
+    WHERE event_type IN ('click', 'view') GROUP BY event_type
+""")
+def ledger_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the ledger has on those loads."""
+    return load_ledger(spark, _ledgered(spark, sf_dir)[1]).select("load_id", "state", "n_rows")

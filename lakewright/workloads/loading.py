@@ -93,7 +93,7 @@ def load_with_options(spark: SparkSession, sf_dir: str) -> DataFrame:
     return project_to(loaded, customer)
 
 
-def _dirty_load(spark: SparkSession, sf_dir: str, staging: str | None = None) -> CheckedLoad:
+def _dirty_load(spark: SparkSession, sf_dir: str, staging: str | None = None, one_file: bool = False) -> CheckedLoad:
     """Events as CSV in which error events have no numeric value."""
     events = table(spark, sf_dir, "events").select(
         "event_id",
@@ -101,7 +101,8 @@ def _dirty_load(spark: SparkSession, sf_dir: str, staging: str | None = None) ->
         F.concat(F.when(F.col("event_type") == "error", "x").otherwise(""), F.col("value")).alias("value"),
     )
     path = scratch_path(spark, "dirty")
-    write_csv(events, path)
+    # In one file lines have numbers that SQL can tell: those of the ids in their order.
+    write_csv(events.orderBy("event_id").coalesce(1) if one_file else events, path)
     schema = T.StructType().add("event_id", "long").add("event_type", "string").add("value", "double")
     return checked_csv_load(
         spark, path, schema, "events", 16, dt.datetime(2024, 4, 6, 3), {"event_type": 6}, staging=staging
@@ -111,15 +112,15 @@ def _dirty_load(spark: SparkSession, sf_dir: str, staging: str | None = None) ->
 @query("""
     SELECT CAST(16 AS BIGINT) AS query_id, TIMESTAMP '2024-04-06 03:00:00' AS start_time, 'events' AS table_name,
            'value' AS column_name, 'double' AS column_type, 'x' || CAST(value AS VARCHAR) AS raw_value,
-           'invalid value' AS error_message
-    FROM events WHERE event_type = 'error' AND value IS NOT NULL
+           'invalid value' AS error_message, line_number
+    FROM (SELECT *, row_number() OVER (ORDER BY event_id) + 1 AS line_number FROM events) WHERE event_type = 'error' AND value IS NOT NULL
     UNION ALL
-    SELECT 16, TIMESTAMP '2024-04-06 03:00:00', 'events', 'event_type', 'string', event_type, 'value too long'
-    FROM events WHERE length(event_type) > 6
+    SELECT 16, TIMESTAMP '2024-04-06 03:00:00', 'events', 'event_type', 'string', event_type, 'value too long', line_number
+    FROM (SELECT *, row_number() OVER (ORDER BY event_id) + 1 AS line_number FROM events) WHERE length(event_type) > 6
 """)
 def load_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Staged, as the sort reads its input twice: to find its ranges, and to sort."""
-    load = _dirty_load(spark, sf_dir, scratch_path(spark, "checked"))
+    """Staged, as the sort reads its input twice: to find its ranges, and to sort. The first line of the file is its header."""
+    load = _dirty_load(spark, sf_dir, scratch_path(spark, "checked"), one_file=True)
     return newest_errors(errors_of_load(load.errors, 16)).drop("file_name")
 
 

@@ -1,0 +1,84 @@
+"""Where errors of a load stand, in files that are cut into several tasks, and a limit for them."""
+
+import datetime as dt
+
+import pytest
+from pyspark.sql import types as T
+
+from lakewright.sources import loads
+
+SCHEMA = T.StructType().add("n", "integer").add("t", "string")
+START = dt.datetime(2024, 4, 6, 3)
+
+
+@pytest.fixture
+def small_blocks(spark):
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    yield spark
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def text_file(path, bad, lines, ending="\n"):
+    """A header, then numbered rows; every line in ``bad`` has what its value says."""
+    rows = [bad.get(n, f"{n},text {n}") for n in range(2, lines + 1)]
+    path.write_bytes(ending.join(["n,t", *rows, ""]).encode())
+
+
+def errors_of(spark, tmp_path, **options):
+    load = loads.checked_csv_load(spark, str(tmp_path / "in"), SCHEMA, "t", 1, START, {"t": 12}, staging=str(tmp_path / "staged"), **options)
+    return load, sorted((r["file_name"].rsplit("/", 1)[-1], r["line_number"], r["column_name"], r["error_message"]) for r in load.errors.collect())
+
+
+@pytest.mark.parametrize("ending", ["\n", "\r\n"])
+def test_lines_of_files_in_many_tasks(small_blocks, tmp_path, ending):
+    spark = small_blocks
+    (tmp_path / "in").mkdir()
+    bad = {2: "x,first", 7: "", 8: "   ", 9: "7", 250: "1,2,3", 251: "", 399: f"zz,{'long ' * 5}", 400: "9,last one,,"}
+    text_file(tmp_path / "in" / "a.csv", bad, 400, ending)
+    text_file(tmp_path / "in" / "b.csv", {5: "no,b"}, 300, ending)
+    text_file(tmp_path / "in" / "c.csv", {}, 1, ending)
+    (tmp_path / "in" / "d.csv").write_bytes(b"")
+    assert spark.read.text(str(tmp_path / "in")).rdd.getNumPartitions() > 8
+    load, errors = errors_of(spark, tmp_path)
+    assert errors == [
+        ("a.csv", 2, "n", "invalid value"), ("a.csv", 9, "", "wrong number of fields"), ("a.csv", 250, "", "wrong number of fields"),
+        ("a.csv", 399, "n", "invalid value"), ("a.csv", 399, "t", "value too long"), ("a.csv", 400, "", "wrong number of fields"), ("b.csv", 5, "n", "invalid value"),
+    ]
+    history = load.history.first()
+    assert (history["loaded_rows"], history["error_rows"], history["error_count"]) == (399 + 299 - 3 - 6, 6, 7)
+    # The rows are those that a load without line numbers gives.
+    plain = loads.checked_csv_load(spark, str(tmp_path / "in"), SCHEMA, "t", 1, START, {"t": 12})
+    assert sorted(load.rows.collect()) == sorted(plain.rows.collect())
+    assert {r["line_number"] for r in plain.errors.collect()} == {None} and plain.errors.count() == 7
+    numbers = {r["n"] for r in load.rows.collect()}
+    assert numbers == set(range(2, 401)) - {2, 7, 8, 9, 250, 251, 399, 400} | set(range(2, 301)) - {5}
+
+
+def test_a_limit_of_errors(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    text_file(tmp_path / "in" / "a.csv", {n: "bad,x" for n in (3, 30, 31)}, 50)
+    assert len(errors_of(spark, tmp_path, max_errors=3)[1]) == 3
+    with pytest.raises(loads.LoadFailed, match="more than 2 errors, the first: a.csv line 3 n: invalid value 'bad'; a.csv line 30"):
+        errors_of(spark, tmp_path, max_errors=2)
+    with pytest.raises(loads.LoadFailed, match="more than 0"):
+        errors_of(spark, tmp_path, max_errors=0)
+    with pytest.raises(ValueError, match="staging"):
+        loads.checked_csv_load(spark, str(tmp_path / "in"), SCHEMA, "t", 1, START, max_errors=1)
+
+
+def test_rows_of_several_lines_have_no_number(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.csv").write_text('n,t\n1,"a\nb"\nx,"c\nd"\n')
+    _, errors = errors_of(spark, tmp_path, line_breaks="quoted")
+    assert errors == [("a.csv", None, "n", "invalid value")]
+
+
+def test_texts_survive_the_numbered_way(spark, tmp_path):
+    from lakewright.sinks.text import write_csv
+
+    texts = ["", None, "a\nb", "c\r\nd", 'say "x", y', "\\n", "\\N", "\\", " blanks ", "é z", "tab\t", '"', "\n"]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, t string")
+    write_csv(df, str(tmp_path / "in"))
+    load = loads.checked_csv_load(spark, str(tmp_path / "in"), df.schema, "t", 1, START, staging=str(tmp_path / "staged"))
+    assert {r["n"]: r["t"] for r in load.rows.collect()} == dict(enumerate(texts)) and load.errors.count() == 0
