@@ -58,6 +58,11 @@ def data_files(spark: SparkSession, folder: str, below: str = "") -> list[str]:
     return found
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    files, place = _at(spark, path)
+    files.mkdirs(place)
+
+
 def move(spark: SparkSession, source: str, target: str) -> None:
     """Rename a file or folder; the folder that ``target`` lies in is made, a target that exists is an error."""
     files, place = _at(spark, target)

@@ -1,5 +1,6 @@
 """Both join ways, with a key that holds a third of all rows, against plain Python."""
 
+import math
 import random
 
 import pytest
@@ -151,3 +152,43 @@ def test_range_join_needs_distinct_names(spark):
     both = spark.createDataFrame([(1, 3, "[]")], "lower int, upper int, bounds string")
     with pytest.raises(ValueError):
         ranges.range_join(both, both, "lower")
+
+
+def test_candidates_follow_matches_with_numbers_without_end(spark):
+    nan, inf = float("nan"), float("inf")
+    numbers = [float(i) for i in range(4000)] + [nan, inf, -inf, None, inf]
+    values = spark.createDataFrame([(v,) for v in numbers], "v double")
+    open_ranges = [(3000.0 + i, None if i % 10 else 3100.0 + i, "[)") for i in range(1000)]
+    special = [(inf, None, "[)"), (None, -inf, "(]"), (None, nan, "()"), (nan, nan, "[]"), (-inf, inf, "()"), (5.0, 5.0, "[]"), (None, None, None)]
+    ranges_ = spark.createDataFrame(open_ranges + special, "lower double, upper double, bounds string")
+
+    def key(x):  # Spark's order: NaN after everything
+        return (1, 0.0) if math.isnan(x) else (0, x)
+
+    def inside(v, low, high, bounds):
+        if v is None or bounds is None:
+            return False
+        above = low is None or (key(v) >= key(low) if bounds[0] == "[" else key(v) > key(low))
+        return above and (high is None or (key(v) <= key(high) if bounds[1] == "]" else key(v) < key(high)))
+
+    expected = sum(inside(v, *r) for v in numbers for r in open_ranges + special)
+    for broadcast_bytes in (None, 0):
+        assert ranges.range_join(values, ranges_, "v", broadcast_bytes=broadcast_bytes).count() == expected
+    candidates = []
+    plain = ranges.keyed_join
+
+    def counted(*args, **kwargs):
+        joined = plain(*args, **kwargs)
+        candidates.append(joined.count())
+        return joined
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(ranges, "keyed_join", counted)
+        ranges.range_join(values, ranges_, "v")
+    assert sum(candidates) < 4 * expected
+
+
+def test_values_without_end_only(spark):
+    values = spark.createDataFrame([(float("inf"),), (float("nan"),)], "v double")
+    ranges_ = spark.createDataFrame([(0.0, None, "[)", 1), (0.0, 9.0, "[)", 2)], "lower double, upper double, bounds string, n int")
+    assert [r["n"] for r in ranges.range_join(values, ranges_, "v").collect()] == [1, 1]
