@@ -35,12 +35,13 @@ class Step:
 def partition_locations(spark: SparkSession, table: str, columns: list[str]) -> dict[Values, str]:
     """Where the files of every partition are, as the catalog has it."""
     state = spark._jsparkSession.sessionState()
-    listed = state.catalog().listPartitions(state.sqlParser().parseTableIdentifier(table), spark.sparkContext._jvm.scala.Option.empty())
+    jvm = spark.sparkContext._jvm
+    listed = state.catalog().listPartitions(state.sqlParser().parseTableIdentifier(table), jvm.scala.Option.empty())
     found = {}
     for i in range(listed.size()):
         part = listed.apply(i)
         spec = {name.lower(): part.spec().apply(name) for name in _keys(part.spec())}
-        found[tuple(spec[column.lower()] for column in columns)] = part.location().toString()
+        found[tuple(spec[column.lower()] for column in columns)] = jvm.org.apache.hadoop.fs.Path(part.location()).toString()  # not escaped
     return found
 
 

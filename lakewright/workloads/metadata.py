@@ -11,9 +11,11 @@ from lakewright.operators.sizing import max_text_length as measure
 from lakewright.plans.catalog import position_frame, register_external, schema_frame, table_columns
 from lakewright.plans.ddl import fixed_ddl, sized_ddl
 from lakewright.plans.jobs import size_and_load as measured_load
+from lakewright.plans.measures import table_measures, update_measures
 from lakewright.session import scratch_path
 from lakewright.workloads.registry import query, table, table_path
-from lakewright.workloads.staging import DATABASE, fresh_table
+from lakewright.sinks.tables import insert_by_position, write_partitioned
+from lakewright.workloads.staging import DATABASE, fresh_table, with_ingestion_date
 
 
 def _grown(measured: str) -> str:
@@ -156,3 +158,26 @@ def size_and_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     customer = table(spark, sf_dir, "customer").withColumn("labels", F.array("c_name", "c_mktsegment"))
     measured_load(customer, DATABASE, name, scratch_path(spark, "loaded"))
     return spark.table(f"{DATABASE}.{name}")
+
+
+@query(f"""
+    WITH kept AS (SELECT * FROM events WHERE event_type IS DISTINCT FROM 'view')
+    SELECT 'event_type' AS column_name, count(*) AS n_rows, count(event_type) AS n_values, {_grown("max(length(event_type))")} AS max_length FROM kept
+    UNION ALL SELECT 'props', count(*), count(props), {_grown("max(length(props))")} FROM kept
+""")
+def incremental_sizing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures of a table that grows in three steps, by new partitions and by rows in old ones; each step reads what is new."""
+    events = with_ingestion_date(table(spark, sf_dir, "events"))
+    name, location, store = fresh_table(spark, sf_dir, "incremental_sizing"), scratch_path(spark, "grown"), scratch_path(spark, "measures")
+    half = F.dayofmonth("ingestion_date") < 15
+    clicks = F.coalesce(F.col("event_type") == "click", F.lit(False))
+    rest = ~clicks & ~F.coalesce(F.col("event_type") == "view", F.lit(False))
+    write_partitioned(events.where(clicks & half), location)
+    register_external(spark, events, DATABASE, name, location, partition_by=("ingestion_date",))
+    full_name = f"{DATABASE}.{name}"
+    update_measures(spark, full_name, store)
+    for step in (clicks & ~half, rest):
+        insert_by_position(events.where(step), full_name)
+        spark.catalog.refreshTable(full_name)
+        update_measures(spark, full_name, store)
+    return table_measures(spark, full_name, store).drop("lengths")

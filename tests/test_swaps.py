@@ -97,6 +97,7 @@ def test_any_partition_value_can_be_replaced(spark, tmp_path):
     tables.write_partitioned(rows, str(tmp_path / "kinds"), ("kind",))
     catalog.register_external(spark, rows, DATABASE, name, str(tmp_path / "kinds"), partition_by=("kind",))
     full = f"{DATABASE}.{name}"
+    assert all(storage.exists(spark, place) for place in swaps.partition_locations(spark, full, ["kind"]).values())
     for text in texts:
         one = spark.createDataFrame([(text,)], "kind string")
         same = F.col("kind").eqNullSafe(F.lit(text or None))  # an empty text is a NULL once it is a folder
