@@ -38,13 +38,15 @@ def _plain(value: object) -> object:
     return value
 
 
-def compare(spark: SparkSession, connection: duckdb.DuckDBPyConnection, name: str, sf_dir: str) -> str | None:
+def compare(
+    spark: SparkSession, connection: duckdb.DuckDBPyConnection, name: str, sf_dir: str, queries: dict = QUERIES, oracles: dict = ORACLES
+) -> str | None:
     """What differs, or None."""
-    frame = QUERIES[name](spark, sf_dir)
+    frame = queries[name](spark, sf_dir)
     names = sorted(frame.columns)
     types = {f.name: KINDS.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in frame.schema}
     got = [tuple(_plain(row[n]) for n in names) for row in frame.collect()]
-    relation = connection.sql(ORACLES[name])
+    relation = connection.sql(oracles[name])
     expected_types = dict(zip(relation.columns, map(str, relation.types), strict=True))
     if sorted(expected_types) != names:
         return f"columns {names} against {sorted(expected_types)}"
