@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import logging
 import re
 from collections.abc import Sequence
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -12,6 +14,8 @@ from pyspark.sql import types as T
 from lakewright.functions.warehouse_types import catalog_type
 from lakewright.session import sql_text
 
+log = logging.getLogger(__name__)
+
 DISCOVERED_PREFIX = "delta_"  # fixed value: what discovered tables are called
 
 
@@ -30,11 +34,20 @@ def position_frame(df: DataFrame) -> DataFrame:
 CATALOG_COLUMNS = "schemaname string, tablename string, columnname string, external_type string, order_index int"
 
 
-def catalog_columns(spark: SparkSession, database: str) -> DataFrame:
-    """The columns of every table of a catalog database."""
+def catalog_columns(spark: SparkSession, database: str, skip_broken: bool = False) -> DataFrame:
+    """The columns of every table of a catalog database.
+
+    A table whose schema cannot be read, a view over one that is gone for instance, is an error, or is logged and left out.
+    """
     rows = []
     for table in (t for t in spark.catalog.listTables(database) if not t.isTemporary):
-        schema = spark.table(f"`{database}`.`{table.name}`").schema
+        try:
+            schema = spark.table(f"`{database}`.`{table.name}`").schema
+        except PySparkException:
+            if not skip_broken:
+                raise
+            log.warning("left out %s.%s: its schema cannot be read", database, table.name)
+            continue
         rows += [(database, table.name, f.name, catalog_type(f.dataType), i) for i, f in enumerate(schema)]
     return spark.createDataFrame(rows, CATALOG_COLUMNS)
 

@@ -59,3 +59,17 @@ def test_files_that_are_written_again(spark, tmp_path):
     assert inventory.update_inventory(spark, str(root), store) == 1
     assert {r["column_name"] for r in inventory.inventory_of(spark, store).collect()} == {"id", "more"}
     assert inventory.read_widened(spark, inventory.inventory_of(spark, store).where("false"), spark.range(1).schema, str(root)).count() == 0
+
+
+def test_a_broken_table_can_be_left_out(spark, tmp_path):
+    from lakewright.plans.catalog import catalog_columns, create_database
+
+    database = f"broken_{tmp_path.name[-6:]}".replace("-", "_")
+    create_database(spark, database, str(tmp_path / "db"))
+    spark.sql(f"CREATE TABLE {database}.good (a INT) USING parquet")
+    spark.sql(f"CREATE TABLE {database}.base (b INT) USING parquet")
+    spark.sql(f"CREATE VIEW {database}.bad AS SELECT b FROM {database}.base")
+    spark.sql(f"DROP TABLE {database}.base")
+    with pytest.raises(Exception, match="base"):
+        catalog_columns(spark, database)
+    assert [tuple(r) for r in catalog_columns(spark, database, skip_broken=True).collect()] == [(database, "good", "a", "int", 0)]
