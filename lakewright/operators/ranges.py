@@ -83,7 +83,7 @@ def range_join(
     width = high - low
     # Even levels only: half as many lookups per value. Cells are an eighth to half of a range's width, so those of a range hold at most
     # twice what it can meet.
-    fitted = F.greatest(F.lit(MIN_LEVEL), 2 * F.floor((F.log2(width) - 1) / 2).cast("int"))
+    fitted = F.greatest(F.lit(MIN_LEVEL), (2 * F.floor((F.log2(width) - 1) / 2)).cast("int"))
     open_ended = low.isNull() | high.isNull() | ~(width < OPEN_WIDTH)
     level = F.when(open_ended, F.lit(OPEN_LEVEL)).when(width > 0, fitted).otherwise(F.lit(0))
 

@@ -304,7 +304,7 @@ def range_join_open(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_custkey",
         first.alias("lower"),
         F.when(F.col("c_nationkey") < 3, F.col("c_acctbal") + 9010).alias("upper"),
-        F.lit("[)").alias("bounds"),
+        F.when(first.isNotNull(), "[)").alias("bounds"),  # without a beginning here there is no range
     )
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
     return ranges.range_join(supplier, ranges_, "s_acctbal", broadcast_bytes=0).select("s_suppkey", "c_custkey")
