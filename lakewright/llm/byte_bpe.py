@@ -218,7 +218,10 @@ class ByteBpeEncoder(ChunkMemory):
     def __init__(self, path: str, pattern: str, max_pieces: int = MAX_PIECES):
         super().__init__(max_pieces)
         self.merges, self.pieces = Merges(read_ranks(path)), Pieces(pattern)
-        self.chunks_of = self.pieces.of
+
+    def chunks_of(self, text: str) -> str | list[str]:
+        pieces = self.pieces.of(text)
+        return pieces if "\0" in text or not pieces else "\0".join(pieces)
 
     def ids_of(self, chunks: list[str]) -> list[list[int]]:
         return self.merges.encode([chunk.encode() for chunk in chunks])

@@ -14,27 +14,36 @@ from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 MAX_CHUNKS = 250_000  # chunks remembered by a worker; beyond it the memory starts anew
 CHARS_PER_CHUNK = 24  # and beyond so much text of them
 
 _OTHER_SPACE = re.compile(r"[^\S \n]|[\0\x1c-\x1f]")
+_OTHER_ASCII = "\t\r\x0b\x0c\0\x1c\x1d\x1e\x1f"  # the same among ASCII characters
 _CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 _ADJACENT = ("  ", "\n\n", " \n", "\n ")
 
 
-def spaced_chunks(text: str) -> list[str]:
-    """Chunks with their leading white space; they join to the text."""
-    if _OTHER_SPACE.search(text):
+def _has_other_space(text: str) -> bool:
+    if text.isascii():
+        return any(c in text for c in _OTHER_ASCII)
+    return _OTHER_SPACE.search(text) is not None
+
+
+def spaced_chunks(text: str) -> str | list[str]:
+    """Chunks with their leading white space, which join to the text; with a NUL between them, if the text has none."""
+    if _has_other_space(text):
         return [text]
     if any(pair in text for pair in _ADJACENT):
-        return _CHUNK.findall(text)
-    return text.replace("\n", "\0\n").replace(" ", "\0 ").split("\0")
+        return "\0".join(_CHUNK.findall(text))
+    return text.replace("\n", "\0\n").replace(" ", "\0 ")
 
 
-def visible_chunks(text: str) -> list[str]:
-    """Chunks without white space, for tokenizers that drop it."""
-    return [text] if _OTHER_SPACE.search(text) else text.split()
+def visible_chunks(text: str) -> str | list[str]:
+    """Chunks without white space, for tokenizers that drop it; empty ones may be among them."""
+    return [text] if _has_other_space(text) else text.replace("\n", "\0").replace(" ", "\0")
 
 
 def _byte_characters() -> dict[int, str]:
@@ -69,8 +78,8 @@ class ChunkMemory:
         self.max_chunks = max_chunks
         self.forget()
 
-    def chunks_of(self, text: str) -> list[str]:
-        """The chunks of a text, in order."""
+    def chunks_of(self, text: str) -> str | list[str]:
+        """The chunks of a text, in order: a list of them, or one string with a NUL between them."""
         return spaced_chunks(text)
 
     def ids_of(self, chunks: list[str]) -> Iterable[list[int]]:
@@ -92,15 +101,24 @@ class ChunkMemory:
                 self.chars += len(chunk)
 
     def _chunk_numbers(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(the numbers of all chunks, how many each text has). Arrow takes texts apart and finds the distinct chunks."""
         if len(self.index) > self.max_chunks or self.chars > CHARS_PER_CHUNK * self.max_chunks:
             self.forget()
-        numbers, counts = [], []
-        for text in texts:
-            chunks = self.chunks_of(text)
-            counts.append(len(chunks))
-            numbers.append(np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks)))
+        parts = [self.chunks_of(text) for text in texts]
+        joined = pa.array([part if isinstance(part, str) else "" for part in parts], pa.string())
+        lists = pc.split_pattern(joined, "\0")
+        coded = lists.flatten().dictionary_encode()
+        numbers = self._numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        counts = np.diff(lists.offsets.to_numpy()).astype(np.int64)
+        if listed := {i: self._numbers(part) for i, part in enumerate(parts) if not isinstance(part, str)}:
+            by_text = np.split(numbers, np.cumsum(counts)[:-1])
+            numbers = np.concatenate([listed.get(i, own) for i, own in enumerate(by_text)])
+            counts[list(listed)] = [len(own) for own in listed.values()]
         self._learn()
-        return np.concatenate(numbers), np.array(counts, np.int64)
+        return numbers, counts
+
+    def _numbers(self, chunks: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.index.__getitem__, chunks), np.int64, len(chunks))
 
     def _per_text(self, lengths: np.ndarray, counts: np.ndarray) -> np.ndarray:
         ends = np.concatenate(([0], np.cumsum(lengths)))[np.cumsum(np.concatenate(([0], counts)))]
@@ -156,7 +174,7 @@ class ChunkEncoder(ChunkMemory):
         if any(mark.lower() != mark.upper() for mark in self.marks):
             raise ValueError(f"special tokens of {path} do not begin with punctuation: {self.marks}")
 
-    def chunks_of(self, text: str) -> list[str]:
+    def chunks_of(self, text: str) -> str | list[str]:
         if any(mark in text for mark in self.marks):
             return [text]
         return self.divide(text)

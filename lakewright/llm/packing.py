@@ -21,12 +21,13 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakewright.llm.encoder import worker_encoder
-from lakewright.llm.texts import portions, strings_of
+from lakewright.llm.texts import portions, release, strings_of
 from lakewright.session import scratch_path
 
 CAPACITY = 4096
 SMALL_SHARE = 1 / 8  # lengths up to this share of the capacity are small
 GROUPS = 1000  # into how many groups of equal cardinality the large lengths are rounded
+REMEMBERED = 450_000  # chunks that a worker keeps the ids of
 _RANK_BITS = 48
 
 PIECE_SCHEMA = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, _task int, _row bigint"
@@ -194,7 +195,7 @@ def encoded_pieces(
     schema = PIECE_SCHEMA + (", ids array<int>" if with_ids else "")
 
     def cut(batches):
-        encoder, task = worker_encoder(tokenizer, keeps_space), TaskContext.get().partitionId()
+        encoder, task = worker_encoder(tokenizer, keeps_space, REMEMBERED), TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
             for portion in portions(batch):
@@ -226,6 +227,7 @@ def encoded_pieces(
                     columns.append(pa.ListArray.from_arrays(pa.array(at), pa.array(ids.view(np.int32))))
                 yield pa.RecordBatch.from_arrays(columns, names=[f.split()[0] for f in schema.split(", ")])
         encoder.forget()  # the worker lives on, and other stages need its memory
+        release()
 
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(cut, schema)
 

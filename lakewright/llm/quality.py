@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakewright.llm.texts import add_columns, id_remainder, map_batches, portions, strings_of
+from lakewright.llm.texts import add_columns, id_remainder, map_batches, portions, release, strings_of
 
 SAMPLE_DOCS = 6000  # labelled rows that the classifier is fitted on, drawn by hash
 VOCABULARY = 16_384  # tokens with a word vector; the others count as one of a few kinds of rare token
@@ -78,6 +78,8 @@ def token_counts(texts: DataFrame) -> DataFrame:
                         counts.clear()
         if counts:
             yield pa.RecordBatch.from_pydict({"token": list(counts), "n": list(counts.values())})
+            counts.clear()
+        release()
 
     return texts.mapInArrow(run, "token string, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
 
@@ -123,6 +125,8 @@ def word_vectors(texts: DataFrame) -> tuple[dict[str, int], np.ndarray]:
                 sums = more if sums is None else sums + more
         if sums is not None:
             yield blocks(sums)
+        sums = None
+        release()
 
     def add_blocks(batches):
         sums: dict[int, np.ndarray] = {}

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -53,7 +55,7 @@ def map_batches(
         for batch in batches:
             for portion in portions(batch, text, size):
                 yield _batch(convert(portion), arrow)
-        _release()
+        release()
 
     return df.mapInArrow(run, schema)
 
@@ -72,15 +74,23 @@ def add_columns(
                 made = _batch(convert(portion), arrow)
                 columns = [portion.column(name) for name in kept] + made.columns
                 yield pa.RecordBatch.from_arrays(columns, names=[*kept, *fields.names])
-        _release()
+        release()
 
     whole = T.StructType([df.schema[name] for name in kept] + fields.fields)
     return df.mapInArrow(run, whole)
 
 
-def _release() -> None:
+@lru_cache(maxsize=1)
+def _trim() -> Callable[[int], int] | None:
+    """The C library's call that gives freed memory back to the system, where it has one."""
+    return getattr(ctypes.CDLL(None), "malloc_trim", None)
+
+
+def release() -> None:
     """Workers live on after a task: give the memory of its batches back."""
     pa.default_memory_pool().release_unused()
+    if _trim():
+        _trim()(0)
 
 
 def _batch(columns: dict[str, object], schema: pa.Schema) -> pa.RecordBatch:
