@@ -8,18 +8,36 @@ from pyspark.sql import functions as F
 from lakewright.session import scratch_path
 
 
-def saved(df: DataFrame, label: str) -> DataFrame:
+def saved(df: DataFrame, label: str, codec: str = "snappy") -> DataFrame:
     """The rows, written to the shared folder and read from there: lineage ends here, and lost executors do no harm."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def components(links: DataFrame) -> DataFrame:
     """(node, label) of every node in ``links`` (a, b): nodes have the same label if links lead from one to the other.
 
-    The label is the least node of the component. Each round takes the least label among the neighbours and then
-    that label's own label, so a path of n links takes about log2(n) rounds.
+    The label is the least node of the component. Each node's link to its least neighbour comes first: there are no more of those than
+    nodes, and they join most of a dense group. Of the other links only those count that lead from one of their components to another,
+    each pair of components once.
+    """
+    ordered = links.where(F.col("a") != F.col("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    first = _components(saved(ordered.groupBy("b").agg(F.min("a").alias("a")), "hooks"))
+    named = ordered.join(first.toDF("a", "label_a"), "a", "left").join(first.toDF("b", "label_b"), "b", "left")
+    one, two = F.coalesce("label_a", "a"), F.coalesce("label_b", "b")
+    across = named.where(one != two).select(F.least(one, two).alias("a"), F.greatest(one, two).alias("b")).distinct()
+    across = saved(across, "across")
+    if across.isEmpty():
+        return first
+    second = _components(across)
+    joined = first.join(second.toDF("label", "least"), "label", "left").select("node", F.coalesce("least", "label").alias("label"))
+    return saved(joined.unionByName(second.join(first.select("node"), "node", "left_anti")), "components")
+
+
+def _components(links: DataFrame) -> DataFrame:
+    """The same from few links. Each round takes the least label among the neighbours and then that label's own
+    label, so a path of n links takes about log2(n) rounds.
     """
     ends = F.array(F.struct("a", "b"), F.struct(F.col("b").alias("a"), F.col("a").alias("b")))
     both = links.where(F.col("a") != F.col("b")).select(F.inline(ends)).distinct()

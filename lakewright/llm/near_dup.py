@@ -209,8 +209,10 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     belong together, and a row is kept if it has that id. Rows without words, null texts among them, are linked with
     nothing. A row without an id takes part, gets the others' smallest id, and is kept if none of them has an id.
     Repeated rows are linked like copies. ``group`` is equal for rows that belong together, null without words.
-    An empty table gives no rows.
+    An empty table gives no rows. Bands and the comparison of sketches are laid out for ``percent`` of 80 or more.
     """
+    if percent < PERCENT:
+        raise ValueError(f"pairs below {PERCENT} % may share no band; {percent} % is not supported")
     rows = saved(_fingerprints(docs, words), "fingerprints")
     distinct = (
         rows.where(F.col("node").isNotNull())
