@@ -85,13 +85,46 @@ def _cut(values: np.ndarray, bounds: np.ndarray) -> list[bytes]:
     return [values[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
 
 
+# Packed columns: ascending numbers as their differences, whose high bytes are zero and compress away; counts in the fewest bytes.
+
+
+def _cut_ascending(values: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """Numbers that ascend from one bound to the next: the first, then the differences."""
+    steps = np.diff(values, prepend=values[:1])
+    starts = bounds[:-1][np.diff(bounds) > 0]
+    steps[starts] = values[starts]
+    return _cut(steps, bounds)
+
+
+def _ascending(packed: list[bytes], kind: str) -> tuple[np.ndarray, np.ndarray]:
+    """(the numbers that ``_cut_ascending`` packed, how many each has)."""
+    sizes = np.fromiter((len(p) for p in packed), np.int64, len(packed)) // np.dtype(kind).itemsize
+    steps = np.frombuffer(b"".join(packed), kind).astype(np.int64)
+    sums = np.concatenate(([0], np.cumsum(steps)))
+    return sums[1:] - np.repeat(sums[np.cumsum(sizes) - sizes], sizes), sizes
+
+
+_WIDTHS = ("<u1", "<u2", "<u4", "<i8")
+
+
+def _cut_counts(counts: np.ndarray, bounds: np.ndarray) -> list[bytes]:
+    """Each part in as many bytes a number as its largest one needs; readers tell from the length."""
+    most = np.maximum.reduceat(counts, bounds[:-1]) if len(bounds) > 1 else counts[:0]
+    width = np.searchsorted([1 << 8, 1 << 16, 1 << 32], most, side="right")
+    return [counts[a:b].astype(_WIDTHS[w]).tobytes() for a, b, w in zip(bounds[:-1], bounds[1:], width, strict=True)]
+
+
+def _counts(packed: bytes, size: int) -> np.ndarray:
+    return np.frombuffer(packed, {1: "<u1", 2: "<u2", 4: "<u4", 8: "<i8"}[len(packed) // size])
+
+
 def gram_counts(docs: DataFrame) -> DataFrame:
     """(root, grams, counts) of ``docs`` (text): packed, several rows a root, to be added up."""
     schema = pa.schema([("root", pa.int64()), ("grams", pa.binary()), ("counts", pa.binary())])
 
     def rows(grams, counts):
         roots, bounds = _by_root(grams)
-        columns = [pa.array(roots), pa.array(_cut(_low(grams), bounds)), pa.array(_cut(counts.astype("<i8"), bounds))]
+        columns = [pa.array(roots), pa.array(_cut_ascending(_low(grams), bounds)), pa.array(_cut_counts(counts, bounds))]
         return pa.RecordBatch.from_arrays(columns, schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -171,14 +204,14 @@ def _root_by_root(df: DataFrame, answer: Callable[[list[dict]], pa.RecordBatch],
 
 
 def _unpacked(rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
-    sizes = [len(r["grams"]) // 4 for r in rows]
-    low = np.frombuffer(b"".join(r["grams"] for r in rows), "<u4").astype(np.int64)
-    return low | np.repeat(np.array([r["root"] for r in rows], np.int64) << _LOW, sizes), np.array(sizes, np.int64)
+    low, sizes = _ascending([r["grams"] for r in rows], "<u4")
+    return low | np.repeat(np.array([r["root"] for r in rows], np.int64) << _LOW, sizes), sizes
 
 
 def _counted(rows: list[dict]) -> tuple[np.ndarray, np.ndarray]:
     rows = [r for r in rows if r["counts"] is not None]
-    return _merged(_unpacked(rows)[0], np.frombuffer(b"".join(r["counts"] for r in rows), "<i8"))
+    grams, sizes = _unpacked(rows)
+    return _merged(grams, np.concatenate([_counts(r["counts"], n) for r, n in zip(rows, sizes.tolist(), strict=True)]))
 
 
 # Above the subtrees: rows of (id, zeros, ones, weighted), one frame a depth.
@@ -222,7 +255,7 @@ class Trees:
 
 def train(docs: DataFrame) -> Trees:
     """The trees of ``docs`` (text); a null text is empty."""
-    counts = saved(gram_counts(docs), "grams").select("root", F.lit(None).cast("bigint").alias("slice"), "grams", "counts")
+    counts = saved(gram_counts(docs), "grams", "zstd").select("root", F.lit(None).cast("bigint").alias("slice"), "grams", "counts")
     levels = [saved(_roots(counts), "level")]
     for _ in range(ROOT):
         levels.append(saved(_folded(levels[-1]), "level"))
@@ -280,7 +313,7 @@ def _questions(docs: DataFrame) -> DataFrame:
     def rows(number, grams):
         roots, bounds = _by_root(grams)
         n = len(roots)
-        columns = [pa.array(roots), pa.array([number] * n, pa.int64()), pa.array(_cut(_low(grams), bounds)), pa.nulls(n, pa.binary())]
+        columns = [pa.array(roots), pa.array([number] * n, pa.int64()), pa.array(_cut_ascending(_low(grams), bounds)), pa.nulls(n, pa.binary())]
         return pa.RecordBatch.from_arrays(columns, schema=schema)
 
     def run(batches):
@@ -316,17 +349,17 @@ def score(docs: DataFrame, trees: Trees) -> DataFrame:
         distinct, at = np.unique(grams, return_inverse=True)
         logs = gram_logs(distinct, tables)[at].astype("<f4")
         slices = np.repeat(np.array([r["slice"] for r in asked], np.int64), sizes)
-        order = np.argsort(slices, kind="stable")
+        order = np.lexsort((grams, slices))
         numbers, first = np.unique(slices[order], return_index=True)
         bounds = np.append(first, len(order))
-        columns = [pa.array(numbers), pa.array(_cut(grams[order], bounds)), pa.array(_cut(logs[order], bounds))]
+        columns = [pa.array(numbers), pa.array(_cut_ascending(grams[order], bounds)), pa.array(_cut(logs[order], bounds))]
         return pa.RecordBatch.from_arrays(columns, schema=answers)
 
     asked = trees.counts.unionByName(_questions(docs.select("slice", "text")))
     told = _root_by_root(asked, answer, "slice bigint, grams binary, logs binary")
 
     def summed(left: pa.Table, right: pa.Table) -> pa.Table:
-        grams = np.concatenate([np.frombuffer(x, "<i8") for x in right["grams"].to_pylist()])
+        grams = _ascending(right["grams"].to_pylist(), "<i8")[0]
         logs = np.concatenate([np.frombuffer(x, "<f4") for x in right["logs"].to_pylist()])
         order = np.argsort(grams)
         grams, logs = grams[order], logs[order]

@@ -254,25 +254,25 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
             rare.append(other)
         number = (TaskContext.get().partitionId() << 32) + spent[0] // context_tree.SLICE_BYTES
         spent[0] += sum(map(len, texts))
-        return {"n_tokens": tokens, "_found": found, "_sum": sums, "_rare": rare, "_slice": [number] * len(texts)}
-
-    schema = "n_tokens bigint, _found bigint, _sum double, _rare array<binary>, _slice bigint"
-    scored = saved(add_columns(docs, schema, convert).withColumn("_row", F.monotonically_increasing_id()), "scored")
-    rare = scored.select("_row", F.explode("_rare").alias("word"))
-    counted = rare.join(model.words, "word").select("_row", F.log10(F.col("n") + 1).alias("log"))
-    by_row = counted.groupBy("_row").agg(F.count(F.lit(1)).alias("_more"), F.sum("log").alias("_logs"))
-    by_text = context_tree.score(scored.select(F.col("_row").alias("row"), F.col("_slice").alias("slice"), "text"), model.trees)
-    by_text = by_text.select(F.col("row").alias("_row"), F.col("score").alias("_score"))
+        return {"n_tokens": tokens, "__lm_found": found, "__lm_sum": sums, "__lm_rare": rare, "__lm_slice": [number] * len(texts)}
+
+    schema = "n_tokens bigint, __lm_found bigint, __lm_sum double, __lm_rare array<binary>, __lm_slice bigint"
+    scored = saved(add_columns(docs, schema, convert).withColumn("__lm_row", F.monotonically_increasing_id()), "scored", "zstd")
+    rare = scored.select("__lm_row", F.explode("__lm_rare").alias("word"))
+    counted = rare.join(model.words, "word").select("__lm_row", F.log10(F.col("n") + 1).alias("log"))
+    by_row = counted.groupBy("__lm_row").agg(F.count(F.lit(1)).alias("__lm_more"), F.sum("log").alias("__lm_logs"))
+    by_text = context_tree.score(scored.select(F.col("__lm_row").alias("row"), F.col("__lm_slice").alias("slice"), "text"), model.trees)
+    by_text = by_text.select(F.col("row").alias("__lm_row"), F.col("score").alias("__lm_score"))
     end_log, end_known = math.log10(model.documents + 1), int(model.documents > 0)
     whole = math.log10(model.tokens + model.distinct + 1)
     named = [n for n in docs.columns if n not in ("n_tokens", "n_known", "train_tokens", "base_score", "score")]
-    return scored.join(by_row, "_row", "left").join(by_text, "_row").select(
+    return scored.join(by_row, "__lm_row", "left").join(by_text, "__lm_row").select(
         *(F.col(f"`{n}`") for n in named),
         "n_tokens",
-        (F.col("_found") + F.coalesce("_more", F.lit(0)) + end_known).alias("n_known"),
+        (F.col("__lm_found") + F.coalesce("__lm_more", F.lit(0)) + end_known).alias("n_known"),
         F.lit(model.tokens).cast("bigint").alias("train_tokens"),
-        (F.col("_sum") + F.coalesce("_logs", F.lit(0.0)) + end_log - F.col("n_tokens") * whole).alias("base_score"),
-        F.col("_score").alias("score"),
+        (F.col("__lm_sum") + F.coalesce("__lm_logs", F.lit(0.0)) + end_log - F.col("n_tokens") * whole).alias("base_score"),
+        F.col("__lm_score").alias("score"),
     )
 
 
