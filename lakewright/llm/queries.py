@@ -101,6 +101,30 @@ def op12_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+ORACLES["op7_decontamination"] = f"""
+WITH texts AS (
+    SELECT doc_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM documents
+), items AS (
+    SELECT item_id, words, least(10, len(words)) AS size
+    FROM (SELECT item_id, regexp_extract_all({_LOWER.format("coalesce(text, '')")}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM benchmark)
+    WHERE len(words) > 0
+), windows AS (
+    SELECT DISTINCT item_id, size, array_to_string(words[i : i + size - 1], ' ') AS run
+    FROM (SELECT *, unnest(range(1, len(words) - size + 2)) AS i FROM items)
+), places AS (
+    SELECT doc_id, size, i, array_to_string(words[i : i + size - 1], ' ') AS run
+    FROM (SELECT doc_id, words, size, unnest(range(1, greatest(len(words) - size + 2, 1))) AS i FROM texts, (SELECT DISTINCT size FROM items))
+), hits AS (SELECT doc_id, i, size, item_id FROM places JOIN windows USING (size, run)),
+covered AS (SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + size)) AS word FROM hits) GROUP BY doc_id),
+found AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(listed, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM texts LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+"""
+
 ORACLES["op12_ranked_search"] = f"""
 WITH found AS (
     SELECT doc_id, unnest(regexp_extract_all({_LOWER.format("text")}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM documents

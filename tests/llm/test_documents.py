@@ -512,7 +512,7 @@ def test_every_operator_has_its_query():
     import __spark_entry__
 
     names = {n.split("_")[0] for n in __spark_entry__.queries() if re.match(r"op\d+_", n)}
-    assert names == {f"op{n}" for n in range(1, 11)} and "pipeline" in __spark_entry__.queries()
+    assert names == {f"op{n}" for n in range(1, 14)} and "pipeline" in __spark_entry__.queries()
 
 
 @settings(max_examples=30, deadline=None)
