@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakewright.llm.encoder import worker_encoder
+from lakewright.llm.graph import saved
 from lakewright.llm.texts import map_batches, strings_of
 
 BLOCK = 256  # lengths that are summed up together before their sums are carried on
@@ -31,7 +32,8 @@ def length_histogram(lengths: DataFrame) -> DataFrame:
     documents that fit whole. Lengths are summed by block first, so no task sees more than one block's
     lengths or one row per block. An empty table gives no rows.
     """
-    counts = lengths.groupBy("length").agg(F.count(F.lit(1)).alias("n_docs"))
+    # Written out, as the lengths are costly and read twice below.
+    counts = saved(lengths.groupBy("length").agg(F.count(F.lit(1)).alias("n_docs")), "lengths")
     counts = counts.withColumn("_block", F.floor(F.col("length") / BLOCK))
     tokens = F.col("length") * F.col("n_docs")
     blocks = counts.groupBy("_block").agg(F.sum("n_docs").alias("_docs"), F.sum(tokens).alias("_tokens"))
