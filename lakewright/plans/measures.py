@@ -59,12 +59,20 @@ def update_measures(spark: SparkSession, table: str, measures: str, unit: str =
         return []
     measured = _measured(rows.where(_among(rows, keys, list(stale))), keys, texts, unit)
     told = spark.createDataFrame([tuple(row) for row in stale.values()], STATE)
-    # A partition without rows is measured too, or it would be read again each time.
-    named = told.crossJoin(spark.createDataFrame([(c,) for c in texts], "column_name string"))
+    _told_and_measured(told, measured, texts).write.mode("append").parquet(measures)
+    return sorted(stale)
+
+
+def _told_and_measured(told: DataFrame, measured: DataFrame, texts: Sequence[str]) -> DataFrame:
+    """The measures of the partitions in ``told``, one row for each and text column, in one task.
+
+    A partition without rows is measured too, or it would be read again each time. The names come together before the join: a task
+    that ran the join for many small parts would count the broadcast table's memory once for each.
+    """
+    named = told.coalesce(1).select("*", F.explode(F.array(*map(F.lit, texts))).alias("column_name"))
     whole = named.join(F.broadcast(measured), ["part", "column_name"], "left").withColumn("measured_at", F.current_timestamp())
     counted = whole.withColumns({c: F.coalesce(c, F.lit(0)) for c in ("n_rows", "n_values")})
-    counted.select(*(c.split()[0] for c in MEASURES.split(", "))).coalesce(1).write.mode("append").parquet(measures)
-    return sorted(stale)
+    return counted.select(*(c.split()[0] for c in MEASURES.split(", ")))
 
 
 def _among(rows: DataFrame, keys: Sequence[str], parts: list[Values]) -> Column:

@@ -66,3 +66,16 @@ def test_only_changed_partitions_are_read(spark, tmp_path, target, monkeypatch,
     measures.update_measures(spark, target, store)
     assert len(seen[0].select(F.col("_metadata.file_path")).distinct().collect()) == 1
     assert "PartitionFilters: [isnotnull(day" in plan(seen[0]) and "k/2" in plan(seen[0])
+
+
+def test_measures_are_joined_and_written_in_one_small_part(spark, tmp_path, target, monkeypatch, plan):
+    """Parts that come together only after the join each count the memory of its broadcast table, all in one task."""
+    store, seen = str(tmp_path / "measures"), []
+    plain = measures._told_and_measured
+    monkeypatch.setattr(measures, "_told_and_measured", lambda *a: seen.append(plain(*a)) or seen[-1])
+    measures.update_measures(spark, target, store)
+    assert "Cartesian" not in plan(seen[0]) and "NestedLoop" not in plan(seen[0])
+    assert seen[0].rdd.getNumPartitions() == 1
+    # Coalesce, if any, stands below the join.
+    text = plan(seen[0])
+    assert text.index("BroadcastHashJoin") < text.index("Coalesce 1")
