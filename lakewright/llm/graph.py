@@ -43,16 +43,20 @@ def components(links: DataFrame) -> DataFrame:
     each pair of components once.
     """
     ordered = links.where(F.col("a") != F.col("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    first = _components(saved(ordered.groupBy("b").agg(F.min("a").alias("a")), "hooks"))
-    named = ordered.join(first.toDF("a", "label_a"), "a", "left").join(first.toDF("b", "label_b"), "b", "left")
+    return extended(_components(saved(ordered.groupBy("b").agg(F.min("a").alias("a")), "hooks")), ordered)
+
+
+def extended(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels`` (node, label) of the components of some links, brought up to date for further ``links`` (a, b)."""
+    named = links.join(labels.toDF("a", "label_a"), "a", "left").join(labels.toDF("b", "label_b"), "b", "left")
     one, two = F.coalesce("label_a", "a"), F.coalesce("label_b", "b")
     across = named.where(one != two).select(F.least(one, two).alias("a"), F.greatest(one, two).alias("b")).distinct()
     across = saved(across, "across")
     if across.isEmpty():
-        return first
+        return labels
     second = _components(across)
-    joined = first.join(second.toDF("label", "least"), "label", "left").select("node", F.coalesce("least", "label").alias("label"))
-    return saved(joined.unionByName(second.join(first.select("node"), "node", "left_anti")), "components")
+    joined = labels.join(second.toDF("label", "least"), "label", "left").select("node", F.coalesce("least", "label").alias("label"))
+    return saved(joined.unionByName(second.join(labels.select("node"), "node", "left_anti")), "components")
 
 
 def _components(links: DataFrame) -> DataFrame:

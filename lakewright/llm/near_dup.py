@@ -6,9 +6,11 @@ to all shingles, so every coordinate is filled. Two sketches agree in a coordina
 sets' similarity, and the number of agreements is concentrated like that of independent samples.
 
 Texts with the same shingle set are one node from the start. Nodes that share a band form a bucket. Within it all
-nodes are first compared to a leader, or several; then only pairs from different components are left to compare, so a
-large group of near copies costs about as many comparisons as it has members, and no link between
-components is passed over.
+nodes are first compared to one of them; then only pairs from different components are left. Where a bucket has few of
+those they are listed. Where it has many, its members are compared to the centre of its largest component, and kept as
+their differences from it: two members from different components can only be linked if they share so many of these
+differences that they share one of the rarer ones, and only such pairs are listed. So a large group of near copies costs
+about as many comparisons as it has members, and no link between components is passed over.
 """
 
 from __future__ import annotations
@@ -17,10 +19,10 @@ import hashlib
 from functools import lru_cache
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakewright.llm.graph import components, saved
+from lakewright.llm.graph import components, extended, saved
 from lakewright.llm.texts import map_batches, utf8_of
 from lakewright.operators.keyed_joins import keyed_join, matching_keys
 
@@ -30,8 +32,7 @@ BINS = 576
 BAND_ROWS = 8  # 72 bands of 8: a pair at 80 % shares none with probability 2e-6, one at 85 % with 1e-10
 COMPARED = 128  # coordinates that are compared before full sets are
 LEAST_AGREEING = 77  # of them; a pair at 80 % falls short with probability below 1e-7
-LEADERS = 3  # further leaders at most; what they leave is compared in full
-PAIRS_PER_MEMBER = 8  # with more pairs left than this for each member, another leader comes first; decides speed only
+PAIRS_PER_MEMBER = 4  # a bucket with more pairs left than this for each member goes by differences; decides speed only
 PORTION = 1 << 20
 
 _SPACE = np.zeros(256, bool)
@@ -239,27 +240,24 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     sets = saved(_full_sets(docs, reps.join(linkable, "id", "left_semi"), words), "sets")
     links = saved(_verified(_likely(tested, nodes), sets, percent), "links")
 
-    for turn in range(LEADERS + 1):
-        left, pairs, members = _unresolved(shared, components(links), turn)
-        if not pairs:
-            break
-        # Comparing with one more node per bucket joins components, which pays while there are many pairs.
-        last = turn == LEADERS or pairs <= PAIRS_PER_MEMBER * members
-        if last:
-            one = left.select("band", F.col("id").alias("a"), F.col("label").alias("label_a"))
-            two = left.select("band", F.col("id").alias("b"), F.col("label").alias("label_b"))
-            far = one.join(two, "band").where((F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b"))).select("a", "b")
-        else:
-            far = left.where(F.col("label") != F.col("leader_label")).select(F.col("id").alias("a"), F.col("leader").alias("b"))
-        ordered = far.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        fresh = saved(ordered.join(tested, ["a", "b"], "left_anti"), "pairs")
-        tested = tested.union(fresh)
-        links = links.union(saved(_verified(_likely(fresh, nodes), sets, percent), "links"))
-        if last:
-            break
+    labels = components(links)
+    left, kinds = _unresolved(shared, labels)
+    if kinds:
+        one = left.where(~F.col("crowded")).select("band", F.col("id").alias("a"), F.col("label").alias("label_a"))
+        two = left.where(~F.col("crowded")).select("band", F.col("id").alias("b"), F.col("label").alias("label_b"))
+        across = one.join(two, "band").where((F.col("a") < F.col("b")) & (F.col("label_a") != F.col("label_b")))
+        fresh = saved(across.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
+        links = saved(_verified(_likely(fresh, nodes), sets, percent), "links")
+        if True in kinds:
+            about = saved(_differences(left.where("crowded").select("band", "id", "label"), sets), "differences")
+            near = about.where(_close(F.col("n"), F.col("size") + F.col("centre_size"), percent))
+            labels = extended(labels, links.unionByName(near.select(F.least("id", "centre").alias("a"), F.greatest("id", "centre").alias("b"))))
+            fresh = saved(_sharing(about, labels, percent), "pairs")
+            links = saved(_verified(_likely(fresh, nodes), sets, percent), "links")
+        labels = extended(labels, links)
 
-    labels = components(links).withColumnRenamed("node", "id")
-    grouped = nodes.select("node", "id", "least_id").join(labels, "id", "left")
+    named = labels.withColumnRenamed("node", "id")
+    grouped = nodes.select("node", "id", "least_id").join(named, "id", "left")
     grouped = grouped.withColumn("group", F.coalesce("label", "id"))
     least = grouped.where(F.col("label").isNotNull()).groupBy("group").agg(F.min("least_id").alias("smallest"))
     of_node = grouped.join(least, "group", "left").select(
@@ -272,22 +270,74 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     )
 
 
-def _unresolved(shared: DataFrame, labels: DataFrame, turn: int) -> tuple[DataFrame, int, int]:
-    """Members of buckets with several components, each bucket with a leader; the pairs across components; the members."""
+def _unresolved(shared: DataFrame, labels: DataFrame) -> tuple[DataFrame, set[bool]]:
+    """(band, id, label, crowded) of buckets with several components, crowded ones having many pairs across them; the kinds there are."""
     named = labels.withColumnRenamed("node", "id")
     own = shared.join(named, "id", "left").withColumn("label", F.coalesce("label", "id"))
     own = saved(own.select("band", "id", "label"), "labelled")
-    of_label = own.groupBy("band", "label").agg(F.count(F.lit(1)).alias("n"), F.max(F.struct(F.xxhash64("id", F.lit(turn)), "id")).alias("top"))
-    n = F.col("n").cast("double")
-    buckets = of_label.groupBy("band").agg(
-        F.max(F.struct("top", "label")).alias("leader"),
-        F.sum(n).alias("members"),
-        ((F.sum(n) * F.sum(n) - F.sum(n * n)) / 2).alias("pairs"),
-    )
-    several = saved(buckets.where(F.col("pairs") > 0), "several")
-    pairs, members = several.agg(F.coalesce(F.sum("pairs"), F.lit(0.0)), F.coalesce(F.sum("members"), F.lit(0.0))).first()
-    leader = several.select("band", F.col("leader.top.id").alias("leader"), F.col("leader.label").alias("leader_label"))
-    return own.join(leader, "band"), int(pairs), int(members)
+    of_label = own.groupBy("band", "label").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    buckets = of_label.groupBy("band").agg(F.sum("n").alias("members"), F.sum(F.col("n") * F.col("n")).alias("squares"))
+    pairs = (F.col("members") * F.col("members") - F.col("squares")) / 2
+    several = buckets.where(pairs > 0).select("band", (pairs > PAIRS_PER_MEMBER * F.col("members")).alias("crowded"))
+    several = saved(several, "several")
+    return own.join(several, "band"), {row["crowded"] for row in several.select("crowded").distinct().collect()}
+
+
+def _close(differences: Column, sizes: Column, percent: int) -> Column:
+    """Whether two sets of so many elements together, so many of them in one only, are similar enough."""
+    return (100 + percent) * differences <= (100 - percent) * sizes
+
+
+def _differences(members: DataFrame, sets: DataFrame) -> DataFrame:
+    """(centre, id, size, centre_size, n, differs) of ``members`` (band, id, label): the elements in which a member and the centre differ.
+
+    A bucket's centre is that of its most frequent component: the node that is in the most buckets.
+    """
+    seen = members.groupBy("label", "id").agg(F.count(F.lit(1)).alias("times"))
+    centres = seen.groupBy("label").agg(F.sum("times").alias("weight"), F.max(F.struct("times", "id")).alias("top"))
+    centres = saved(centres.select("label", "weight", F.col("top.id").alias("centre")), "centres")
+    there = keyed_join(members.select("band", "label").distinct(), centres, ["label"], "inner")
+    chosen = there.groupBy("band").agg(F.max(F.struct("weight", "label", "centre")).alias("top")).select("band", F.col("top.centre").alias("centre"))
+    about = members.join(chosen, "band").where(F.col("id") != F.col("centre")).select("centre", "id").distinct()
+    held = about.join(sets.withColumnRenamed("shingles", "own"), "id")
+    other = chosen.select(F.col("centre").alias("id")).distinct().join(sets, "id").select(F.col("id").alias("centre"), F.col("shingles").alias("other"))
+    both = keyed_join(held, saved(other, "centre-sets"), ["centre"], "inner")
+    differs = F.concat(F.array_except("own", "other"), F.array_except("other", "own"))
+    found = both.select("centre", "id", F.size("own").cast("bigint").alias("size"), F.size("other").cast("bigint").alias("centre_size"), differs.alias("differs"))
+    return found.select("*", F.size("differs").cast("bigint").alias("n"))
+
+
+def _sharing(about: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) around one centre, of different components, that share differences as two similar sets must.
+
+    Sets of sizes s and t that differ from a centre in m and n elements, o of them the same, differ in m + n - 2 o. To be
+    similar enough they need a certain o, and the first of those, by any order of the elements, stands within the first
+    m - o + 1 and n - o + 1. The order is by how many members differ in an element, rarest first. A member alone tells how
+    small o may be at least: in a pair of two components one is too far from the centre for a link to it.
+    """
+    row = about.join(labels.withColumnRenamed("node", "id"), "id", "left").withColumn("label", F.coalesce("label", "id"))
+    mixed = row.groupBy("centre").agg(F.min("label").alias("_low"), F.max("label").alias("_high")).where("_low != _high")
+    row = saved(matching_keys(row, saved(mixed.select("centre"), "mixed"), ["centre"], keep=True), "members")
+    more, less = 100 + percent, 100 - percent
+    n, size, of_centre = F.col("n"), F.col("size"), F.col("centre_size")
+    least = lambda over: F.greatest(F.lit(1), F.ceil((more * n - less * over) / (2 * more)))
+    elements = saved(row.select("centre", "id", F.explode("differs").alias("element")), "elements")
+    times = elements.groupBy("centre", "element").agg(F.count(F.lit(1)).alias("times")).where("times > 1")
+    place = F.row_number().over(Window.partitionBy("centre", "id").orderBy("times", "element"))
+    several = F.count(F.lit(1)).over(Window.partitionBy("centre", "id"))
+    ranked = elements.join(times, ["centre", "element"]).withColumns({"_place": place, "_several": several})
+    # Elements of one member alone come first, and no pair shares them.
+    placed = ranked.join(row.drop("differs"), ["centre", "id"]).withColumn("place", n - F.col("_several") + F.col("_place") - 1)
+    placed = placed.withColumns({"far": ~_close(n, size + of_centre, percent), "rare": F.col("place") <= n - least(size - of_centre)})
+    placed = placed.where(F.col("rare") | (F.col("far") & (F.col("place") <= n - least(size + of_centre))))
+    placed = saved(placed.select("centre", "element", "id", "label", "n", "size", "place", "far", "rare"), "places")
+    one = placed.where("far").select("centre", "element", *(F.col(c).alias(f"{c}_a") for c in ("id", "label", "n", "size", "place", "rare")))
+    two = placed.where("rare").select("centre", "element", *(F.col(c).alias(f"{c}_b") for c in ("id", "label", "n", "size", "place", "far")))
+    once = ~F.col("far_b") | (F.col("rare_a") & (F.col("id_a") < F.col("id_b")))
+    left = F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))
+    enough = 2 * more * left >= more * (F.col("n_a") + F.col("n_b")) - less * (F.col("size_a") + F.col("size_b"))
+    pairs = one.join(two, ["centre", "element"]).where((F.col("label_a") != F.col("label_b")) & once & enough)
+    return pairs.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).distinct()
 
 
 def without_copies(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = PERCENT) -> DataFrame:

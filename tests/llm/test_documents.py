@@ -262,6 +262,24 @@ def test_near_duplicates_against_all_pairs(spark, awkward, words):
         assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in found)
 
 
+def test_a_large_group_of_near_copies_needs_few_comparisons(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    base, rows = [f"w{i}" for i in range(90)], []
+    for number in range(400):  # a quarter of them are linked with each other, and none of the rest with any
+        words = list(base)
+        for at in rng.choice(len(words), int(rng.integers(1, 9)), replace=False):
+            words[at] = f"x{rng.integers(0, 3000)}"
+        rows.append((number, " ".join(words)))
+    likely, compared = near_dup._likely, []
+    monkeypatch.setattr(near_dup, "_likely", lambda pairs, nodes: compared.append(pairs.count()) or likely(pairs, nodes))
+    found = near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string"), words=4).collect()
+    expected = {(doc_id, n, c) for (doc_id, _), (n, c) in zip(rows, linked(rows, 4), strict=True)}
+    assert {(r["doc_id"], r["n_shingles"], r["component_id"]) for r in found} == expected
+    components = Counter(c for _, _, c in expected)
+    assert max(components.values()) > 80 and len(components) > 200  # so there are tens of thousands of pairs across
+    assert sum(compared) < 25 * len(rows), compared
+
+
 def test_one_of_each_group_stays(spark, awkward, nothing):
     kept = near_dup.without_copies(awkward).collect()
     ids = Counter(r["doc_id"] for r in kept)
