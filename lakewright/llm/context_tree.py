@@ -81,11 +81,29 @@ def _low(grams: np.ndarray) -> np.ndarray:
     return (grams & ((1 << _LOW) - 1)).astype("<u4")
 
 
+# Packed columns: ascending numbers as their differences; counts in the fewest bytes. All first bytes of a part's numbers stand
+# before all second ones and so on, so the high bytes, which are zero or much alike, make long runs that compress away.
+
+
 def _cut(values: np.ndarray, bounds: np.ndarray) -> list[bytes]:
-    return [values[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    raw = np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize)
+    return [raw[a:b].T.tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
+def _joined(packed: list[bytes], kind: str) -> np.ndarray:
+    """The numbers of all parts that ``_cut`` made."""
+    width = np.dtype(kind).itemsize
+    parts = [np.frombuffer(part, np.uint8).reshape(width, -1).T for part in packed]
+    return np.ascontiguousarray(np.concatenate([np.empty((0, width), np.uint8), *parts])).view(kind).ravel()
+
+
+def _squeezed(packed: list[bytes]) -> list[bytes]:
+    """Large parts as they go through a shuffle: their sizes, then they in a codec that needs fewer bytes than the shuffle's."""
+    return [len(part).to_bytes(8, "little") + pa.compress(part, "zstd", asbytes=True) for part in packed]
 
 
-# Packed columns: ascending numbers as their differences, whose high bytes are zero and compress away; counts in the fewest bytes.
+def _restored(squeezed: list[bytes]) -> list[bytes]:
+    return [pa.decompress(part[8:], int.from_bytes(part[:8], "little"), "zstd", asbytes=True) for part in squeezed]
 
 
 def _cut_ascending(values: np.ndarray, bounds: np.ndarray) -> list[bytes]:
@@ -99,7 +117,7 @@ def _cut_ascending(values: np.ndarray, bounds: np.ndarray) -> list[bytes]:
 def _ascending(packed: list[bytes], kind: str) -> tuple[np.ndarray, np.ndarray]:
     """(the numbers that ``_cut_ascending`` packed, how many each has)."""
     sizes = np.fromiter((len(p) for p in packed), np.int64, len(packed)) // np.dtype(kind).itemsize
-    steps = np.frombuffer(b"".join(packed), kind).astype(np.int64)
+    steps = _joined(packed, kind).astype(np.int64)
     sums = np.concatenate(([0], np.cumsum(steps)))
     return sums[1:] - np.repeat(sums[np.cumsum(sizes) - sizes], sizes), sizes
 
@@ -352,15 +370,16 @@ def score(docs: DataFrame, trees: Trees) -> DataFrame:
         order = np.lexsort((grams, slices))
         numbers, first = np.unique(slices[order], return_index=True)
         bounds = np.append(first, len(order))
-        columns = [pa.array(numbers), pa.array(_cut_ascending(grams[order], bounds)), pa.array(_cut(logs[order], bounds))]
+        packed = _cut_ascending(grams[order], bounds), _cut(logs[order], bounds)
+        columns = [pa.array(numbers), *(pa.array(_squeezed(parts), pa.binary()) for parts in packed)]
         return pa.RecordBatch.from_arrays(columns, schema=answers)
 
     asked = trees.counts.unionByName(_questions(docs.select("slice", "text")))
     told = _root_by_root(asked, answer, "slice bigint, grams binary, logs binary")
 
     def summed(left: pa.Table, right: pa.Table) -> pa.Table:
-        grams = _ascending(right["grams"].to_pylist(), "<i8")[0]
-        logs = np.concatenate([np.frombuffer(x, "<f4") for x in right["logs"].to_pylist()])
+        grams = _ascending(_restored(right["grams"].to_pylist()), "<i8")[0]
+        logs = _joined(_restored(right["logs"].to_pylist()), "<f4")
         order = np.argsort(grams)
         grams, logs = grams[order], logs[order]
         scores = [np.empty(0)]

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -252,6 +253,19 @@ def near_copies():
     return rows
 
 
+def test_packed_grams_come_back_and_need_few_bytes():
+    rng = np.random.default_rng(2)
+    low = np.concatenate([np.sort(rng.choice(1 << 22, n, replace=False)) for n in (3000, 1, 0, 5000)]).astype("<u4")
+    bounds = np.array([0, 3000, 3001, 3001, 8001])
+    packed = context_tree._cut_ascending(low, bounds)
+    back, sizes = context_tree._ascending(packed, "<u4")
+    assert (back == low).all() and sizes.tolist() == [3000, 1, 0, 5000]
+    assert len(pa.compress(b"".join(packed), "lz4", asbytes=True)) < 2.2 * len(low)  # steps of up to two bytes
+    logs = np.log10(rng.random(8001)).astype("<f4")
+    parts = context_tree._squeezed(context_tree._cut(logs, bounds))
+    assert (context_tree._joined(context_tree._restored(parts), "<f4") == logs).all()
+
+
 @pytest.mark.parametrize("words", [4, 5])
 def test_near_duplicates_against_all_pairs(spark, awkward, words):
     for rows in (near_copies(), [(r["doc_id"], r["text"]) for r in awkward.select("doc_id", "text").collect()]):
