@@ -4,11 +4,12 @@ import re
 import shutil
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lakewright.llm import pii
+from lakewright.llm import near_dup, pii
 
 SF_DIR = "/root/testdata/sf0.01"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -55,6 +56,28 @@ def test_near_duplicates_leave_one_of_each_group(spark, awkward, folder):
     assert Counter(r["doc_id"] for r in kept) == stay
 
 
+def test_a_large_group_of_near_copies_needs_few_comparisons(spark, folder, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = []
+    for number in range(400):
+        words = [f"w{i}" for i in range(110)]
+        for at in rng.choice(len(words), int(rng.integers(1, 9)), replace=False):
+            words[at] = f"x{rng.integers(0, 3000)}"
+        rows.append((number, " ".join(words)))
+    likely, compared = near_dup._likely, []
+    monkeypatch.setattr(near_dup, "_likely", lambda pairs, nodes: compared.append(pairs.count()) or likely(pairs, nodes))
+    kept = corpus_pipeline.drop_near_duplicates(spark, spark.createDataFrame(rows, "doc_id bigint, text string"), folder).collect()
+    sets, group = [shingles(text) for _, text in rows], list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if group[i] != group[j] and 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                low, high = sorted((group[i], group[j]))
+                group = [low if g == high else g for g in group]
+    assert sorted(r["doc_id"] for r in kept) == sorted(set(group))
+    assert 100 < len(kept) < 350
+    assert sum(compared) < 25 * len(rows), compared
+
+
 def test_contaminated_documents_go_and_clean_ones_stay(spark, folder):
     documents = spark.read.parquet(f"{SF_DIR}/documents.parquet")
     items = [r["text"] for r in spark.read.parquet(f"{SF_DIR}/benchmark.parquet").collect()]
