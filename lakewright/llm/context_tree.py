@@ -17,6 +17,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,10 +41,12 @@ def grams_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + 1
     bounds = np.concatenate(([0], np.cumsum(sizes)))
     at = np.arange(bounds[-1]) + np.repeat(np.arange(1, len(texts) + 1) * DEPTH - np.arange(len(texts)), sizes)
-    grams = np.zeros(len(at), np.int64)
+    # Every byte's gram, gaps included, from slices of the bytes; then those of the texts.
+    grams = np.zeros(len(data) - DEPTH, np.int64)
     for back in (*range(1, DEPTH + 1), 0):
-        grams = (grams << 8) | data[at - back]
-    return grams, bounds
+        grams <<= 8
+        grams |= data[DEPTH - back : len(data) - back]
+    return grams[at - DEPTH], bounds
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -66,9 +69,26 @@ def _log_gamma_column(x: Column) -> Column:
     return series - F.when(x < 8, F.log(product)).otherwise(0.0)
 
 
+def _distinct(keys: np.ndarray) -> np.ndarray:
+    """The distinct numbers, ascending. Sorting takes less than a tenth of the time of ``np.unique``, which hashes them first."""
+    keys = np.sort(keys)
+    return keys[np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1))]
+
+
 def _merged(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    keys, at = np.unique(keys, return_inverse=True)
-    return keys, np.bincount(at, counts, len(keys)).astype(np.int64)
+    """Distinct ``keys`` and the sums of their counts. A stable sort only merges runs that are sorted already."""
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
+    first = np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1))
+    return keys[first], np.add.reduceat(counts[order].astype(np.int64), first) if len(first) else np.empty(0, np.int64)
+
+
+def _distinct_runs(keys: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the first of each run of equal ``keys``, its place); a run ends at each of ``bounds`` too."""
+    fresh = np.diff(keys, prepend=keys[:1] - 1) != 0
+    fresh[bounds[:-1][bounds[:-1] < len(keys)]] = True
+    first = np.flatnonzero(fresh)
+    return keys[first], first
 
 
 def _by_root(grams: np.ndarray) -> tuple[np.ndarray, list[np.ndarray]]:
@@ -146,15 +166,19 @@ def gram_counts(docs: DataFrame) -> DataFrame:
         return pa.RecordBatch.from_arrays(columns, schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        held, size = [], 0  # distinct grams of the portions since they were last put together
         for batch in batches:
             for portion in portions(batch):
-                seen, times = np.unique(grams_of(utf8_of(portion.column("text")))[0], return_counts=True)
-                grams, counts = _merged(np.concatenate((grams, seen)), np.concatenate((counts, times)))
-                if len(grams) > HELD_GRAMS:
-                    yield rows(grams, counts)
-                    grams, counts = grams[:0], counts[:0]
-        if len(grams):
+                held.append(np.unique(grams_of(utf8_of(portion.column("text")))[0], return_counts=True))
+                size += len(held[-1][0])
+                if size > HELD_GRAMS * 3 // 2:
+                    held = [_merged(*map(np.concatenate, zip(*held, strict=True)))]
+                    size = len(held[0][0])
+                    if size > HELD_GRAMS:
+                        yield rows(*held[0])
+                        held, size = [], 0
+        if held:
+            grams, counts = _merged(*map(np.concatenate, zip(*held, strict=True)))
             yield rows(grams, counts)
 
     return docs.select("text").mapInArrow(run, "root bigint, grams binary, counts binary")
@@ -201,7 +225,8 @@ def subtrees(grams: np.ndarray, counts: np.ndarray) -> list[Level]:
 def _root_by_root(df: DataFrame, answer: Callable[[list[dict]], pa.RecordBatch], schema: str) -> DataFrame:
     """Call ``answer`` with portions of the rows (root, slice, grams, counts), all counts of a root before its questions.
 
-    Counts of a root come again in a later portion if more of its questions do, never in part.
+    Counts of a root come again in a later portion if more of its questions do, never in part. Questions of one slice about one root
+    stay together.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -209,7 +234,7 @@ def _root_by_root(df: DataFrame, answer: Callable[[list[dict]], pa.RecordBatch],
         size = 0
         for batch in batches:
             for row in batch.to_pylist():
-                if size > WEIGHED_GRAMS and (row["root"] != held[-1]["root"] or row["counts"] is None):
+                if size > WEIGHED_GRAMS and (row["root"], row["slice"]) != (held[-1]["root"], held[-1]["slice"]):
                     yield answer(held)
                     held, size = [r for r in held if r["counts"] is not None and r["root"] == row["root"]], 0
                 held.append(row)
@@ -217,7 +242,7 @@ def _root_by_root(df: DataFrame, answer: Callable[[list[dict]], pa.RecordBatch],
         if held:
             yield answer(held)
 
-    dealt = df.repartition("root").sortWithinPartitions("root", F.col("counts").isNull())
+    dealt = df.repartition("root").sortWithinPartitions("root", F.col("counts").isNull(), "slice")
     return dealt.mapInArrow(run, schema)
 
 
@@ -345,50 +370,84 @@ def _questions(docs: DataFrame) -> DataFrame:
                         yield rows(now, grams)
                         grams = grams[:0]
                     now = int(number)
-                    grams = np.unique(np.concatenate((grams, grams_of(list(texts[slices == number]))[0])))
+                    grams = _distinct(np.concatenate((grams, _distinct(grams_of(list(texts[slices == number]))[0]))))
         if len(grams):
             yield rows(now, grams)
 
     return docs.mapInArrow(run, "root bigint, slice bigint, grams binary, counts binary")
 
 
+def _bundled(texts: pa.RecordBatch) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, texts.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as stream:
+        stream.write_batch(texts)
+    return sink.getvalue().to_pybytes()
+
+
+def _unbundled(bundle: bytes) -> pa.RecordBatch:
+    return pa.ipc.open_stream(bundle).read_next_batch()
+
+
+def _bundles(docs: DataFrame) -> DataFrame:
+    """(slice, bundle) of ``docs`` (row, slice, text): rows and texts as they go through a shuffle, a portion at a time and compressed."""
+    schema = pa.schema([("slice", pa.int64()), ("bundle", pa.binary())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for portion in portions(batch):
+                for number in pc.unique(portion.column("slice")):
+                    own = portion.filter(pc.equal(portion.column("slice"), number)).select(["row", "text"])
+                    yield pa.RecordBatch.from_arrays([pa.array([number.as_py()], pa.int64()), pa.array([_bundled(own)])], schema=schema)
+
+    return docs.select("row", "slice", "text").mapInArrow(run, "slice bigint, bundle binary")
+
+
 def score(docs: DataFrame, trees: Trees) -> DataFrame:
     """(row, score) of ``docs`` (row, slice, text): log10 P of each lower-cased text with its end.
 
     The rows of a slice are looked up together, so a slice should have about SLICE_BYTES of text.
     """
     shared = docs.sparkSession.sparkContext.broadcast(trees.above)
-    answers = pa.schema([("slice", pa.int64()), ("grams", pa.binary()), ("logs", pa.binary())])
+    answers = pa.schema([("slice", pa.int64()), ("roots", pa.binary()), ("logs", pa.binary())])
 
     def answer(rows):
         tables = _down(shared.value, subtrees(*_counted(rows)) if any(r["counts"] is not None for r in rows) else [])
         asked = [r for r in rows if r["counts"] is None]
         grams, sizes = _unpacked(asked)
+        # Distinct by slice and gram: a number for each slice, and one for each gram, side by side.
+        numbers, which = np.unique(np.array([r["slice"] for r in asked], np.int64), return_inverse=True)
         distinct, at = np.unique(grams, return_inverse=True)
-        logs = gram_logs(distinct, tables)[at].astype("<f4")
-        slices = np.repeat(np.array([r["slice"] for r in asked], np.int64), sizes)
-        order = np.lexsort((grams, slices))
-        numbers, first = np.unique(slices[order], return_index=True)
-        bounds = np.append(first, len(order))
-        packed = _cut_ascending(grams[order], bounds), _cut(logs[order], bounds)
+        pairs = _distinct(np.repeat(which, sizes) * len(distinct) + at)
+        at = pairs % max(len(distinct), 1)
+        bounds = np.searchsorted(pairs, np.arange(len(numbers) + 1) * len(distinct))
+        logs = gram_logs(distinct, tables).astype("<f4")[at]
+        roots, first = _distinct_runs(distinct[at] >> _LOW, bounds)
+        packed = _cut_ascending(roots, np.searchsorted(first, bounds)), _cut(logs, bounds)
         columns = [pa.array(numbers), *(pa.array(_squeezed(parts), pa.binary()) for parts in packed)]
         return pa.RecordBatch.from_arrays(columns, schema=answers)
 
     asked = trees.counts.unionByName(_questions(docs.select("slice", "text")))
-    told = _root_by_root(asked, answer, "slice bigint, grams binary, logs binary")
+    told = _root_by_root(asked, answer, "slice bigint, roots binary, logs binary")
 
     def summed(left: pa.Table, right: pa.Table) -> pa.Table:
-        grams = _ascending(_restored(right["grams"].to_pylist()), "<i8")[0]
-        logs = _joined(_restored(right["logs"].to_pylist()), "<f4")
-        order = np.argsort(grams)
-        grams, logs = grams[order], logs[order]
-        scores = [np.empty(0)]
-        for batch in left.to_batches():
-            for portion in portions(batch):
-                found, bounds = grams_of(utf8_of(portion.column("text")))
-                distinct, at = np.unique(found, return_inverse=True)
-                scores.append(np.add.reduceat(logs[np.searchsorted(grams, distinct)].astype(float)[at], bounds[:-1]))
-        return pa.table({"row": left["row"], "score": pa.array(np.concatenate(scores))})
-
-    texts = docs.select("row", "slice", "text").groupBy("slice")
-    return texts.cogroup(told.groupBy("slice")).applyInArrow(summed, "row bigint, score double")
+        grams, held = np.empty(0, np.int64), []  # about as much as the slice's texts, four times
+        for bundle in left["bundle"].to_pylist():
+            texts = _unbundled(bundle)
+            found, bounds = grams_of(utf8_of(texts["text"]))
+            distinct, at = np.unique(found, return_inverse=True)
+            held.append((texts["row"].to_numpy(), bounds, distinct, at.astype(np.int32)))
+            grams = _distinct(np.concatenate((grams, distinct)))
+        # The answers of a root are in the order of its grams, and no root's come in two parts.
+        roots, bounds = _by_root(grams)
+        told = np.searchsorted(roots, _ascending(_restored(right["roots"].to_pylist()), "<i8")[0])
+        sizes = np.diff(bounds)[told]
+        ends = np.cumsum(sizes)
+        logs = np.empty(len(grams))
+        logs[np.repeat(bounds[told] - (ends - sizes), sizes) + np.arange(len(grams))] = _joined(_restored(right["logs"].to_pylist()), "<f4")
+        rows, scores = [np.empty(0, np.int64)], [np.empty(0)]
+        for row, bounds, distinct, at in held:
+            rows.append(row)
+            scores.append(np.add.reduceat(logs[np.searchsorted(grams, distinct)][at], bounds[:-1]))
+        return pa.table({"row": np.concatenate(rows), "score": np.concatenate(scores)})
+
+    return _bundles(docs).groupBy("slice").cogroup(told.groupBy("slice")).applyInArrow(summed, "row bigint, score double")

@@ -247,10 +247,11 @@ def score_documents(docs: DataFrame, model: Model) -> DataFrame:
         tokens, found, sums, rare = [], [], [], []
         for text in texts:
             words = text.lower().split()
-            other = [w for w in words if w not in known]
+            values = list(map(known.get, words))
+            other = [w for w, value in zip(words, values, strict=True) if value is None] if None in values else []
             tokens.append(len(words) + 1)
             found.append(len(words) - len(other))
-            sums.append(sum(known[w] for w in words if w in known))
+            sums.append(sum(value for value in values if value is not None) if other else sum(values))
             rare.append(other)
         number = (TaskContext.get().partitionId() << 32) + spent[0] // context_tree.SLICE_BYTES
         spent[0] += sum(map(len, texts))

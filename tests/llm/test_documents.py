@@ -266,6 +266,46 @@ def test_packed_grams_come_back_and_need_few_bytes():
     assert (context_tree._joined(context_tree._restored(parts), "<f4") == logs).all()
 
 
+def test_texts_to_be_scored_are_shuffled_compressed(spark):
+    rng = np.random.default_rng(3)
+    words = [bytes(rng.integers(97, 123, rng.integers(2, 9), dtype=np.uint8)).decode() for _ in range(400)]
+    rows = [(i, i % 2, " ".join(rng.choice(words, 300)) if i else None) for i in range(300)]
+    bundles = context_tree._bundles(spark.createDataFrame(rows, "row bigint, slice bigint, text string").coalesce(1)).collect()
+    back = [(r["row"], b["slice"], r["text"]) for b in bundles for r in context_tree._unbundled(bytes(b["bundle"])).to_pylist()]
+    assert sorted(back) == rows
+    raw = "".join(t or "" for _, _, t in rows).encode()
+    assert sum(len(b["bundle"]) for b in bundles) < 0.75 * len(pa.compress(raw, "lz4", asbytes=True))
+
+
+def test_a_root_is_answered_once_for_a_slice_and_without_its_grams(spark, monkeypatch):
+    monkeypatch.setattr(context_tree, "WEIGHED_GRAMS", 1)
+    texts = [(i, i % 3, "abcab abd " * 3 + "xyz"[: i % 4]) for i in range(12)]
+    docs = spark.createDataFrame(texts, "row bigint, slice bigint, text string").repartition(4)
+    seen = []
+
+    def keep(frame, answer, schema):
+        seen.append((answer, schema))
+        return dealt(frame, answer, schema)
+
+    dealt = context_tree._root_by_root
+    trees = context_tree.train(docs)
+    monkeypatch.setattr(context_tree, "_root_by_root", keep)
+    scores = {r["row"]: r["score"] for r in context_tree.score(docs, trees).collect()}
+    one_slice = context_tree.score(docs.withColumn("slice", F.lit(0).cast("bigint")), trees).collect()
+    assert {r["row"]: pytest.approx(r["score"]) for r in one_slice} == scores and len(scores) == 12
+    assert all("grams" not in schema for _, schema in seen)
+
+
+def test_distinct_numbers_and_sums_of_their_counts():
+    rng = np.random.default_rng(4)
+    for size in (0, 1, 5000):
+        keys, counts = rng.integers(0, 900, size), rng.integers(1, 9, size)
+        expected, at = np.unique(keys, return_inverse=True)
+        assert (context_tree._distinct(keys) == expected).all()
+        found, sums = context_tree._merged(keys, counts)
+        assert (found == expected).all() and (sums == np.bincount(at, counts, len(expected))).all()
+
+
 @pytest.mark.parametrize("words", [4, 5])
 def test_near_duplicates_against_all_pairs(spark, awkward, words):
     for rows in (near_copies(), [(r["doc_id"], r["text"]) for r in awkward.select("doc_id", "text").collect()]):
