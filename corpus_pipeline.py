@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakewright.llm import decontamination, near_dup, packing, pii, quality
-from lakewright.llm.graph import saved
+from lakewright.llm.graph import saved, small_batches
 
 #: SQL has no tokenizer, no sketches and no trained models; tests compare the stages with brute force instead.
 ORACLE_SQL = None
@@ -60,7 +60,11 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, with personal data replaced by its kind; ``n_chars`` counts the new text. A null text stays null."""
     plain = _plain(docs)
-    redacted = _same_columns(pii.redact(pii.find_spans(plain, pii.train_model(plain))), docs)
+    weights = pii.train_model(plain)
+    with small_batches(spark):
+        # Saved, as a task of both steps would hold two Python workers, and the executor keeps them for the stages that follow.
+        found = saved(pii.find_spans(plain, weights), "spans", "zstd")
+    redacted = _same_columns(pii.redact(found), docs)
     if "n_chars" in docs.columns:
         changed = F.coalesce(F.length("text").cast(docs.schema["n_chars"].dataType), F.col("n_chars"))
         redacted = redacted.withColumn("n_chars", changed)

@@ -11,6 +11,21 @@ from pyspark.sql import functions as F
 from lakewright.session import scratch_path
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Rows and bytes that a Python task gets at a time; Spark's own 10,000 rows of text are tens of MB in the JVM and again in the worker.
+SMALL_BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": "1000", "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20)}
+
+
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """Queries that run in this block hand few rows at a time to their Python tasks. How many they are changes no result."""
+    before = {key: spark.conf.get(key) for key in SMALL_BATCHES}
+    for key, value in SMALL_BATCHES.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
 
 
 @contextmanager

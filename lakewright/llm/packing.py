@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakewright.llm.encoder import worker_encoder
+from lakewright.llm.graph import small_batches
 from lakewright.llm.texts import portions, release, strings_of
 from lakewright.session import scratch_path
 
@@ -251,7 +252,8 @@ def pack(
     """
     spark = docs.sparkSession
     written = scratch_path(spark, "pieces")
-    encoded_pieces(docs, tokenizer, capacity, end_id, keeps_space, with_ids).write.parquet(written)
+    with small_batches(spark):
+        encoded_pieces(docs, tokenizer, capacity, end_id, keeps_space, with_ids).write.parquet(written)
     pieces = spark.read.parquet(written)
 
     per_task = pieces.groupBy("_task", "length").agg(F.count(F.lit(1)).alias("_n"))

@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from lakewright.llm import near_dup, pii
+from lakewright.llm import near_dup, packing, pii
+from lakewright.llm.graph import SMALL_BATCHES, small_batches
 
 SF_DIR = "/root/testdata/sf0.01"
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -124,3 +125,33 @@ def test_all_stages_one_after_the_other(spark, folder):
     packed = corpus_pipeline.run(spark, SF_DIR)
     assert {r["doc_id"] for r in packed.select("doc_id").distinct().collect()} == ids
     assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 4096").count() == 0
+
+
+def test_a_task_of_the_redaction_holds_one_python_worker(spark, folder):
+    docs = spark.createDataFrame([(1, "mail me at someone@example.org"), (2, None)], "doc_id bigint, text string")
+    out = corpus_pipeline.redact_personal_data(spark, docs, folder)
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert {r["doc_id"]: r["text"] for r in out.collect()} == {1: "mail me at [email]", 2: None}
+
+
+def test_packing_gets_texts_in_small_batches(spark, monkeypatch):
+    cut, seen = packing.encoded_pieces, []
+
+    def watched(docs, *args):
+        seen.append({key: spark.conf.get(key) for key in SMALL_BATCHES})
+        return cut(docs, *args)
+
+    before = {key: spark.conf.get(key) for key in SMALL_BATCHES}
+    monkeypatch.setattr(packing, "encoded_pieces", watched)
+    docs = spark.range(0, 3000, 1, 1).select(F.col("id").alias("doc_id"), F.lit("a few words").alias("text"))
+    assert corpus_pipeline.pack_sequences(spark, docs, "").count() == 3000
+    assert seen == [SMALL_BATCHES] and {key: spark.conf.get(key) for key in SMALL_BATCHES} == before
+
+    def sizes(batches):
+        for batch in batches:
+            yield batch.select(["doc_id"]).slice(0, 1)
+
+    with small_batches(spark):
+        assert docs.mapInArrow(sizes, "doc_id bigint").count() == 3
+        wide = docs.select("doc_id", F.repeat(F.lit("x"), 100_000).alias("text"))
+        assert wide.mapInArrow(sizes, "doc_id bigint").count() > 30
