@@ -430,7 +430,7 @@ def score(docs: DataFrame, trees: Trees) -> DataFrame:
     told = _root_by_root(asked, answer, "slice bigint, roots binary, logs binary")
 
     def summed(left: pa.Table, right: pa.Table) -> pa.Table:
-        grams, held = np.empty(0, np.int64), []  # about as much as the slice's texts, four times
+        grams, held = np.empty(0, np.int64), []  # four bytes a byte of the slice's texts, and its portions' distinct grams
         for bundle in left["bundle"].to_pylist():
             texts = _unbundled(bundle)
             found, bounds = grams_of(utf8_of(texts["text"]))
