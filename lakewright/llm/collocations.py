@@ -21,8 +21,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakewright.llm.graph import saved
-from lakewright.llm.texts import BATCH_CHARS, map_batches, utf8_of
-from lakewright.operators.keyed_joins import keyed_join
+from lakewright.llm.texts import BATCH_CHARS, map_batches, release, utf8_of
+from lakewright.operators.keyed_joins import keyed_join, matching_keys
 
 TOP = 2000
 LEAST_COUNT = 10
@@ -34,6 +34,7 @@ BUCKETS = 1 << 22  # of the filters; they let pass all that counts, and little e
 MAX_WORDS = 1 << 19  # words that a worker keeps the hashes of
 LISTED_LANGUAGES = 10_000  # up to so many open languages, later rounds read the texts of those only
 RANK_PARTS = 64
+BROADCAST_BYTES = 4 << 20  # of words or phrases; the driver holds a table that is broadcast several times over, so larger ones are shuffled
 SCORE_STEP = 1000  # floors are multiples of it
 
 # Fixed: what parts pieces, and what parts words besides a blank.
@@ -120,6 +121,7 @@ def _filter(rows: DataFrame, bucket: Column) -> np.ndarray:
     """Packed bits of the buckets that occur; at most BUCKETS small numbers reach the driver."""
     seen = np.zeros(BUCKETS, bool)
     seen[rows.select(bucket.alias("bucket")).distinct().toArrow()["bucket"].to_numpy()] = True
+    release()
     return np.packbits(seen)
 
 
@@ -245,7 +247,7 @@ def collocations(
     pairs = saved(pairs, "pairs")
     first = frequent.select("lang", F.col("h").alias("h1"), F.col("n").alias("l"))
     last = frequent.select("lang", F.col("h").alias("h2"), F.col("n").alias("r"))
-    scored = keyed_join(keyed_join(pairs, first, ["lang", "h1"], "inner"), last, ["lang", "h2"], "inner")
+    scored = _looked_up(pairs, [(first, ["h1"]), (last, ["h2"])])
     scored = scored.withColumns({"score": score_of("a", "l", "r"), "bound": F.expr("cast(1000000 as decimal(7, 0)) * a div l")})
     frontier = saved(scored.select("lang", "h1", "h2", "a", "l", "r", "score", F.col("bound").cast("bigint").alias("bound")), "frontier")
     pair_filter = _filter(frontier, _pair_bucket_column("h1", "h2"))
@@ -265,6 +267,7 @@ def collocations(
             size=PORTION,
         )
         counted = counted.groupBy("lang", "h1", "h2", "h3").agg(F.sum("n").alias("a")).where(F.col("a") >= least_count)
+        counted = saved(counted, "counted")
         counted = saved(_scored_triples(counted, pairs, frequent), "triples")
         # Rounds may meet the same phrase, with the same count.
         triples = counted if triples is None else triples.unionByName(counted).distinct()
@@ -288,15 +291,20 @@ def _open_texts(texts: DataFrame, floors: DataFrame) -> DataFrame:
     return texts if len(listed) > LISTED_LANGUAGES else texts.where(F.col("lang").isin(listed))
 
 
+def _looked_up(rows: DataFrame, tables: list[tuple[DataFrame, list[str]]]) -> DataFrame:
+    """Saved ``rows`` joined to each of the tables on the language and its columns; written out in between, as a shuffled join first counts its rows."""
+    for number, (right, on) in enumerate(tables):
+        rows = keyed_join(saved(rows, "looked_up") if number else rows, right, ["lang", *on], "inner", BROADCAST_BYTES)
+    return rows
+
+
 def _scored_triples(counted: DataFrame, pairs: DataFrame, frequent: DataFrame) -> DataFrame:
     """Three-word phrases with the lower-scoring of their two cuts."""
     first = frequent.select("lang", F.col("h").alias("h1"), F.col("n").alias("l1"))
     last = frequent.select("lang", F.col("h").alias("h3"), F.col("n").alias("r2"))
     front = pairs.select("lang", "h1", "h2", F.col("a").alias("l2"))
     back = pairs.select("lang", F.col("h1").alias("h2"), F.col("h2").alias("h3"), F.col("a").alias("r1"))
-    rows = counted
-    for right, on in ((first, ["h1"]), (last, ["h3"]), (front, ["h1", "h2"]), (back, ["h2", "h3"])):
-        rows = keyed_join(rows, right, ["lang", *on], "inner")
+    rows = _looked_up(counted, [(first, ["h1"]), (last, ["h3"]), (front, ["h1", "h2"]), (back, ["h2", "h3"])])
     rows = rows.withColumns({"s1": score_of("a", "l1", "r1"), "s2": score_of("a", "l2", "r2")})
     early = F.col("s1") <= F.col("s2")
     chosen = {name: F.when(early, F.col(f"{name}1")).otherwise(F.col(f"{name}2")).alias(name) for name in ("l", "r")}
@@ -320,9 +328,11 @@ def _survivors(active: DataFrame, triples: DataFrame, absorbed_percent: int) ->
 
 def _spelt(rows: DataFrame, frequent: DataFrame) -> DataFrame:
     """``phrase`` in place of the hashes."""
+    used = rows.select("lang", F.explode(F.array("h1", "h2", "h3")).alias("h")).distinct()
+    words = saved(matching_keys(frequent.select("lang", "h", "word"), used, ["lang", "h"], True, BROADCAST_BYTES), "names")
     for k in (1, 2, 3):
-        names = frequent.select("lang", F.col("h").alias(f"h{k}"), F.col("word").alias(f"w{k}"))
-        rows = keyed_join(rows, names, ["lang", f"h{k}"], "left")
+        names = words.select("lang", F.col("h").alias(f"h{k}"), F.col("word").alias(f"w{k}"))
+        rows = keyed_join(rows, names, ["lang", f"h{k}"], "left", BROADCAST_BYTES)
     return rows.withColumn("phrase", F.concat_ws(" ", "w1", "w2", "w3"))
 
 

@@ -113,3 +113,19 @@ def test_scores_are_exact(spark):
     rows += [(a, a, a) for a in (1, 10, 10**13 - 1)] + [(3, 7, 11), (10**12 + 1, 10**12 + 1, 10**12 + 2)]
     frame = spark.createDataFrame(rows, "a bigint, l bigint, r bigint").withColumn("score", collocations.score_of("a", "l", "r"))
     assert all(r["score"] == 10**6 * r["a"] ** 2 // (r["l"] * r["r"]) for r in frame.collect())
+
+
+def test_large_word_tables_are_not_broadcast(spark, documents, rows, monkeypatch):
+    docs = documents.limit(300).select("text", "lang")
+    expected = rows(collocations.collocations(docs, 50, 5))
+    limits, join = [], collocations.keyed_join
+
+    def noted(left, right, on, how, broadcast_bytes=None, right_bytes=None):
+        if right_bytes is None:
+            limits.append(broadcast_bytes)
+        return join(left, right, on, how, 0 if right_bytes is None else broadcast_bytes, right_bytes)
+
+    monkeypatch.setattr(collocations, "keyed_join", noted)
+    found = collocations.collocations(docs, 50, 5)
+    assert limits and all(limit is not None and limit <= 8 << 20 for limit in limits)
+    assert rows(found) == expected and len(expected) > 50
