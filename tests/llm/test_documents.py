@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -571,6 +572,17 @@ def test_search_is_exact(documents, awkward, monkeypatch, shard_bytes):
             assert [r["doc_id"] or 0 for r in got] == [i for _, _, i in best]
 
 
+def test_an_index_is_built_in_little_memory():
+    """The memory of a worker beside its texts: postings are held once, with 32 bits for all but the terms."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{n}" for n in rng.zipf(1.3, 300) % 50_000).encode() for _ in range(3000)]
+    tracemalloc.start()
+    index = search.build_index(list(range(len(texts))), texts, 300.0)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(index["doc"]) > 300_000 and peak < 70 * len(index["doc"])
+
+
 def test_search_of_nothing(awkward, nothing):
     asked = awkward.select(F.col("doc_id").alias("query_id"), "text")
     assert search.top_k(nothing, asked).count() == 0
