@@ -20,16 +20,14 @@ import pyarrow.compute as pc
 MAX_CHUNKS = 250_000  # chunks remembered by a worker; beyond it the memory starts anew
 CHARS_PER_CHUNK = 24  # and beyond so much text of them
 
-_OTHER_SPACE = re.compile(r"[^\S \n]|[\0\x1c-\x1f]")
-_OTHER_ASCII = "\t\r\x0b\x0c\0\x1c\x1d\x1e\x1f"  # the same among ASCII characters
+_OTHER_SPACE = "\0" + "".join(c for c in map(chr, range(0x3001)) if c.isspace() and c not in " \n")  # U+3000 is the last one
+_OTHER_ASCII = "".join(filter(str.isascii, _OTHER_SPACE))
 _CHUNK = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 _ADJACENT = ("  ", "\n\n", " \n", "\n ")
 
 
 def _has_other_space(text: str) -> bool:
-    if text.isascii():
-        return any(c in text for c in _OTHER_ASCII)
-    return _OTHER_SPACE.search(text) is not None
+    return any(c in text for c in (_OTHER_ASCII if text.isascii() else _OTHER_SPACE))
 
 
 def spaced_chunks(text: str) -> str | list[str]:
@@ -108,7 +106,8 @@ class ChunkMemory:
         joined = pa.array([part if isinstance(part, str) else "" for part in parts], pa.string())
         lists = pc.split_pattern(joined, "\0")
         coded = lists.flatten().dictionary_encode()
-        numbers = self._numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy()]
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()  # to_pylist takes many times as long
+        numbers = self._numbers(distinct)[coded.indices.to_numpy()]
         counts = np.diff(lists.offsets.to_numpy()).astype(np.int64)
         if listed := {i: self._numbers(part) for i, part in enumerate(parts) if not isinstance(part, str)}:
             by_text = np.split(numbers, np.cumsum(counts)[:-1])

@@ -1,9 +1,12 @@
 """Token files, length histogram, packing: against the library itself and brute force."""
 
+import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
@@ -11,7 +14,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from lakewright.llm import packing, token_counts, token_files
-from lakewright.llm.encoder import ChunkEncoder
+from lakewright.llm.encoder import ChunkEncoder, _has_other_space
 from lakewright.session import scratch_path
 
 BYTES = public_tokenizers.path("byte_bpe_50k.json")
@@ -40,6 +43,26 @@ def test_chunks_encode_like_the_library(path, texts):
     assert encoder.lengths(texts).tolist() == [len(ids_of(t)) for t in texts]
 
 
+def test_distinct_chunks_are_found_quickly():
+    """Finding the numbers of known chunks takes less than turning them into Python objects one by one would."""
+    words = [f"word{n}" for n in range(100_000)]
+    encoder, listed = ChunkEncoder(public_tokenizers.path("byte_bpe_50k.json"), True), pa.array(words)
+    seconds = {"known": [], "listed": []}
+    encoder._chunk_numbers([" ".join(words)])
+    for _ in range(5):
+        for what, run in (("known", lambda: encoder._chunk_numbers([" ".join(words)])), ("listed", listed.to_pylist)):
+            began = time.process_time()
+            run()
+            seconds[what].append(time.process_time() - began)
+    assert min(seconds["known"]) < min(seconds["listed"])
+
+
+def test_white_space_is_that_of_the_library_of_expressions():
+    other = re.compile(r"[^\S \n]|[\0\x1c-\x1f]")
+    for text in ("", "plain", "\u00e9 plain\n", *("\u00e9" + chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)):
+        assert _has_other_space(text) == bool(other.search(text)), ascii(text)
+
+
 def crc(ids):
     return zlib.crc32(np.array(ids, "<u4").tobytes())
 
