@@ -161,22 +161,20 @@ def size_and_load(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""
-    WITH kept AS (SELECT * FROM events WHERE event_type IS DISTINCT FROM 'view')
-    SELECT 'event_type' AS column_name, count(*) AS n_rows, count(event_type) AS n_values, {_grown("max(length(event_type))")} AS max_length FROM kept
-    UNION ALL SELECT 'props', count(*), count(props), {_grown("max(length(props))")} FROM kept
+    SELECT 'event_type' AS column_name, count(*) AS n_rows, count(event_type) AS n_values, {_grown("max(length(event_type))")} AS max_length FROM events
+    UNION ALL SELECT 'props', count(*), count(props), {_grown("max(length(props))")} FROM events
 """)
 def incremental_sizing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures of a table that grows in three steps, by new partitions and by rows in old ones; each step reads what is new."""
     events = with_ingestion_date(table(spark, sf_dir, "events"))
     name, location, store = fresh_table(spark, sf_dir, "incremental_sizing"), scratch_path(spark, "grown"), scratch_path(spark, "measures")
-    half = F.dayofmonth("ingestion_date") < 15
+    half = F.coalesce(F.dayofmonth("ingestion_date") < 15, F.lit(False))
     clicks = F.coalesce(F.col("event_type") == "click", F.lit(False))
-    rest = ~clicks & ~F.coalesce(F.col("event_type") == "view", F.lit(False))
     write_partitioned(events.where(clicks & half), location)
     register_external(spark, events, DATABASE, name, location, partition_by=("ingestion_date",))
     full_name = f"{DATABASE}.{name}"
     update_measures(spark, full_name, store)
-    for step in (clicks & ~half, rest):
+    for step in (clicks & ~half, ~clicks):
         insert_by_position(events.where(step), full_name)
         spark.catalog.refreshTable(full_name)
         update_measures(spark, full_name, store)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from lakewright.operators.sizing import max_text_length
 from lakewright.plans import catalog, measures
 from lakewright.sinks import tables
+from lakewright.workloads.metadata import incremental_sizing
 from lakewright.workloads.staging import fresh_table
 
 DATABASE = "lakewright"
@@ -79,3 +80,15 @@ def test_measures_are_joined_and_written_in_one_small_part(spark, tmp_path, targ
     # Coalesce, if any, stands below the join.
     text = plan(seen[0])
     assert text.index("BroadcastHashJoin") < text.index("Coalesce 1")
+
+
+def test_every_event_is_measured(spark, tmp_path):
+    """Views too, and clicks without a time, whose day is in neither half of a month."""
+    rows = [
+        (1, dt.datetime(2024, 1, 2), "click", "a" * 3), (2, dt.datetime(2024, 1, 20), "click", "b" * 4), (3, dt.datetime(2024, 1, 2), "view", "c" * 50),
+        (4, dt.datetime(2024, 1, 20), "view", None), (5, None, "click", "d" * 5), (6, None, None, "e"), (7, dt.datetime(2024, 1, 3), "error", "f"),
+    ]
+    events = spark.createDataFrame(rows, "event_id bigint, ts timestamp_ntz, event_type string, props string")
+    events.selectExpr("event_id", "ts", "event_id AS user_id", "event_type", "1.5D AS value", "props").write.parquet(str(tmp_path / "events.parquet"))
+    found = incremental_sizing(spark, str(tmp_path)).collect()
+    assert sorted(tuple(r) for r in found) == [("event_type", 7, 6, 6), ("props", 7, 6, 60)]
