@@ -1,6 +1,7 @@
 """Sharding, decontamination, personal data, near duplicates, quality, scoring, search: against brute force."""
 
 import hashlib
+import io
 import math
 import re
 import tracemalloc
@@ -606,3 +607,46 @@ def test_words_are_hashed_alike_wherever_they_stand(texts):
     for text, a, b in zip(texts, bounds[:-1], bounds[1:], strict=True):
         alone, _ = near_dup.word_hashes([text])
         assert whole[a:b].tolist() == alone.tolist() and len(alone) == len(text.split())
+
+
+def _tables(texts, queries, k):
+    """An index of ``texts``, and ``queries`` as the search takes them, with weights of all terms by their df."""
+    asked_of, terms, times, _ = search._terms(queries)
+    names, numbers = np.unique(terms, return_inverse=True)
+    own = search._terms(texts)[1]
+    seen = np.searchsorted(np.sort(own), names, "right") - np.searchsorted(np.sort(own), names)
+    idf = np.log1p((len(texts) - seen + 0.5) / (seen + 0.5))
+    starts = np.searchsorted(asked_of, np.arange(len(queries) + 1))
+    return search.Asked(starts, numbers.astype(np.int32), times * idf[numbers], names), search.Best(len(queries), k)
+
+
+@pytest.mark.parametrize("shards", [1, 3])
+def test_all_queries_of_a_block_are_searched_at_once(monkeypatch, shards):
+    """Terms of any frequency, two languages, copies that tie beyond k, and small tiles: the same as a scan of single queries."""
+    monkeypatch.setattr(search, "BLOCK_DOCS", 48)
+    monkeypatch.setattr(search, "TILE_QUERIES", 7)
+    monkeypatch.setattr(search, "CANDIDATES", 200)
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"{'ab'[i % 2]}{n}" for n in rng.zipf(1.3, 1 + i % 90) % 500).encode() for i in range(300)]
+    texts += [texts[7]] * 30 + [b"", b"", b"alone"]
+    queries = [*texts[::9], b"", b"nowhere", b"a1 a1 b1"]
+    ids = [None if i % 11 == 5 else 1000 - i for i in range(len(texts))]
+    asked, best = _tables(texts, queries, 10)
+    mean = len(b" ".join(texts).split()) / len(texts)
+    for part in range(shards):
+        search.search_shard(search.build_index(ids[part::shards], texts[part::shards], mean), asked, best)
+    query, doc, has_id, score = best.ranked()
+    expected = best_by_scan([(i, t.decode()) for i, t in zip(ids, texts, strict=True)], [(q, t.decode()) for q, t in enumerate(queries)], 10)
+    for q, found in expected.items():
+        at = query == q
+        assert score[at] == pytest.approx([-s for s, _, _ in found], abs=2e-6)
+        assert list(zip((~has_id[at]).tolist(), np.where(has_id[at], doc[at], 0).tolist(), strict=True)) == [(none, i) for _, none, i in found]
+
+
+def test_indexes_are_cut_without_a_shuffle(documents, plan, monkeypatch):
+    monkeypatch.setattr(search, "SHARD_BYTES", 1 << 16)
+    indexes = search._indexes(documents.limit(400).localCheckpoint())
+    assert "Exchange" not in plan(indexes)
+    held = [dict(np.load(io.BytesIO(row["index"]))) for row in indexes.collect()]
+    size = documents.limit(400).agg(F.sum(F.octet_length("text"))).first()[0]
+    assert sum(len(h["ids"]) for h in held) == 400 and len(held) >= size // (5 << 14) // 2
